@@ -13,7 +13,7 @@ from pyspark.sql import Column as C
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.functions.typing import completed, has_name, in_order, is_null_value, typed_value
+from tallybrook.functions.typing import completed, has_name, in_order, is_null_value, named_value, typed_value
 from tallybrook.schema import META_COLUMNS, TABLES, Column, TableSpec
 
 # The message envelope and its change kinds.
@@ -96,10 +96,11 @@ def typed_changes(decoded: DataFrame, spec: TableSpec, ingest_time: C | None = N
     in_neither = F.exists(
         F.array(*[F.lit(n) for n in wanted]), lambda n: ~has_name(new[0], n) & ~has_name(old[0], n)
     )
+    key = spec.column(spec.key)
     raw = changes.select(
         "*",
         F.when(updated, completed(*new, *old, wanted)).when(~deleted, in_order(*new, wanted)).alias("_new"),
-        F.when(~(F.col("_kind") == "insert"), in_order(*old, wanted)).alias("_old"),
+        typed_value(named_value(*old, F.lit(spec.key)), key).alias("_old_key"),
         (updated & in_neither).alias("_incomplete"),
     )
     place = {name: i for i, name in enumerate(wanted)}
@@ -107,11 +108,7 @@ def typed_changes(decoded: DataFrame, spec: TableSpec, ingest_time: C | None = N
     def typed(image: str, column: Column) -> C:
         return typed_value(F.get(image, F.lit(place[column.name])), column).alias(column.name)
 
-    key = spec.column(spec.key)
-    rows = raw.select(
-        "*", *[typed("_new", c) for c in spec.columns], typed("_old", key).alias("_old_key")
-    )
-
+    rows = raw.select("*", *[typed("_new", c) for c in spec.columns])
     row_key = F.when(deleted, F.col("_old_key")).otherwise(F.col(spec.key))
     reason = F.when(row_key.isNull(), "no key").when(F.col("_incomplete"), "incomplete update")
     for column in spec.columns:
@@ -120,17 +117,28 @@ def typed_changes(decoded: DataFrame, spec: TableSpec, ingest_time: C | None = N
             reason = reason.when(given & F.col(column.name).isNull(), f"bad value in {column.name}")
     times = [c.name for c in spec.columns if c.type == "TIMESTAMP"]
     no_time = reduce(C.__or__, [F.col(t).isNull() for t in times], F.lit(False))
-    marked = rows.withColumns({"_reason": reason, "_time_filled": ~deleted & no_time})
+    leaves = updated & (F.col("_old_key") != F.col(spec.key))
+    marked = rows.withColumns(
+        {
+            "_why": reason,
+            "_no_time": ~deleted & no_time,
+            "_old": F.when(deleted | leaves, in_order(*old, wanted)),
+        }
+    )
     if ingest_time is not None:
         marked = marked.withColumns({t: F.coalesce(t, ingest_time) for t in times})
 
-    new_row = F.struct(*wanted, F.lit(0).alias("_is_deleted"))
-    tombstone = F.struct(*[typed("_old", c) for c in spec.columns], F.lit(1).alias("_is_deleted"))
-    moved = updated & (F.col("_old_key") != F.col(spec.key))
-    images = F.when(deleted, F.array(tombstone)).when(moved, F.array(new_row, tombstone)).otherwise(F.array(new_row))
-    return marked.select(
-        *[c for c in decoded.columns if c != "_malformed"], "_reason", "_time_filled", F.inline(images)
+    # The marks travel inside the images: a filter on them stays behind the explode,
+    # where it cannot repeat the work above.
+    marks = (F.col("_why").alias("_reason"), F.col("_no_time").alias("_time_filled"))
+    new_row = F.struct(*wanted, F.lit(0).alias("_is_deleted"), *marks)
+    tombstone = F.struct(*[typed("_old", c) for c in spec.columns], F.lit(1).alias("_is_deleted"), *marks)
+    images = (
+        F.when(deleted, F.array(tombstone))
+        .when(leaves & F.col("_why").isNull(), F.array(new_row, tombstone))
+        .otherwise(F.array(new_row))
     )
+    return marked.select(*[c for c in decoded.columns if c != "_malformed"], F.inline(images))
 
 
 def change_rows(decoded: DataFrame, spec: TableSpec, ingest_time: C | None = None) -> DataFrame:

@@ -60,14 +60,8 @@ class ChangelogStore:
 
     def load_snapshot(self, sources: Mapping[str, DataFrame]) -> None:
         """Copy whole source tables; the commit comes last, so a broken copy is redone."""
-        rows = {}
-        for name, table in sources.items():
-            path = self._batch_path(name, SNAPSHOT_RUN, 0)
-            self._write(snapshot_rows(table, TABLES[name]), path)
-            rows[name] = self.spark.read.schema(TABLES[name].changelog_schema).parquet(path).count()
-        self.control.create(
-            self._commit_name(SNAPSHOT_RUN, 0), {"run": SNAPSHOT_RUN, "batch": 0, "rows": rows}
-        )
+        copies = {name: snapshot_rows(table, TABLES[name]) for name, table in sources.items()}
+        self.append_rows(copies, SNAPSHOT_RUN, 0)
 
     def run_of(self, checkpoint: str) -> str:
         """Name of the run that belongs to a stream checkpoint. Batch numbers start anew
@@ -77,6 +71,17 @@ class ChangelogStore:
             beside.create("run.json", {"run": uuid.uuid4().hex})
         return beside.read("run.json")["run"]
 
+    def append_rows(self, changes: Mapping[str, DataFrame], run: str, batch: int) -> None:
+        """Append changelog rows that are typed already, one table each, as one batch."""
+        if self.committed(run, batch):
+            return
+        rows = {}
+        for name, changed in changes.items():
+            path = self._batch_path(name, run, batch)
+            self._write(changed.select(*TABLES[name].column_names, *META_COLUMNS), path)
+            rows[name] = self.spark.read.schema(TABLES[name].changelog_schema).parquet(path).count()
+        self.control.create(self._commit_name(run, batch), {"run": run, "batch": batch, "rows": rows})
+
     def append_messages(self, messages: DataFrame, run: str, batch: int, ingest_time: C | None = None) -> None:
         """Decode one batch of messages and append it to every table it touches.
 

@@ -18,13 +18,12 @@ def stream_messages(
     path: str,
     file_format: str = "json",
     files_per_trigger: int | None = None,
-    newest_first: bool = False,
 ) -> DataFrame:
     """A folder that keeps receiving feed files."""
     reader = spark.readStream.schema(MESSAGE_SCHEMA).format(file_format)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.option("latestFirst", str(newest_first).lower()).load(path)
+    return reader.load(path)
 
 
 def stream_topic(spark: SparkSession, servers: str, topic: str, per_trigger: int | None = None) -> DataFrame:

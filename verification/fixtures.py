@@ -26,6 +26,7 @@ SCHEMAS = {
     "events": "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
 }
 AS_OF = "2001-08-01 00:00:00"
+OPENED = "1995-01-01 00:00:00"
 MONEY = "decimal(10,2)"
 # Added to a key when a message moves a row to another key.
 MOVE = 1_000_000
@@ -37,6 +38,10 @@ def as_of() -> C:
     return F.lit(AS_OF).cast("timestamp")
 
 
+def opened() -> C:
+    return F.lit(OPENED).cast("timestamp")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
@@ -67,7 +72,10 @@ def category_id() -> C:
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_brand").distinct().select(
-        category_id().alias("category_id"), F.col("p_brand").alias("name")
+        category_id().alias("category_id"),
+        F.col("p_brand").alias("name"),
+        F.lit(None).cast("string").alias("description"),
+        opened().alias("created_at"),
     )
 
 
@@ -80,7 +88,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").cast(MONEY).alias("price"),
         F.col("p_size").alias("stock"),
         (F.col("p_partkey") % 10 != 0).alias("is_active"),
-        F.lit("1995-01-01 00:00:00").cast("timestamp").alias("updated_at"),
+        opened().alias("created_at"),
+        opened().alias("updated_at"),
     )
 
 
@@ -91,7 +100,11 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("email"),
         F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
         F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
+        F.lit(None).cast("string").alias("phone"),
         F.col("n_name").alias("city"),
+        F.lit(None).cast("string").alias("country"),
+        opened().alias("created_at"),
+        opened().alias("updated_at"),
     )
 
 
@@ -125,6 +138,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").cast(MONEY).alias("amount"),
         pick(F.col("o_custkey") % 4, METHODS).alias("method"),
         pick(F.col("o_orderstatus"), PAYMENT_OF_STATUS).alias("status"),
+        F.concat(F.lit("TX-"), F.col("o_orderkey").cast("string")).alias("transaction_ref"),
         F.col("o_orderdate").alias("processed_at"),
     )
 
@@ -228,33 +242,36 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     new_amount = F.when(number % 83 == 0, F.lit("n/a").cast("variant")).otherwise(amount.cast("variant"))
 
     # The column names of the message.
-    plain = ("order_id", "customer_id", "status", "total_amount", "created_at", "updated_at")
-    values = (order_id, number, F.col("event_type"), new_amount, time, time)
-    old_values = (F.col("user_id"), number, F.col("event_type"), amount, time, time)
+    whole = ("order_id", "customer_id", "status", "total_amount", "city", "created_at", "updated_at")
+    in_click = tuple(n for n in whole if n != "city")
+    city = F.col("props")
+    values = (order_id, number, F.col("event_type"), new_amount, city, time, time)
+    click_values = (order_id, number, F.col("event_type"), new_amount, time, time)
+    old_values = (F.col("user_id"), number, F.col("event_type"), amount, city, time, time)
     click = F.col("event_type") == "click"
     order_change = F.struct(
         F.when(number % 79 == 0, "truncate").otherwise(kind).alias("kind"),
         F.when(number % 89 == 0, "audit_log").otherwise("orders").alias("table"),
         F.when(kind == "delete", None)
-        .when(click, _names(*plain))
-        .otherwise(_names(*plain, "city"))
+        .when(click, _names(*in_click))
+        .otherwise(_names(*whole))
         .alias("columnnames"),
         F.when(kind == "delete", None)
-        .when(click, _values(*values))
-        .otherwise(_values(*values, F.col("props")))
+        .when(click, _values(*click_values))
+        .otherwise(_values(*values))
         .alias("columnvalues"),
         F.when(
             kind == "delete",
             F.struct(
-                _names(*plain, "city").alias("keynames"),
-                _values(*old_values, F.col("props")).alias("keyvalues"),
+                _names(*whole).alias("keynames"),
+                _values(*old_values).alias("keyvalues"),
             ),
         )
         .when(
             click,
             F.struct(
                 _names("order_id", "city").alias("keynames"),
-                _values(F.col("user_id"), F.col("props")).alias("keyvalues"),
+                _values(F.col("user_id"), city).alias("keyvalues"),
             ),
         )
         .when(
