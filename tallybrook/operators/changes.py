@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.functions.measures import line_value
 from tallybrook.operators.keys import assign_keys
+from tallybrook.operators.skew import join_many_to_one
 from tallybrook.schema import TableSpec
 
 # The way of an order, and the timing and share of payment settlement.
@@ -114,9 +115,8 @@ def expire_cancelled(orders: DataFrame, now: C, version: int) -> DataFrame:
 
 def cascade_delete(children: DataFrame, deleted: DataFrame, column: str, version: int) -> DataFrame:
     """Tombstones of the rows that refer to a deleted parent."""
-    return stamped(children.join(deleted.select(column), column, "left_semi"), version, deleted=True).select(
-        *children.columns, "_version", "_seq", "_is_deleted"
-    )
+    gone = join_many_to_one(children, deleted.select(column), column, "left_semi")
+    return stamped(gone.select(*children.columns), version, deleted=True)
 
 
 @dataclass(frozen=True)
@@ -171,7 +171,7 @@ def build_orders(
     on_sale = products.where(F.col("is_active") & (F.col("stock") > 0)).select(
         "product_id", F.col("price").alias("unit_price")
     )
-    priced = lines.join(on_sale, "product_id").select("cart_id", "product_id", "quantity", "unit_price")
+    priced = join_many_to_one(lines, on_sale, "product_id").select("cart_id", "product_id", "quantity", "unit_price")
     totals = priced.groupBy("cart_id").agg(F.sum(line_value()).cast("decimal(10,2)").alias("total_amount"))
     headers = assign_keys(carts.join(totals, "cart_id"), "order_id", ["cart_id"], last_order)
     orders = headers.select(
@@ -183,7 +183,7 @@ def build_orders(
         now.alias("created_at"),
         now.alias("updated_at"),
     )
-    taken = priced.join(headers.select("cart_id", "order_id"), "cart_id")
+    taken = join_many_to_one(priced, headers.select("cart_id", "order_id"), "cart_id")
     items = assign_keys(
         taken.select("order_id", "product_id", "quantity", "unit_price"),
         "item_id",

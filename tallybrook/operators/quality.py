@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.functions.measures import line_value
+from tallybrook.operators.skew import join_many_to_one
 from tallybrook.schema import TableSpec
 
 
@@ -60,7 +61,8 @@ def check_not_null(rows: DataFrame, spec: TableSpec) -> DataFrame:
 def check_foreign_key(children: DataFrame, parents: DataFrame, column: str, parent_key: str) -> DataFrame:
     """Rows that refer to a parent that is not there; NULL refers to nothing."""
     keys = parents.select(F.col(parent_key).alias(column))
-    return children.where(F.col(column).isNotNull()).join(keys, column, "left_anti").select(*children.columns)
+    referring = children.where(F.col(column).isNotNull())
+    return join_many_to_one(referring, keys, column, "left_anti").select(*children.columns)
 
 
 def check_one_to_one(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:

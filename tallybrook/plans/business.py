@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook.functions.measures import distinct_count, exact_average, line_value, money_average, percentage
+from tallybrook.operators.skew import join_many_to_one
 
 Tables = Mapping[str, DataFrame]
 
@@ -32,12 +33,13 @@ def daily_category_revenue(tables: Tables, as_of: C | None = None, approximate:
         .select("order_id", F.date_trunc("day", "created_at").alias("day"))
     )
     # Recent orders cut the items down before anything else is joined to them.
-    sold = tables["order_items"].select("order_id", "product_id", line_value().alias("value")).join(recent, "order_id")
+    lines = tables["order_items"].select("order_id", "product_id", line_value().alias("value"))
+    sold = join_many_to_one(lines, recent, "order_id")
     category = tables["products"].select("product_id", "category_id").join(
         tables["categories"].select("category_id", F.col("name").alias("category")), "category_id"
     )
     return (
-        sold.join(category.select("product_id", "category"), "product_id")
+        join_many_to_one(sold, category.select("product_id", "category"), "product_id")
         .groupBy("category", "day")
         .agg(
             distinct_count("order_id", approximate).alias("total_orders"),
@@ -111,8 +113,7 @@ def product_performance(tables: Tables, top: int = TOP_PRODUCTS, approximate: bo
     a product in very many orders weighs one row in that join."""
     kept = tables["orders"].where(F.col("status") != "cancelled").select("order_id")
     sales = (
-        tables["order_items"]
-        .join(kept, "order_id")
+        join_many_to_one(tables["order_items"], kept, "order_id")
         .groupBy("product_id")
         .agg(
             distinct_count("order_id", approximate).alias("times_ordered"),
