@@ -15,11 +15,6 @@ def percentage(part: C, whole: C) -> C:
     return F.round(F.lit(100.0).cast("decimal(4,1)") * part / F.nullif(whole, F.lit(0)), 2)
 
 
-def exact_average(values: str) -> C:
-    """Unrounded mean, as double."""
-    return F.sum(values).cast("double") / F.nullif(F.count(values), F.lit(0))
-
-
 def money_average(total: C, count: C) -> C:
     """Mean of money, rounded half up to cents.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column as C
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.functions.measures import line_value
 from tallybrook.operators.skew import join_many_to_one
-from tallybrook.schema import TableSpec
+from tallybrook.schema import TABLES, TableSpec
 
 
 def check_unique(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -19,6 +20,15 @@ def check_unique(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.where(whole).groupBy(*columns).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
 
 
+def check_unique_columns(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Repeated values of the key and of every unique column, in one pass."""
+    pairs = [
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+        for c in (spec.key, *spec.unique)
+    ]
+    return check_unique(rows.select(F.inline(F.array(*pairs))), ["column_name", "value"])
+
+
 def _broken(rows: DataFrame, spec: TableSpec, rules: list[tuple[str, str, C]]) -> DataFrame:
     """One row per broken rule, all rules in one pass: (key, column_name, rule, value)."""
     found = [
@@ -65,6 +75,18 @@ def check_foreign_key(children: DataFrame, parents: DataFrame, column: str, pare
     return join_many_to_one(referring, keys, column, "left_anti").select(*children.columns)
 
 
+def check_references(tables: Mapping[str, DataFrame]) -> dict[tuple[str, str], DataFrame]:
+    """Rows with a missing parent, for every declared reference between given tables."""
+    return {
+        (name, key.column): check_foreign_key(
+            tables[name], tables[key.parent], key.column, TABLES[key.parent].key
+        )
+        for name in tables
+        for key in TABLES[name].foreign_keys
+        if key.parent in tables
+    }
+
+
 def check_one_to_one(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
     """Parents with no child or with several, and how many."""
     counts = children.groupBy(key).agg(F.count("*").alias("_n"))

@@ -11,8 +11,8 @@ from pyspark.sql import Column as C
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybrook.functions.measures import distinct_count, exact_average, line_value, money_average, percentage
-from tallybrook.operators.skew import join_many_to_one
+from tallybrook.functions.measures import line_value, money_average, percentage
+from tallybrook.operators.skew import SPREAD, join_many_to_one
 
 Tables = Mapping[str, DataFrame]
 
@@ -23,9 +23,16 @@ MIN_ORDERS = 2
 TOP_CUSTOMERS = 50
 TOP_PRODUCTS = 25
 
+ORDER_SPREAD = "_order_spread"
+
 
 def daily_category_revenue(tables: Tables, as_of: C | None = None, approximate: bool = False) -> DataFrame:
-    """Revenue per category and UTC day over the last 30 days."""
+    """Revenue per category and UTC day over the last 30 days.
+
+    Lines are first summed per order, category and day, which is where the join on orders
+    has put them; each order is then one row of its category and day, and counting rows
+    counts orders.
+    """
     as_of = F.current_timestamp() if as_of is None else as_of
     recent = (
         tables["orders"]
@@ -34,18 +41,30 @@ def daily_category_revenue(tables: Tables, as_of: C | None = None, approximate:
     )
     # Recent orders cut the items down before anything else is joined to them.
     lines = tables["order_items"].select("order_id", "product_id", line_value().alias("value"))
-    sold = join_many_to_one(lines, recent, "order_id")
+    sold = join_many_to_one(lines, recent, "order_id", keep_spread=True)
     category = tables["products"].select("product_id", "category_id").join(
         tables["categories"].select("category_id", F.col("name").alias("category")), "category_id"
     )
-    return (
-        join_many_to_one(sold, category.select("product_id", "category"), "product_id")
-        .groupBy("category", "day")
-        .agg(
-            distinct_count("order_id", approximate).alias("total_orders"),
+    # Rows already carry the order's spread, so the product's takes another name.
+    sold = sold.withColumnRenamed(SPREAD, ORDER_SPREAD)
+    sold = join_many_to_one(sold, category.select("product_id", "category"), "product_id")
+    if approximate:
+        days = sold.groupBy("category", "day").agg(
+            F.approx_count_distinct("order_id").alias("total_orders"),
             F.sum("value").alias("revenue"),
-            exact_average("value").alias("avg_item_revenue"),
+            F.count("value").alias("lines"),
+        )
+    else:
+        per_order = sold.groupBy(ORDER_SPREAD, "order_id", "category", "day").agg(
+            F.sum("value").alias("value"), F.count("value").alias("lines")
+        )
+        days = per_order.groupBy("category", "day").agg(
+            F.count("*").alias("total_orders"), F.sum("value").alias("revenue"), F.sum("lines").alias("lines")
         )
+    average = F.col("revenue").cast("double") / F.nullif("lines", F.lit(0))
+    return (
+        days.withColumn("avg_item_revenue", average)
+        .drop("lines")
         .orderBy(F.desc("day"), F.desc("revenue"), "category")
     )
 
@@ -110,18 +129,28 @@ def city_fulfillment(tables: Tables) -> DataFrame:
 
 def product_performance(tables: Tables, top: int = TOP_PRODUCTS, approximate: bool = False) -> DataFrame:
     """Products by revenue. Sales are summed per product before products are joined, so
-    a product in very many orders weighs one row in that join."""
+    a product in very many orders weighs one row in that join.
+
+    Within the partitions of the join on orders, lines are summed per order and product;
+    after that, counting rows of a product counts its orders.
+    """
     kept = tables["orders"].where(F.col("status") != "cancelled").select("order_id")
-    sales = (
-        join_many_to_one(tables["order_items"], kept, "order_id")
-        .groupBy("product_id")
-        .agg(
-            distinct_count("order_id", approximate).alias("times_ordered"),
-            F.sum("quantity").alias("units_sold"),
-            F.sum(line_value()).alias("total_revenue"),
-            money_average(F.sum("unit_price"), F.count("unit_price")).alias("avg_sell_price"),
+    sold = join_many_to_one(tables["order_items"], kept, "order_id", keep_spread=True)
+    sums = {
+        "units_sold": F.sum("quantity"),
+        "total_revenue": F.sum(line_value()),
+        "price_sum": F.sum("unit_price"),
+        "lines": F.count("unit_price"),
+    }
+    if approximate:
+        sales = sold.groupBy("product_id").agg(
+            F.approx_count_distinct("order_id").alias("times_ordered"), *[c.alias(n) for n, c in sums.items()]
+        )
+    else:
+        per_order = sold.groupBy(SPREAD, "order_id", "product_id").agg(*[c.alias(n) for n, c in sums.items()])
+        sales = per_order.groupBy("product_id").agg(
+            F.count("*").alias("times_ordered"), *[F.sum(n).alias(n) for n in sums]
         )
-    )
     products = tables["products"].select(
         "product_id",
         F.col("name").alias("product_name"),
@@ -142,7 +171,7 @@ def product_performance(tables: Tables, top: int = TOP_PRODUCTS, approximate: bo
             "times_ordered",
             "units_sold",
             F.round("total_revenue", 2).alias("total_revenue"),
-            "avg_sell_price",
+            money_average(F.col("price_sum"), F.col("lines")).alias("avg_sell_price"),
         )
         .orderBy(F.desc("total_revenue"), "product_id")
         .limit(top)

@@ -30,6 +30,10 @@ SNAPSHOT_RUN = "snapshot"
 # Keys of at most this many fresh changes are broadcast against a compacted base.
 BROADCAST_ROWS = 1_000_000
 
+# Neighbouring keys share a bucket: rows inserted together stay together in the files,
+# and the newest rows, which change most, touch few buckets.
+KEYS_TOGETHER = 8192
+
 PLACE_SCHEMA = "run STRING, batch BIGINT"
 COMMIT_SCHEMA = "run STRING, batch BIGINT, rows MAP<STRING, BIGINT>"
 
@@ -259,14 +263,14 @@ class ChangelogStore:
         touched = []
         if batches:
             changes = self._read_batches(table, batches).drop("_batch_id")
-            bucket = F.pmod(F.xxhash64(spec.key), F.lit(count)).cast("int")
+            bucket = F.pmod(F.floor(F.col(spec.key) / KEYS_TOGETHER), F.lit(count)).cast("int")
             # At most one value per bucket comes to the driver.
             touched = [r[0] for r in changes.select(bucket).distinct().collect()]
             base = self._read_base(table, self._base_paths(table, manifest, touched))
             newest = latest(base.unionByName(changes), spec.key).withColumn("bucket", bucket)
-            # Rebalancing splits large buckets over several tasks and files.
+            # Ranges split large buckets over several tasks and files.
             (
-                newest.hint("rebalance", "bucket")
+                newest.repartitionByRange("bucket", spec.key)
                 .sortWithinPartitions("bucket", spec.key)
                 .write.mode("overwrite")
                 .partitionBy("bucket")
@@ -286,3 +290,43 @@ class ChangelogStore:
                 "folded": folded,
             },
         )
+
+    def vacuum(self) -> None:
+        """Delete what compaction has replaced.
+
+        A reader may still use the manifest before the newest, so what that one names
+        stays. The last commit of every run stays too: a stream that restarts looks for
+        it. Run this and ``compact`` from one place at a time.
+        """
+        folded_by_all: dict[str, int] | None = None
+        for table in TABLES:
+            names = self.control.names(f"_manifest/{table}")
+            if len(names) < 2:
+                folded_by_all = {}
+                continue
+            older, newest = (self.control.read(f"_manifest/{table}/{n}") for n in names[-2:])
+            for run, batch in older["folded"].items():
+                self._delete_batches(table, run, batch)
+            kept = set(older["generations"].items()) | set(newest["generations"].items())
+            for name in names[:-2]:
+                for bucket, gen in self.control.read(f"_manifest/{table}/{name}")["generations"].items():
+                    if (bucket, gen) not in kept:
+                        self.control.delete(f"{table}/base/gen={gen}/bucket={bucket}")
+                self.control.delete(f"_manifest/{table}/{name}")
+            folded = older["folded"]
+            if folded_by_all is None:
+                folded_by_all = folded
+            else:
+                folded_by_all = {r: min(b, folded[r]) for r, b in folded_by_all.items() if r in folded}
+        last = {}
+        commits = [n.split(".") for n in self.control.names("_commits")]
+        for run, batch, _ in commits:
+            last[run] = max(last.get(run, -1), int(batch))
+        for run, batch, _ in commits:
+            if int(batch) <= (folded_by_all or {}).get(run, -1) and int(batch) < last[run]:
+                self.control.delete(self._commit_name(run, int(batch)))
+
+    def _delete_batches(self, table: str, run: str, through: int) -> None:
+        for name in self.control.folders(f"{table}/run={run}"):
+            if int(name.removeprefix("batch=")) <= through:
+                self.control.delete(f"{table}/run={run}/{name}")

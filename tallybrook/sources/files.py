@@ -30,6 +30,11 @@ class ControlFiles:
         found = [s.getPath().getName() for s in self._fs.listStatus(self._at(folder))]
         return sorted(n for n in found if n.endswith(".json") and not n.startswith((".", "_")))
 
+    def folders(self, folder: str) -> list[str]:
+        if not self.exists(folder):
+            return []
+        return [s.getPath().getName() for s in self._fs.listStatus(self._at(folder)) if s.isDirectory()]
+
     def read(self, name: str) -> dict:
         stream = self._fs.open(self._at(name))
         try:

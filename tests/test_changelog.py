@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybrook.operators import decode as d
-from tallybrook.schema import ORDERS
+from tallybrook.schema import ORDERS, TABLES
 from tallybrook.sources.changelog import ChangelogStore
 from tallybrook.sources.feed import read_messages, stream_messages
 from tallybrook.streaming.ingest import start_ingest
@@ -167,3 +167,25 @@ def test_stateful_stream_agrees_with_the_changelog(spark, tmp_path):
     newest = read_latest(spark, f"{folder}/state", "order_id")
     assert statuses(newest.where("_is_deleted = 0")) == EXPECTED
     assert read_messages(spark, f"{folder}/feed").count() == 9
+
+
+def test_vacuum_removes_only_what_nobody_reads(spark, tmp_path):
+    store = ChangelogStore(spark, str(tmp_path))
+    for batch, changes in enumerate((FIRST, SECOND, THIRD)):
+        store.append_messages(m.frame(spark, *changes, first=10 * (batch + 1)), "run", batch)
+        for table in TABLES:
+            store.compact(table, buckets=3)
+        store.vacuum()
+        store.vacuum()
+    assert statuses(store.live("orders")) == EXPECTED
+    assert store.control.folders("orders/run=run") == ["batch=2"]
+    assert store.control.names("_commits") == ["run.000000000002.json"]
+    assert store.committed("run", 2)
+    store.append_messages(m.frame(spark, m.delete(1), first=90), "run", 3)
+    assert statuses(store.live("orders")) == {k: v for k, v in EXPECTED.items() if k != 1}
+
+
+def test_vacuum_before_any_compaction_keeps_everything(spark, tmp_path):
+    store = filled(spark, tmp_path)
+    store.vacuum()
+    assert store.history("orders").count() == 9

@@ -178,3 +178,13 @@ def test_not_null_counts(spark):
         {"created_at": now(), "updated_at": now()}
     )
     assert [(r.column_name, r.nulls) for r in q.check_not_null(orders, ORDERS).collect()] == [("status", 1)]
+
+
+def test_references_between_tables(spark):
+    tables = {
+        "orders": spark.createDataFrame([(1, 1), (2, 9)], "order_id BIGINT, customer_id BIGINT"),
+        "customers": spark.createDataFrame([(1,)], "customer_id BIGINT"),
+        "payments": spark.createDataFrame([(5, 1), (6, 7)], "payment_id BIGINT, order_id BIGINT"),
+    }
+    found = {k: [tuple(r) for r in v.collect()] for k, v in q.check_references(tables).items()}
+    assert found == {("orders", "customer_id"): [(2, 9)], ("payments", "order_id"): [(6, 7)]}

@@ -6,11 +6,15 @@ their key, so that the same histories can be stated in SQL.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column as C
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybrook.operators.keys import assign_keys
 from tallybrook.operators.live import live
+from tallybrook.sources.changelog import ChangelogStore
 
 # Columns of the test tables. Times are declared as TIMESTAMP, so that time
 # filters reach the scan.
@@ -183,16 +187,60 @@ def live_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live(products_log(spark, sf_dir), "product_id").drop("_batch_id")
 
 
-def shop(spark: SparkSession, sf_dir: str, with_city: bool = False) -> dict[str, DataFrame]:
+class Tables(Mapping):
+    """Tables by name, each defined when it is asked for."""
+
+    def __init__(self, **makers: Callable[[], DataFrame]):
+        self._makers = makers
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._makers[name]()
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+def shop(spark: SparkSession, sf_dir: str, orders: Callable[[], DataFrame] | None = None) -> Tables:
     """Current state of the six tables."""
-    return {
-        "categories": categories(spark, sf_dir),
-        "customers": customers(spark, sf_dir),
-        "products": live_products(spark, sf_dir),
-        "orders": live_orders(spark, sf_dir, with_city),
-        "order_items": order_items(spark, sf_dir),
-        "payments": payments(spark, sf_dir),
-    }
+    return Tables(
+        categories=lambda: categories(spark, sf_dir),
+        customers=lambda: customers(spark, sf_dir),
+        products=lambda: live_products(spark, sf_dir),
+        orders=orders or (lambda: live_orders(spark, sf_dir)),
+        order_items=lambda: order_items(spark, sf_dir),
+        payments=lambda: payments(spark, sf_dir),
+    )
+
+
+def stored_shop(spark: SparkSession, sf_dir: str, folder: str) -> ChangelogStore:
+    """The same tables in a changelog store: a snapshot and two batches of changes."""
+    store = ChangelogStore(spark, folder)
+    items = assign_keys(order_items(spark, sf_dir), "item_id", ["order_id", "product_id", "quantity", "unit_price"])
+    store.load_snapshot(
+        {
+            "categories": categories(spark, sf_dir),
+            "customers": customers(spark, sf_dir),
+            "products": products(spark, sf_dir),
+            "orders": orders(spark, sf_dir, with_city=True),
+            "order_items": items,
+            "payments": payments(spark, sf_dir),
+        }
+    )
+    changed_orders = orders_log(spark, sf_dir, with_city=True)
+    changed_products = products_log(spark, sf_dir)
+    store.append_rows(
+        {
+            "orders": changed_orders.where("_batch_id = 1").drop("_batch_id"),
+            "products": changed_products.where("_batch_id = 1").drop("_batch_id"),
+        },
+        "changes",
+        0,
+    )
+    store.append_rows({"orders": changed_orders.where("_batch_id = 2").drop("_batch_id")}, "changes", 1)
+    return store
 
 
 def event_kind() -> C:

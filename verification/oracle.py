@@ -215,6 +215,7 @@ SELECTS = {
         FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1) e
         WHERE event_type <> 'error'""",
     "live_orders": f"SELECT {HISTORY}, created_at, updated_at FROM l_orders",
+    "live_from_store": f"SELECT {HISTORY}, city, created_at, updated_at FROM l_orders",
     "live_products": "SELECT * REPLACE (cast(price AS double) AS price) FROM l_products",
     "live_categories": "SELECT * FROM d_categories",
     "live_customers": "SELECT * FROM d_customers",
@@ -401,6 +402,9 @@ SELECTS = {
     "check_unique": f"""
         SELECT l_orderkey, cast(l_linenumber AS bigint) AS l_linenumber, count(*) AS copies FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "check_unique_columns": """
+        SELECT 'email' AS column_name, 'x' || customer_id % 50 AS value, count(*) AS copies
+        FROM d_customers WHERE customer_id % 10 = 0 GROUP BY customer_id % 50 HAVING count(*) > 1""",
     "check_domain": """
         SELECT order_id, 'status' AS column_name, 'domain' AS rule, status AS value FROM spoiled
         WHERE status NOT IN ('pending', 'confirmed', 'shipped', 'delivered', 'cancelled')""",

@@ -66,7 +66,7 @@ def q1_daily_category_revenue(spark, sf):
     """An order's date never changes, so the time bound may go below the version collapse."""
     recent = F.col("created_at") >= X.as_of() - F.expr(B.RECENT)
     orders = L.live(X.orders_log(spark, sf), "order_id", immutable=recent)
-    return B.daily_category_revenue(X.shop(spark, sf) | {"orders": orders}, X.as_of())
+    return B.daily_category_revenue(X.shop(spark, sf, orders=lambda: orders), X.as_of())
 
 
 @query
@@ -76,7 +76,7 @@ def q2_customer_ltv(spark, sf):
 
 @query
 def q3_city_fulfillment(spark, sf):
-    return B.city_fulfillment(X.shop(spark, sf, with_city=True))
+    return B.city_fulfillment(X.shop(spark, sf, orders=lambda: X.live_orders(spark, sf, with_city=True)))
 
 
 @query
@@ -612,6 +612,17 @@ def _built(spark, sf) -> CH.NewOrders:
     return CH.build_orders(carts, lines, products, X.as_of(), NEXT_VERSION, last_order=last, last_payment=last)
 
 
+@query
+def live_from_store(spark, sf):
+    """Current orders out of a compacted changelog with one more batch waiting."""
+    store = ChangelogStore(spark, work_folder(spark, "store"))
+    for number, rows in _batches(X.orders_log(spark, sf, with_city=True)):
+        store.append_rows({"orders": rows.drop("_batch_id")}, "log", number)
+        if number == 1:
+            store.compact("orders", buckets=8)
+    return store.live("orders")
+
+
 @query
 def build_orders(spark, sf):
     return _built(spark, sf).orders.drop("_seq")
@@ -670,6 +681,14 @@ def check_unique(spark, sf):
     return Q.check_unique(lines, ["l_orderkey", "l_linenumber"])
 
 
+@query
+def check_unique_columns(spark, sf):
+    """Customers whose e-mail was made to repeat."""
+    number = F.col("customer_id")
+    email = F.when(number % 10 == 0, F.concat(F.lit("x"), (number % 50).cast("string"))).otherwise(F.col("email"))
+    return Q.check_unique_columns(X.customers(spark, sf).withColumn("email", email), TABLES["customers"])
+
+
 @query
 def check_domain(spark, sf):
     return Q.check_domain(_spoiled(spark, sf), ORDERS)
