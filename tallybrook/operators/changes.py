@@ -164,14 +164,16 @@ def build_orders(
     """Orders, their items and one payment each, out of filled carts.
 
     ``carts`` is (cart_id, customer_id, city, method, payment_status, transaction_ref),
-    ``lines`` is (cart_id, product_id, quantity). Only products on sale and in stock are
-    taken, at their price of the moment; the total is the sum over the taken lines, and
-    a cart without any gives no order.
+    ``lines`` is (cart_id, product_id, quantity); an order lists a product once, with the
+    quantities of its lines added up. Only products on sale and in stock are taken, at
+    their price of the moment; the total is the sum over the taken lines, and a cart
+    without any gives no order.
     """
     on_sale = products.where(F.col("is_active") & (F.col("stock") > 0)).select(
         "product_id", F.col("price").alias("unit_price")
     )
-    priced = join_many_to_one(lines, on_sale, "product_id").select("cart_id", "product_id", "quantity", "unit_price")
+    wanted = lines.groupBy("cart_id", "product_id").agg(F.sum("quantity").cast("int").alias("quantity"))
+    priced = join_many_to_one(wanted, on_sale, "product_id").select("cart_id", "product_id", "quantity", "unit_price")
     totals = priced.groupBy("cart_id").agg(F.sum(line_value()).cast("decimal(10,2)").alias("total_amount"))
     headers = assign_keys(carts.join(totals, "cart_id"), "order_id", ["cart_id"], last_order)
     orders = headers.select(
@@ -187,7 +189,7 @@ def build_orders(
     items = assign_keys(
         taken.select("order_id", "product_id", "quantity", "unit_price"),
         "item_id",
-        ["order_id", "product_id", "quantity"],
+        ["order_id", "product_id"],
         last_item,
     ).select("item_id", "order_id", "product_id", "quantity", "unit_price")
     # Orders are numbered without gaps, and so are their payments.

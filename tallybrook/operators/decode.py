@@ -7,6 +7,7 @@ not parse or a value that does not fit never fails a job, it ends up in quaranti
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column as C
@@ -171,7 +172,10 @@ def rejected(typed: DataFrame) -> DataFrame:
     )
 
 
-def quarantine(decoded: DataFrame) -> DataFrame:
-    """Everything that could not be applied: malformed messages and rejected changes."""
-    parts = [rejected(typed_changes(decoded, spec)) for spec in TABLES.values()]
+def quarantine(decoded: DataFrame, tables: Iterable[str] = TABLES) -> DataFrame:
+    """Everything that could not be applied: malformed messages and rejected changes.
+
+    Reads ``decoded`` once per table, so name the tables that matter, or store it first.
+    """
+    parts = [rejected(typed_changes(decoded, TABLES[name])) for name in tables]
     return reduce(DataFrame.unionByName, parts, malformed(decoded))

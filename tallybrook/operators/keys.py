@@ -18,7 +18,7 @@ def assign_keys(rows: DataFrame, key: str, order: list[str], start: int | C = 0)
     Rows are sorted in ranges by many tasks, each range numbering its own rows; the
     number of rows in the ranges before is added afterwards. The numbered rows are
     written out once, so that lost executors cannot change a number already given.
-    ``order`` should end in a unique column, or rows that tie may be numbered anyhow.
+    ``order`` should be unique: rows that tie stay in one range and are numbered anyhow.
     """
     spark = rows.sparkSession
     path = work_folder(spark, "keys")

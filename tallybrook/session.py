@@ -7,10 +7,12 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Days and interval bounds are UTC. A join whose skewed side feeds an aggregate on
-# the same key is only split by AQE when an extra shuffle is allowed for that case.
+# Days and interval bounds are UTC whatever the cluster's zone is.
+ZONE = "spark.sql.session.timeZone"
+
+# A join whose skewed side feeds an aggregate on the same key is only split by AQE when
+# an extra shuffle is allowed for that case.
 SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -18,7 +20,8 @@ SETTINGS = {
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """Set the runtime options above, leaving those the cluster was started with."""
+    """Work in UTC, and set the options above where the cluster was started without them."""
+    spark.conf.set(ZONE, "UTC")
     given = spark.sparkContext.getConf()
     for key, value in SETTINGS.items():
         if not given.contains(key):
@@ -33,8 +36,8 @@ def local_session(cores: int | str = 8, memory: str = "8g", **options: str) -> S
         .appName("tallybrook")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.extraJavaOptions", "-XX:+UseParallelGC")
         .config("spark.sql.shuffle.partitions", str(cores))
-        .config("spark.sql.session.timeZone", "UTC")
     )
     for key, value in options.items():
         builder = builder.config(key, value)

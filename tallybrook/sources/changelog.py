@@ -35,7 +35,7 @@ BROADCAST_ROWS = 1_000_000
 KEYS_TOGETHER = 8192
 
 PLACE_SCHEMA = "run STRING, batch BIGINT"
-COMMIT_SCHEMA = "run STRING, batch BIGINT, rows MAP<STRING, BIGINT>"
+COMMIT_SCHEMA = "run STRING, batch BIGINT, rows MAP<STRING, BIGINT>, quarantined BOOLEAN"
 
 
 class ChangelogStore:
@@ -163,7 +163,7 @@ class ChangelogStore:
         """Commits not yet folded into the base."""
         waiting = []
         for name in self.control.names("_commits"):
-            run, batch, _ = name.split(".")
+            run, batch, _ = name.rsplit(".", 2)
             if int(batch) > manifest["folded"].get(run, -1):
                 waiting.append(name)
         return waiting
@@ -235,11 +235,8 @@ class ChangelogStore:
 
     def quarantine(self) -> DataFrame:
         schema = "_version BIGINT, _seq INT, _table STRING, reason STRING, record STRING"
-        paths = []
-        for name in self.control.names("_commits"):
-            commit = self.control.read(f"_commits/{name}")
-            if commit.get("quarantined"):
-                paths.append(self._batch_path("_quarantine", commit["run"], commit["batch"]))
+        commits = self.commits().where("quarantined").select("run", "batch").collect()
+        paths = [self._batch_path("_quarantine", c.run, c.batch) for c in commits]
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
@@ -279,7 +276,7 @@ class ChangelogStore:
             )
         folded = dict(manifest["folded"])
         for name in waiting:
-            run, batch, _ = name.split(".")
+            run, batch, _ = name.rsplit(".", 2)
             folded[run] = max(int(batch), folded.get(run, -1))
         self.control.create(
             f"_manifest/{table}/{version:012d}.json",
@@ -319,7 +316,7 @@ class ChangelogStore:
             else:
                 folded_by_all = {r: min(b, folded[r]) for r, b in folded_by_all.items() if r in folded}
         last = {}
-        commits = [n.split(".") for n in self.control.names("_commits")]
+        commits = [n.rsplit(".", 2) for n in self.control.names("_commits")]
         for run, batch, _ in commits:
             last[run] = max(last.get(run, -1), int(batch))
         for run, batch, _ in commits:

@@ -28,8 +28,10 @@ def start_latest(
     spark: SparkSession, changes: DataFrame, key: str, columns: list[str], path: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
     """Write the keys whose newest version moved, one folder per batch."""
-    # State per key can outgrow executor memory; RocksDB keeps it on disk.
+    # State per key can outgrow executor memory; RocksDB keeps it on disk, and uploads
+    # changes instead of whole snapshots.
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")

@@ -56,7 +56,7 @@ def test_build_orders_takes_what_is_on_sale(spark):
     orders = {r.customer_id: (r.order_id, r.total_amount, r.status) for r in built.orders.collect()}
     assert orders == {5: (101, Decimal("5.00"), "pending"), 7: (102, Decimal("5.00"), "pending")}
     items = sorted((r.item_id, r.order_id, r.quantity) for r in built.items.collect())
-    assert items == [(51, 101, 2), (52, 102, 1), (53, 102, 1)]
+    assert items == [(51, 101, 2), (52, 102, 2)]
     payments = sorted((r.payment_id, r.order_id, r.amount, r.status) for r in built.payments.collect())
     assert payments == [(8, 101, Decimal("5.00"), "pending"), (9, 102, Decimal("5.00"), "failed")]
 
@@ -173,6 +173,12 @@ def test_advance_leaves_closed_orders(spark):
     assert [r.status for r in moved] == ["confirmed", "shipped", "delivered"]
 
 
+def test_advance_a_sample(spark):
+    orders = order_rows(spark, [("pending", "1.00", "León")] * 100)
+    moved = c.advance_status(sample_rows(orders, 15, seed=3, key="order_id"), now(), 9)
+    assert moved.count() == 15 and {r.status for r in moved.collect()} == {"confirmed"}
+
+
 def test_not_null_counts(spark):
     orders = order_rows(spark, [(None, None, None), ("pending", None, None)]).withColumns(
         {"created_at": now(), "updated_at": now()}

@@ -127,8 +127,9 @@ CTES = {
     "doomed": f"""
         SELECT * FROM l_orders WHERE status = 'cancelled' AND updated_at < {AS_OF} - INTERVAL 3 MINUTE""",
     "priced": """
-        SELECT i.order_id AS cart_id, i.product_id, i.quantity, p.price AS unit_price
-        FROM d_items i JOIN l_products p USING (product_id) WHERE p.is_active AND p.stock > 0""",
+        SELECT i.order_id AS cart_id, i.product_id, cast(sum(i.quantity) AS bigint) AS quantity, p.price AS unit_price
+        FROM d_items i JOIN l_products p USING (product_id) WHERE p.is_active AND p.stock > 0
+        GROUP BY i.order_id, i.product_id, p.price""",
     "built": """
         SELECT cart_id, cast(sum(quantity * unit_price) AS decimal(10,2)) AS total_amount,
                (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY cart_id) AS order_id
@@ -383,7 +384,7 @@ SELECTS = {
                {AS_OF} AS created_at, {AS_OF} AS updated_at, {_flag(10)} AS _version, {_flag(0)} AS _is_deleted
         FROM built b JOIN orders o ON o.o_orderkey = b.cart_id""",
     "build_orders_items": f"""
-        SELECT row_number() OVER (ORDER BY b.order_id, p.product_id, p.quantity) AS item_id, b.order_id,
+        SELECT row_number() OVER (ORDER BY b.order_id, p.product_id) AS item_id, b.order_id,
                p.product_id, p.quantity, cast(p.unit_price AS double) AS unit_price,
                {_flag(10)} AS _version, {_flag(0)} AS _is_deleted
         FROM built b JOIN priced p USING (cart_id)""",
