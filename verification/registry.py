@@ -544,7 +544,7 @@ def fn_substring(spark, sf):
 
 @query
 def insert_if_absent(spark, sf):
-    """Half of the customers exist; all arrive, and the even ones of them twice."""
+    """A third of the customers exist; all arrive, the even ones twice."""
     everyone = X.customers(spark, sf).select("customer_id", "email", "city")
     existing = everyone.where(F.col("customer_id") % 3 == 0)
     arrivals = F.when(F.col("customer_id") % 2 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
