@@ -7,7 +7,7 @@ not parse or a value that does not fit never fails a job, it ends up in quaranti
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column as C
@@ -81,6 +81,47 @@ def change_counts(decoded: DataFrame) -> DataFrame:
     ).agg(F.count("*").alias("changes"))
 
 
+def _is(kind: str) -> C:
+    return F.col("_kind") == kind
+
+
+def _old() -> tuple[C, C]:
+    return F.col("_old_names"), F.col("_old_values")
+
+
+def _new_image(spec: TableSpec) -> C:
+    """Values of the new row in declared order; an update may lean on the old image."""
+    new = (F.col("_names"), F.col("_values"))
+    wanted = spec.column_names
+    return F.when(_is("update"), completed(*new, *_old(), wanted)).when(~_is("delete"), in_order(*new, wanted))
+
+
+def _old_key(spec: TableSpec) -> C:
+    return typed_value(named_value(*_old(), F.lit(spec.key)), spec.column(spec.key))
+
+
+def _incomplete(spec: TableSpec) -> C:
+    """An update that leaves out a column which the old image does not have either."""
+    wanted = F.array(*[F.lit(n) for n in spec.column_names])
+    names, old_names = F.col("_names"), F.col("_old_names")
+    return _is("update") & F.exists(wanted, lambda n: ~has_name(names, n) & ~has_name(old_names, n))
+
+
+def _value(spec: TableSpec, image: str, column: Column) -> C:
+    return F.get(image, F.lit(spec.column_names.index(column.name)))
+
+
+def _reason(spec: TableSpec, image: str, old_key: C, incomplete: C, typed: Callable[[Column], C]) -> C:
+    """Why a change cannot be applied, or NULL. ``typed`` gives a column's typed new value."""
+    row_key = F.when(_is("delete"), old_key).otherwise(typed(spec.column(spec.key)))
+    reason = F.when(row_key.isNull(), "no key").when(incomplete, "incomplete update")
+    for column in spec.columns:
+        if column.type != "TIMESTAMP":
+            misfit = ~is_null_value(_value(spec, image, column)) & typed(column).isNull()
+            reason = reason.when(misfit, f"bad value in {column.name}")
+    return reason
+
+
 def typed_changes(decoded: DataFrame, spec: TableSpec, ingest_time: C | None = None) -> DataFrame:
     """Changelog rows of one table, each with ``_reason`` set where it cannot be applied.
 
@@ -89,41 +130,27 @@ def typed_changes(decoded: DataFrame, spec: TableSpec, ingest_time: C | None = N
     update that changes the key, for the key it leaves.
     """
     changes = decoded.where((route() == APPLIED) & (F.col("_table") == spec.name))
-    wanted = spec.column_names
-    new = (F.col("_names"), F.col("_values"))
-    old = (F.col("_old_names"), F.col("_old_values"))
-    deleted = F.col("_kind") == "delete"
-    updated = F.col("_kind") == "update"
-    in_neither = F.exists(
-        F.array(*[F.lit(n) for n in wanted]), lambda n: ~has_name(new[0], n) & ~has_name(old[0], n)
-    )
-    key = spec.column(spec.key)
     raw = changes.select(
         "*",
-        F.when(updated, completed(*new, *old, wanted)).when(~deleted, in_order(*new, wanted)).alias("_new"),
-        typed_value(named_value(*old, F.lit(spec.key)), key).alias("_old_key"),
-        (updated & in_neither).alias("_incomplete"),
+        _new_image(spec).alias("_new"),
+        _old_key(spec).alias("_old_key"),
+        _incomplete(spec).alias("_incomplete"),
     )
-    place = {name: i for i, name in enumerate(wanted)}
 
     def typed(image: str, column: Column) -> C:
-        return typed_value(F.get(image, F.lit(place[column.name])), column).alias(column.name)
+        return typed_value(_value(spec, image, column), column).alias(column.name)
 
     rows = raw.select("*", *[typed("_new", c) for c in spec.columns])
-    row_key = F.when(deleted, F.col("_old_key")).otherwise(F.col(spec.key))
-    reason = F.when(row_key.isNull(), "no key").when(F.col("_incomplete"), "incomplete update")
-    for column in spec.columns:
-        if column.type != "TIMESTAMP":
-            given = ~is_null_value(F.get("_new", F.lit(place[column.name])))
-            reason = reason.when(given & F.col(column.name).isNull(), f"bad value in {column.name}")
+    reason = _reason(spec, "_new", F.col("_old_key"), F.col("_incomplete"), lambda c: F.col(c.name))
+    deleted = _is("delete")
+    leaves = _is("update") & (F.col("_old_key") != F.col(spec.key))
     times = [c.name for c in spec.columns if c.type == "TIMESTAMP"]
     no_time = reduce(C.__or__, [F.col(t).isNull() for t in times], F.lit(False))
-    leaves = updated & (F.col("_old_key") != F.col(spec.key))
     marked = rows.withColumns(
         {
             "_why": reason,
             "_no_time": ~deleted & no_time,
-            "_old": F.when(deleted | leaves, in_order(*old, wanted)),
+            "_old": F.when(deleted | leaves, in_order(*_old(), spec.column_names)),
         }
     )
     if ingest_time is not None:
@@ -132,7 +159,7 @@ def typed_changes(decoded: DataFrame, spec: TableSpec, ingest_time: C | None = N
     # The marks travel inside the images: a filter on them stays behind the explode,
     # where it cannot repeat the work above.
     marks = (F.col("_why").alias("_reason"), F.col("_no_time").alias("_time_filled"))
-    new_row = F.struct(*wanted, F.lit(0).alias("_is_deleted"), *marks)
+    new_row = F.struct(*spec.column_names, F.lit(0).alias("_is_deleted"), *marks)
     tombstone = F.struct(*[typed("_old", c) for c in spec.columns], F.lit(1).alias("_is_deleted"), *marks)
     images = (
         F.when(deleted, F.array(tombstone))
@@ -160,22 +187,27 @@ def _record() -> C:
     return F.to_json(change)
 
 
-def malformed(decoded: DataFrame) -> DataFrame:
-    return decoded.where(F.col("_malformed").isNotNull()).select(
-        "_version", "_seq", "_table", F.lit(MALFORMED).alias("reason"), F.col("_malformed").alias("record")
-    )
+def quarantine(decoded: DataFrame) -> DataFrame:
+    """Everything that could not be applied, malformed messages and rejected changes, in
+    one pass over the changes of all tables."""
 
+    def mine(spec: TableSpec) -> C:
+        return (route() == APPLIED) & (F.col("_table") == spec.name)
 
-def rejected(typed: DataFrame) -> DataFrame:
-    return typed.where(F.col("_reason").isNotNull()).select(
-        "_version", "_seq", "_table", F.col("_reason").alias("reason"), _record().alias("record")
-    )
+    def image(spec: TableSpec) -> str:
+        return f"_new_{spec.name}"
 
+    specs = list(TABLES.values())
+    raw = decoded.select("*", *[F.when(mine(s), _new_image(s)).alias(image(s)) for s in specs])
+    reason = F.when(F.col("_malformed").isNotNull(), MALFORMED)
+    for spec in specs:
+        def typed(column: Column, spec: TableSpec = spec) -> C:
+            return typed_value(_value(spec, image(spec), column), column)
 
-def quarantine(decoded: DataFrame, tables: Iterable[str] = TABLES) -> DataFrame:
-    """Everything that could not be applied: malformed messages and rejected changes.
-
-    Reads ``decoded`` once per table, so name the tables that matter, or store it first.
-    """
-    parts = [rejected(typed_changes(decoded, TABLES[name])) for name in tables]
-    return reduce(DataFrame.unionByName, parts, malformed(decoded))
+        reason = reason.when(mine(spec), _reason(spec, image(spec), _old_key(spec), _incomplete(spec), typed))
+    judged = raw.select(*decoded.columns, reason.alias("_why"))
+    found = F.when(
+        F.col("_why").isNotNull(),
+        F.array(F.struct(F.col("_why").alias("reason"), F.coalesce("_malformed", _record()).alias("record"))),
+    )
+    return judged.select("_version", "_seq", "_table", F.inline(found))

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column as C
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -103,7 +102,7 @@ class ChangelogStore:
             # At most one row per table and kind, and three for dropped changes.
             counts = decode.change_counts(decoded).collect()
             touched = sorted({c.table_name for c in counts if c.route == decode.APPLIED})
-            broken = [decode.malformed(decoded)] if any(c.route == decode.MALFORMED for c in counts) else []
+            broken = sum(c.changes for c in counts if c.route == decode.MALFORMED)
             rows, filled = {}, 0
             for name in touched:
                 spec = TABLES[name]
@@ -123,10 +122,9 @@ class ChangelogStore:
                 )
                 rows[name] = seen.get["good"]
                 filled += seen.get["filled"]
-                if seen.get["bad"]:
-                    broken.append(decode.rejected(typed))
+                broken += seen.get["bad"]
             if broken:
-                self._write(reduce(DataFrame.unionByName, broken), self._batch_path("_quarantine", run, batch))
+                self._write(decode.quarantine(decoded), self._batch_path("_quarantine", run, batch))
         finally:
             decoded.unpersist()
         self.control.create(
@@ -135,7 +133,7 @@ class ChangelogStore:
                 "run": run,
                 "batch": batch,
                 "rows": rows,
-                "quarantined": bool(broken),
+                "quarantined": broken > 0,
                 "times_filled": filled,
                 "changes": [c.asDict() for c in counts],
             },
