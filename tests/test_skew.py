@@ -83,9 +83,15 @@ def test_hot_parent_is_split_in_anti_and_semi_joins(spark):
         assert missing.count() + found.count() == ROWS
 
 
-def test_product_performance_with_hot_order_and_product(spark):
-    tables = {
-        "orders": live(orders_log(spark), "order_id"),
+def hot_shop(spark):
+    """A third of the lines in one order, half of all lines with one product."""
+    return {
+        "orders": live(orders_log(spark), "order_id").withColumns(
+            {
+                "customer_id": F.when(F.col("order_id") % 3 == 0, 1).otherwise(F.col("order_id")),
+                "created_at": F.timestamp_seconds(F.lit(1714521600) + F.col("order_id") * 600),
+            }
+        ),
         "order_items": hot_lines(spark).withColumn(
             "product_id", F.when(F.col("order_id") % 2 == 0, 3).otherwise(F.col("product_id"))
         ),
@@ -97,13 +103,61 @@ def test_product_performance_with_hot_order_and_product(spark):
             F.lit(1).alias("stock"),
         ),
         "categories": spark.sql("SELECT cast(1 AS bigint) AS category_id, 'c' AS name"),
+        "customers": spark.range(1000).select(
+            F.col("id").alias("customer_id"), F.lit("a").alias("first_name"), F.lit("b").alias("last_name"),
+            F.lit("x").alias("city"),
+        ),
     }
+
+
+def hot_lines_in_python():
+    """(order, product) of every line of ``hot_shop``."""
+    for i in range(ROWS):
+        order = 7 if i % 3 == 0 else i % 1000
+        yield order, 3 if order % 2 == 0 else i % 50
+
+
+def test_product_performance_with_hot_order_and_product(spark):
+    lines, orders = {}, {}
+    for order, product in hot_lines_in_python():
+        lines[product] = lines.get(product, 0) + 1
+        orders.setdefault(product, set()).add(order)
     with with_settings(spark, SHUFFLED):
-        top = business.product_performance(tables, top=50)
+        top = business.product_performance(hot_shop(spark), top=50)
         rows = top.collect()
-        assert sum(r.units_sold for r in rows) == ROWS
-        assert rows[0].product_id == 3
         assert "skew=true" in plan_of(top)
+    assert {r.product_id: (r.units_sold, r.times_ordered) for r in rows} == {
+        p: (n, len(orders[p])) for p, n in lines.items()
+    }
+
+
+def test_daily_revenue_with_hot_order_and_product(spark):
+    lines, orders = {}, {}
+    for order, _ in hot_lines_in_python():
+        day = (1714521600 + order * 600) // 86400
+        lines[day] = lines.get(day, 0) + 1
+        orders.setdefault(day, set()).add(order)
+    with with_settings(spark, SHUFFLED):
+        daily = business.daily_category_revenue(hot_shop(spark), F.lit("2024-05-10").cast("timestamp"))
+        rows = daily.select("*", F.unix_seconds("day").alias("s")).collect()
+        daily.collect()
+        assert "skew=true" in plan_of(daily)
+    assert {r.s // 86400: (int(r.revenue) // 2, r.total_orders) for r in rows} == {
+        d: (n, len(orders[d])) for d, n in lines.items()
+    }
+
+
+def test_lifetime_value_with_hot_order_and_customer(spark):
+    lines, orders = {}, {}
+    for order, _ in hot_lines_in_python():
+        customer = 1 if order % 3 == 0 else order
+        lines[customer] = lines.get(customer, 0) + 1
+        orders.setdefault(customer, set()).add(order)
+    with with_settings(spark, SHUFFLED):
+        rows = business.customer_ltv(hot_shop(spark), top=1000).collect()
+    assert {r.customer_id: (int(r.lifetime_value) // 2, r.orders_placed) for r in rows} == {
+        c: (n, len(orders[c])) for c, n in lines.items() if len(orders[c]) >= 2
+    }
 
 
 def test_hot_key_leaves_one_version_per_task(spark):
