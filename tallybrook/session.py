@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -47,14 +46,7 @@ def local_session(cores: int | str = 8, memory: str = "8g", **options: str) -> S
 
 
 def work_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local session without that setting falls back to a temporary folder: on a
-    cluster a machine-local path would be lost with its machine.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tallybrook-")
+    """A fresh path below the shared folder named by ``spark.checkpoint.dir``, or, where
+    that is not set, below the warehouse, which all executors share as well."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
