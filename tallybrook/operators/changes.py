@@ -38,21 +38,26 @@ def stamped(rows: DataFrame, version: int, deleted: bool = False) -> DataFrame:
 
 
 def apply_defaults(rows: DataFrame, spec: TableSpec, now: C) -> DataFrame:
-    """Column defaults for values an insert leaves out."""
-    done = {}
+    """Full rows of a table: a column that an insert leaves out has its default, or NULL if
+    it has none. A NULL in a column that is given counts as left out. Columns that are not
+    the table's are kept behind its own."""
+    done = []
     for column in spec.columns:
-        if column.default is None or column.name not in rows.columns:
-            continue
+        given = F.col(column.name) if column.name in rows.columns else F.lit(None)
         default = now if column.default == "now" else F.lit(column.default)
-        done[column.name] = F.coalesce(F.col(column.name), default.cast(column.type))
-    return rows.withColumns(done)
+        done.append(F.coalesce(given.cast(column.type), default.cast(column.type)).alias(column.name))
+    return rows.select(*done, *[c for c in rows.columns if c not in spec.column_names])
 
 
-def insert_if_absent(new: DataFrame, existing: DataFrame, unique: str, arrival: list[str]) -> DataFrame:
+def insert_if_absent(
+    new: DataFrame, existing: DataFrame, spec: TableSpec, unique: str, arrival: list[str], now: C, version: int
+) -> DataFrame:
     """New rows whose unique value is not taken; of equal new ones the first to arrive.
+    NULL never conflicts. Columns left out have their defaults."""
+    return stamped(_absent(new, existing, unique, arrival).transform(apply_defaults, spec, now).select(*spec.column_names), version)
 
-    NULL never conflicts.
-    """
+
+def _absent(new: DataFrame, existing: DataFrame, unique: str, arrival: list[str]) -> DataFrame:
     first = Window.partitionBy(unique).orderBy(*arrival)
     fresh = (
         new.where(F.col(unique).isNotNull())
@@ -74,9 +79,11 @@ def advance_status(orders: DataFrame, now: C, version: int) -> DataFrame:
 
 
 def apply_stock_delta(products: DataFrame, deltas: DataFrame, now: C, version: int) -> DataFrame:
-    """New price and changed stock; ``deltas`` holds one (product_id, delta, new_price)
-    per product. Stock never falls below zero."""
-    changed = products.join(deltas, "product_id").withColumns(
+    """New price and changed stock; ``deltas`` holds (product_id, delta, new_price). Several
+    deltas of one product add up, and the highest of their prices counts. Stock never falls
+    below zero."""
+    summed = deltas.groupBy("product_id").agg(F.sum("delta").cast("int").alias("delta"), F.max("new_price").alias("new_price"))
+    changed = products.join(summed, "product_id").withColumns(
         {
             "stock": F.greatest(F.col("stock") + F.col("delta"), F.lit(0)),
             "price": F.col("new_price").cast("decimal(10,2)"),
@@ -134,7 +141,9 @@ def delete_orders(
     ``restrict`` spares orders that have a payment, ``cascade`` deletes the payments too.
     """
     if on_payment == "restrict":
-        doomed = doomed.join(payments.select("order_id"), "order_id", "left_anti").select(*doomed.columns)
+        # Distinct first: an order may have very many payments.
+        paid = payments.select("order_id").distinct()
+        doomed = doomed.join(paid, "order_id", "left_anti").select(*doomed.columns)
     elif on_payment != "cascade":
         raise ValueError(f"on_payment must be restrict or cascade, not {on_payment!r}")
     return OrderDeletion(

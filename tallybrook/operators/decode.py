@@ -27,23 +27,28 @@ CHANGE_TYPE = (
 ENVELOPE = f"change ARRAY<{CHANGE_TYPE}>, _corrupt_record STRING"
 
 MALFORMED = "malformed message"
+NO_POSITION = "no position"
 UNKNOWN_TABLE = "unknown table"
 UNKNOWN_KIND = "unknown kind"
 APPLIED = "applied"
 
+# Dropped changes that are kept for inspection; other tables and kinds are not ours.
+QUARANTINED = (MALFORMED, NO_POSITION)
+
 
 def decode_changes(messages: DataFrame) -> DataFrame:
-    """One row per change in message order, and one row per malformed message."""
+    """One row per change in message order, and one row per malformed message: one that is
+    not JSON, is empty or NULL, or has no list of changes, and one per change that is null."""
     parsed = messages.select(
         "lsn",
         "payload",
         F.from_json("payload", ENVELOPE, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("m"),
     )
-    bad = F.col("m._corrupt_record").isNotNull()
+    bad = F.col("m._corrupt_record").isNotNull() | F.col("m.change").isNull()
     one_empty = F.array(F.lit(None).cast(CHANGE_TYPE))
     changes = parsed.select(
         "lsn",
-        F.when(bad, F.col("payload")).alias("_malformed"),
+        F.coalesce("payload", F.lit("")).alias("payload"),
         F.posexplode(F.when(bad, one_empty).otherwise(F.col("m.change"))).alias("_seq", "c"),
     )
     return changes.select(
@@ -55,7 +60,7 @@ def decode_changes(messages: DataFrame) -> DataFrame:
         F.col("c.columnvalues").alias("_values"),
         F.col("c.oldkeys.keynames").alias("_old_names"),
         F.col("c.oldkeys.keyvalues").alias("_old_values"),
-        "_malformed",
+        F.when(F.col("c").isNull(), F.col("payload")).alias("_malformed"),
     )
 
 
@@ -63,6 +68,7 @@ def route() -> C:
     """What becomes of a decoded change."""
     return (
         F.when(F.col("_malformed").isNotNull(), MALFORMED)
+        .when(F.col("_version").isNull(), NO_POSITION)
         .when(~F.coalesce(F.col("_table").isin(*TABLES), F.lit(False)), UNKNOWN_TABLE)
         .when(~F.coalesce(F.col("_kind").isin(*KINDS), F.lit(False)), UNKNOWN_KIND)
         .otherwise(APPLIED)
@@ -188,8 +194,8 @@ def _record() -> C:
 
 
 def quarantine(decoded: DataFrame) -> DataFrame:
-    """Everything that could not be applied, malformed messages and rejected changes, in
-    one pass over the changes of all tables."""
+    """Everything that could not be applied, malformed messages, changes without a position
+    and rejected changes, in one pass over the changes of all tables."""
 
     def mine(spec: TableSpec) -> C:
         return (route() == APPLIED) & (F.col("_table") == spec.name)
@@ -199,7 +205,7 @@ def quarantine(decoded: DataFrame) -> DataFrame:
 
     specs = list(TABLES.values())
     raw = decoded.select("*", *[F.when(mine(s), _new_image(s)).alias(image(s)) for s in specs])
-    reason = F.when(F.col("_malformed").isNotNull(), MALFORMED)
+    reason = F.when(route().isin(*QUARANTINED), route())
     for spec in specs:
         def typed(column: Column, spec: TableSpec = spec) -> C:
             return typed_value(_value(spec, image(spec), column), column)

@@ -52,6 +52,7 @@ def lookup(changes: DataFrame, key: str, value) -> DataFrame:
 
 
 def register_views(changelogs: Mapping[str, DataFrame], prefix: str = "") -> None:
-    """Temporary views over current state, for queries written in SQL."""
+    """Temporary views over current state out of changelogs, for queries written in SQL; a
+    changelog store has views of its own, over its compacted tables."""
     for name, changes in changelogs.items():
         live(changes, TABLES[name].key).createOrReplaceTempView(prefix + name)

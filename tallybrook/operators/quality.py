@@ -31,6 +31,8 @@ def check_unique_columns(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 def _broken(rows: DataFrame, spec: TableSpec, rules: list[tuple[str, str, C]]) -> DataFrame:
     """One row per broken rule, all rules in one pass: (key, column_name, rule, value)."""
+    if not rules:
+        rules = [(spec.key, "none", F.lit(False))]
     found = [
         F.when(
             broken,
@@ -87,6 +89,43 @@ def check_references(tables: Mapping[str, DataFrame]) -> dict[tuple[str, str], D
     }
 
 
+def check_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Every value set, bound, length and uniqueness rule of all given tables that is
+    broken: (table_name, key, column_name, rule, value); of a repeated value, ``key`` is NULL."""
+    found = []
+    for name, rows in tables.items():
+        spec = TABLES[name]
+        for broken in (check_domain(rows, spec), check_range(rows, spec)):
+            found.append(broken.select(F.lit(name).alias("table_name"), F.col(spec.key).cast("bigint").alias("key"), "column_name", "rule", "value"))
+        repeated = check_unique_columns(rows, spec)
+        found.append(
+            repeated.select(
+                F.lit(name).alias("table_name"), F.lit(None).cast("bigint").alias("key"), "column_name", F.lit("unique").alias("rule"), "value"
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
+def check_nulls(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """NULLs per table and column that must have none."""
+    counted = [
+        check_not_null(rows, TABLES[name]).select(F.lit(name).alias("table_name"), "column_name", "nulls")
+        for name, rows in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def missing_parents(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows without their parent, per declared reference: how many, and of how many values."""
+    counted = [
+        rows.agg(F.count("*").alias("rows"), F.count_distinct(column).alias("parents")).select(
+            F.lit(name).alias("table_name"), F.lit(column).alias("column_name"), "rows", "parents"
+        )
+        for (name, column), rows in check_references(tables).items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 def check_one_to_one(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
     """Parents with no child or with several, and how many."""
     counts = children.groupBy(key).agg(F.count("*").alias("_n"))

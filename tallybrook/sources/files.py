@@ -30,11 +30,6 @@ class ControlFiles:
         found = [s.getPath().getName() for s in self._fs.listStatus(self._at(folder))]
         return sorted(n for n in found if n.endswith(".json") and not n.startswith((".", "_")))
 
-    def folders(self, folder: str) -> list[str]:
-        if not self.exists(folder):
-            return []
-        return [s.getPath().getName() for s in self._fs.listStatus(self._at(folder)) if s.isDirectory()]
-
     def read(self, name: str) -> dict:
         stream = self._fs.open(self._at(name))
         try:
@@ -56,5 +51,9 @@ class ControlFiles:
         if not self._fs.rename(draft, self._at(name)):
             raise FileExistsError(f"{self.root}/{name}")
 
+    def move(self, name: str, to: str) -> None:
+        self._fs.mkdirs(self._at(to).getParent())
+        self._fs.rename(self._at(name), self._at(to))
+
     def delete(self, name: str) -> None:
         self._fs.delete(self._at(name), True)

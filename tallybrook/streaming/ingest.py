@@ -13,6 +13,8 @@ from tallybrook.sources.changelog import ChangelogStore
 # Fixed value: how often the feed is taken over.
 FLUSH_INTERVAL = "2 seconds"
 
+COMPACT_AFTER = 1800
+
 
 def start_ingest(
     spark: SparkSession,
@@ -22,21 +24,29 @@ def start_ingest(
     snapshot: Mapping[str, DataFrame] | None = None,
     once: bool = False,
     ingest_time: C | None = None,
+    compact_after: int = COMPACT_AFTER,
 ) -> StreamingQuery:
     """Copy the source tables if no copy was finished before, then follow the feed.
 
     Batch size is bounded by the reader of ``messages`` (files or offsets per trigger).
     Offsets are committed after the tables are written, so a crash repeats a batch and
-    never loses one. ``once`` takes what is there and stops.
+    never loses one. ``once`` takes what is there and stops. Once ``compact_after``
+    batches wait they are folded, so readers list no more records than that.
     """
     store = ChangelogStore(spark, root)
     if snapshot and not store.snapshot_done():
         store.load_snapshot(snapshot)
     run = store.run_of(checkpoint)
+
+    def take_over(batch: DataFrame, number: int) -> None:
+        store.append_messages(batch, run, number, ingest_time)
+        if store.waiting() >= compact_after:
+            store.compact()
+
     trigger = {"availableNow": True} if once else {"processingTime": FLUSH_INTERVAL}
     return (
         messages.writeStream.option("checkpointLocation", checkpoint)
         .trigger(**trigger)
-        .foreachBatch(lambda batch, number: store.append_messages(batch, run, number, ingest_time))
+        .foreachBatch(take_over)
         .start()
     )

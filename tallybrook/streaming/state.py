@@ -9,8 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallybrook.functions.measures import latest_marker
 from tallybrook.operators.live import latest
 from tallybrook.schema import META_COLUMNS
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from tallybrook.sources.changelog import run_of
 
 
 def latest_stream(changes: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -27,14 +26,15 @@ def latest_stream(changes: DataFrame, key: str, columns: list[str]) -> DataFrame
 def start_latest(
     spark: SparkSession, changes: DataFrame, key: str, columns: list[str], path: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
-    """Write the keys whose newest version moved, one folder per batch."""
-    # State per key can outgrow executor memory; RocksDB keeps it on disk, and uploads
-    # changes instead of whole snapshots.
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    """Write the keys whose newest version moved, one folder per run and batch.
+
+    A new checkpoint is a new run, as its batches are numbered from zero again. State per
+    key can outgrow executor memory: use the state store ``apply_settings`` chooses.
+    """
+    run = run_of(spark, checkpoint)
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{path}/run={run}/batch={number}")
 
     trigger = {"availableNow": True} if once else {"processingTime": "2 seconds"}
     return (
@@ -49,4 +49,4 @@ def start_latest(
 
 def read_latest(spark: SparkSession, path: str, key: str) -> DataFrame:
     """Newest version per key out of the folders ``start_latest`` wrote."""
-    return latest(spark.read.parquet(path), key).drop("batch")
+    return latest(spark.read.parquet(path), key).drop("run", "batch")

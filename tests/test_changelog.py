@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybrook.operators import decode as d
-from tallybrook.schema import ORDERS, TABLES
+from tallybrook.schema import ORDERS
 from tallybrook.sources.changelog import ChangelogStore
 from tallybrook.sources.feed import read_messages, stream_messages
 from tallybrook.streaming.ingest import start_ingest
@@ -19,7 +19,7 @@ def land(spark, folder, *payloads, first=10):
     m.frame(spark, *payloads, first=first).coalesce(1).write.mode("append").json(f"{folder}/feed")
 
 
-def ingest(spark, folder, files=None, **options):
+def ingest(spark, folder, files=100, **options):
     feed = stream_messages(spark, f"{folder}/feed", files_per_trigger=files)
     start_ingest(spark, feed, f"{folder}/tables", f"{folder}/checkpoint", once=True, **options).awaitTermination()
     return ChangelogStore(spark, f"{folder}/tables")
@@ -42,6 +42,7 @@ def test_history_and_live(spark, tmp_path):
     assert {r._batch_id for r in store.history("orders").collect()} == {0, 1, 2}
     assert statuses(store.live("orders")) == EXPECTED
     assert store.live("products").count() == 0
+    assert statuses(store.lookup("orders", 1)) == {1: "shipped"} and store.lookup("products", 1).count() == 0
 
 
 def test_committed_batch_is_not_written_again(spark, tmp_path):
@@ -65,38 +66,86 @@ def test_batch_numbers_of_two_runs_do_not_collide(spark, tmp_path):
     assert statuses(store.live("orders")) == EXPECTED | {9: "pending"}
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-@pytest.mark.parametrize("compact_after", [(0,), (1,), (0, 1), (0, 1, 2)])
-def test_compaction_changes_nothing(spark, tmp_path, compact_after, broadcast_rows):
-    store = ChangelogStore(spark, str(tmp_path))
-    for batch, changes in enumerate((FIRST, SECOND, THIRD)):
+@pytest.mark.parametrize(
+    "order, compact_after, per_bucket",
+    [((0, 1, 2), (0, 1, 2), 1), ((0, 1, 2), (1,), 1000), ((2, 0, 1), (0,), 1), ((1, 2, 0), (0, 1), 1000)],
+)
+def test_compaction_changes_nothing(spark, tmp_path, order, compact_after, per_bucket):
+    store = ChangelogStore(spark, str(tmp_path), rows_per_bucket=per_bucket)
+    for place, batch in enumerate(order):
+        changes = (FIRST, SECOND, THIRD)[batch]
         store.append_messages(m.frame(spark, *changes, first=10 * (batch + 1)), "run", batch)
-        if batch in compact_after:
-            store.compact("orders", buckets=3)
-            store.compact("orders", buckets=3)
-    newest = store.newest("orders", broadcast_rows)
+        if place in compact_after:
+            store.compact()
+            store.compact()
+            assert store.waiting() == 0
+    newest = store.newest("orders")
     assert statuses(newest.where("_is_deleted = 0")) == EXPECTED
     assert newest.count() == 5
+    assert store.history("orders").count() == 9
+    assert statuses(store.lookup("orders", 2)) == {2: "confirmed"} and statuses(store.lookup("orders", 3)) == {}
 
 
-def test_compacted_base_is_not_shuffled_for_few_changes(spark, tmp_path):
-    store = ChangelogStore(spark, str(tmp_path))
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_base_is_read_once_and_not_shuffled(spark, tmp_path):
+    store = ChangelogStore(spark, str(tmp_path), rows_per_bucket=1)
     store.append_messages(m.frame(spark, *FIRST), "run", 0)
-    store.compact("orders", buckets=2)
-    assert "Exchange" not in store.newest("orders")._jdf.queryExecution().executedPlan().toString()
+    store.compact()
+    assert "Exchange" not in plan_of(store.newest("orders"))
     store.append_messages(m.frame(spark, *SECOND, first=20), "run", 1)
-    plan = store.newest("orders")._jdf.queryExecution().executedPlan().toString()
-    untouched = plan[: plan.index("Window")]
-    assert "LeftAnti" in untouched and "hashpartitioning" not in untouched
+    recent = F.col("created_at") >= F.lit("2020-01-01").cast("timestamp")
+    plan = plan_of(store.live("orders", immutable=recent))
+    initial = plan[plan.index("Initial Plan") :] if "Initial Plan" in plan else plan
+    scans = [line for line in initial.splitlines() if "base_orders" in line and "FileScan" in line]
+    assert len(scans) == 1 and "Bucketed: true" in scans[0] and "created_at" in scans[0].split("DataFilters")[1]
+    # Of both sides only the waiting changes go through a shuffle.
+    assert "FullOuter" in initial
+    assert "Exchange" not in initial[initial.index("FullOuter") : initial.index("base_orders")]
+
+
+def test_reader_between_pointer_and_move_sees_everything_once(spark, tmp_path):
+    store = filled(spark, tmp_path)
+    moved = store._move_folded
+    store._move_folded = lambda pointer: None
+    store.compact()
+    assert statuses(store.live("orders")) == EXPECTED and store.newest("orders").count() == 5
+    assert store.commits().count() == 3 and store.waiting() == 0
+    store._move_folded = moved
+    store.append_messages(m.frame(spark, m.delete(1), first=90), "run", 3)
+    store.compact()
+    assert store.control.names("_waiting") == [] and len(store.control.names("_folded")) == 4
+    assert statuses(store.live("orders")) == {k: v for k, v in EXPECTED.items() if k != 1}
+
+
+def test_second_of_two_compactions_changes_nothing(spark, tmp_path):
+    store, other = filled(spark, tmp_path), ChangelogStore(spark, str(tmp_path))
+    before = other._state()
+    store.compact()
+    other._state = lambda: before
+    with pytest.raises(FileExistsError):
+        other.compact()
+    assert statuses(ChangelogStore(spark, str(tmp_path)).live("orders")) == EXPECTED
+
+
+def test_replaced_bases_go(spark, tmp_path):
+    store = ChangelogStore(spark, str(tmp_path))
+    for batch in range(5):
+        store.append_messages(m.frame(spark, m.update(1, f"s{batch}"), first=10 * (batch + 1)), "run", batch)
+        store.compact()
+    assert len(list((tmp_path / "_base").iterdir())) == 2
+    assert len(store.control.names("_pointer")) == 2
 
 
 def test_late_change_loses_against_compacted_tombstone(spark, tmp_path):
     store = ChangelogStore(spark, str(tmp_path))
     store.append_messages(m.frame(spark, m.insert(1), m.delete(1), first=50), "run", 0)
-    store.compact("orders", buckets=2)
+    store.compact()
     store.append_messages(m.frame(spark, m.update(1, "shipped"), first=20), "run", 1)
     assert statuses(store.live("orders")) == {}
-    store.compact("orders")
+    store.compact()
     assert statuses(store.live("orders")) == {}
 
 
@@ -105,12 +154,46 @@ def test_quarantine_is_stored(spark, tmp_path):
     store.append_messages(m.frame(spark, "not json", m.insert(1, total='"n/a"'), m.insert(2)), "run", 0)
     assert sorted(r.reason for r in store.quarantine().collect()) == ["bad value in total_amount", d.MALFORMED]
     assert statuses(store.live("orders")) == {2: "pending"}
+    store.compact()
+    assert store.quarantine().count() == 2
+    assert {(r.batch, r.route, r.kind, r.changes) for r in store.change_counts().collect()} == {
+        (0, d.APPLIED, "insert", 2),
+        (0, d.MALFORMED, None, 1),
+    }
+
+
+def test_nothing_vanishes_without_a_trace(spark, tmp_path):
+    rows = [(1, None), (2, ""), (3, "{}"), (4, '{"change":[null]}'), (5, '{"change":[]}'), (None, m.payload(m.insert(7)))]
+    store = ChangelogStore(spark, str(tmp_path))
+    store.append_messages(spark.createDataFrame(rows, "lsn BIGINT, payload STRING"), "run", 0)
+    found = sorted((r._version or 0, r.reason) for r in store.quarantine().collect())
+    assert found == [(0, d.NO_POSITION), *[(n, d.MALFORMED) for n in (1, 2, 3, 4)]]
+    assert store.live("orders").count() == 0
+
+
+def test_broken_lines_of_a_feed_reach_the_quarantine(spark, tmp_path):
+    (tmp_path / "feed").mkdir()
+    good = m.frame(spark, m.insert(1)).toJSON().first()
+    (tmp_path / "feed" / "a.json").write_text(f"{good}\nnot a line\n{{\"lsn\": \"x\", \"payload\": \"y\"}}\n")
+    store = ingest(spark, str(tmp_path))
+    assert statuses(store.live("orders")) == {1: "pending"}
+    records = {r.record for r in store.quarantine().collect()}
+    assert len(records) == 2 and "not a line" in records
+
+
+def test_views_show_the_stored_state(spark, tmp_path):
+    store = filled(spark, tmp_path)
+    store.compact()
+    store.register_views("seen_")
+    rows = spark.sql("SELECT order_id, status FROM seen_orders").collect()
+    assert {r.order_id: r.status for r in rows} == EXPECTED
+    assert spark.sql("SELECT count(*) AS n FROM seen_payments").first().n == 0
 
 
 def test_times_filled_are_counted(spark, tmp_path):
     store = ChangelogStore(spark, str(tmp_path))
     store.append_messages(m.frame(spark, m.insert(1, created="soon"), m.insert(2)), "run", 0)
-    commit = store.control.read("_commits/run.000000000000.json")
+    commit = store.control.read("_waiting/run.000000000000.json")
     assert commit["times_filled"] == 1 and commit["rows"] == {"orders": 2}
     assert store.live("orders").where("created_at IS NULL").count() == 0
 
@@ -169,23 +252,19 @@ def test_stateful_stream_agrees_with_the_changelog(spark, tmp_path):
     assert read_messages(spark, f"{folder}/feed").count() == 9
 
 
-def test_vacuum_removes_only_what_nobody_reads(spark, tmp_path):
-    store = ChangelogStore(spark, str(tmp_path))
-    for batch, changes in enumerate((FIRST, SECOND, THIRD)):
-        store.append_messages(m.frame(spark, *changes, first=10 * (batch + 1)), "run", batch)
-        for table in TABLES:
-            store.compact(table, buckets=3)
-        store.vacuum()
-        store.vacuum()
-    assert statuses(store.live("orders")) == EXPECTED
-    assert store.control.folders("orders/run=run") == ["batch=2"]
-    assert store.control.names("_commits") == ["run.000000000002.json"]
-    assert store.committed("run", 2)
-    store.append_messages(m.frame(spark, m.delete(1), first=90), "run", 3)
-    assert statuses(store.live("orders")) == {k: v for k, v in EXPECTED.items() if k != 1}
+def test_new_checkpoint_keeps_the_state_of_the_old_one(spark, tmp_path):
+    folder = str(tmp_path)
+    for run, changes in enumerate((FIRST, SECOND + THIRD)):
+        m.frame(spark, *changes, first=10 * (run + 1)).write.json(f"{folder}/feed-{run}")
+        feed = d.change_rows(d.decode_changes(stream_messages(spark, f"{folder}/feed-{run}")), ORDERS)
+        start_latest(spark, feed, "order_id", ["status"], f"{folder}/state", f"{folder}/check-{run}", once=True).awaitTermination()
+    newest = read_latest(spark, f"{folder}/state", "order_id")
+    assert statuses(newest.where("_is_deleted = 0")) == EXPECTED
 
 
-def test_vacuum_before_any_compaction_keeps_everything(spark, tmp_path):
-    store = filled(spark, tmp_path)
-    store.vacuum()
-    assert store.history("orders").count() == 9
+def test_ingest_compacts_when_enough_batches_wait(spark, tmp_path):
+    folder = str(tmp_path)
+    for i, changes in enumerate((FIRST, SECOND, THIRD)):
+        land(spark, folder, *changes, first=10 * (i + 1))
+    store = ingest(spark, folder, files=1, compact_after=2)
+    assert store.waiting() == 1 and statuses(store.live("orders")) == EXPECTED

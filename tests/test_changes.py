@@ -20,8 +20,18 @@ def test_insert_if_absent_takes_the_first_of_equal_ones(spark):
         [("a", 2), ("a", 1), ("b", 1), (None, 1), (None, 2)], "email STRING, arrival INT"
     )
     existing = spark.createDataFrame([("b",), (None,)], "email STRING")
-    rows = c.insert_if_absent(new, existing, "email", ["arrival"]).collect()
-    assert sorted((r.email or "", r.arrival) for r in rows) == [("", 1), ("", 2), ("a", 1)]
+    new = new.withColumn("customer_id", F.col("arrival").cast("bigint"))
+    rows = c.insert_if_absent(new, existing, CUSTOMERS, "email", ["arrival"], now(), 9).collect()
+    assert sorted((r.email or "", r.customer_id) for r in rows) == [("", 1), ("", 2), ("a", 1)]
+    assert rows[0].asDict().keys() == {*CUSTOMERS.column_names, "_version", "_seq", "_is_deleted"}
+    assert {(r.country, r.phone, r._version, r._is_deleted) for r in rows} == {("Mexico", None, 9, 0)}
+
+
+def test_deltas_of_one_product_add_up(spark):
+    products = spark.createDataFrame([(1, Decimal("5.00"), 10)], "product_id BIGINT, price DECIMAL(10,2), stock INT").withColumn("updated_at", now())
+    deltas = spark.createDataFrame([(1, -4, 6.0), (1, 1, 7.0)], "product_id BIGINT, delta INT, new_price DOUBLE")
+    row = c.apply_stock_delta(products, deltas, now(), 9).collect()
+    assert [(r.stock, r.price) for r in row] == [(7, Decimal("7.00"))]
 
 
 def test_delete_orders_policies(spark):
@@ -63,10 +73,10 @@ def test_build_orders_takes_what_is_on_sale(spark):
 
 def test_defaults(spark):
     rows = spark.createDataFrame([(1, None), (2, "Perú")], "customer_id BIGINT, country STRING")
-    assert [r.country for r in c.apply_defaults(rows, CUSTOMERS, now()).orderBy("customer_id").collect()] == [
-        "Mexico",
-        "Perú",
-    ]
+    full = c.apply_defaults(rows, CUSTOMERS, now()).orderBy("customer_id")
+    assert full.columns == CUSTOMERS.column_names
+    assert [r.country for r in full.collect()] == ["Mexico", "Perú"]
+    assert full.where("created_at IS NULL OR email IS NOT NULL").count() == 0
 
 
 def test_keys_are_dense_and_ordered(spark):

@@ -135,6 +135,11 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def keyed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items with a key of their own; the test tables have none."""
+    return assign_keys(order_items(spark, sf_dir), "item_id", ["order_id", "product_id", "quantity", "unit_price"])
+
+
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("payment_id"),
@@ -215,20 +220,25 @@ def shop(spark: SparkSession, sf_dir: str, orders: Callable[[], DataFrame] | Non
     )
 
 
-def stored_shop(spark: SparkSession, sf_dir: str, folder: str) -> ChangelogStore:
-    """The same tables in a changelog store: a snapshot and two batches of changes."""
-    store = ChangelogStore(spark, folder)
-    items = assign_keys(order_items(spark, sf_dir), "item_id", ["order_id", "product_id", "quantity", "unit_price"])
-    store.load_snapshot(
-        {
-            "categories": categories(spark, sf_dir),
-            "customers": customers(spark, sf_dir),
-            "products": products(spark, sf_dir),
-            "orders": orders(spark, sf_dir, with_city=True),
-            "order_items": items,
-            "payments": payments(spark, sf_dir),
-        }
+def shop_sources(spark: SparkSession, sf_dir: str) -> Tables:
+    """The six tables as the source has them."""
+    return Tables(
+        categories=lambda: categories(spark, sf_dir),
+        customers=lambda: customers(spark, sf_dir),
+        products=lambda: products(spark, sf_dir),
+        orders=lambda: orders(spark, sf_dir, with_city=True),
+        order_items=lambda: keyed_items(spark, sf_dir),
+        payments=lambda: payments(spark, sf_dir),
     )
+
+
+def stored_shop(spark: SparkSession, sf_dir: str, folder: str, compact_after: int | None = None) -> ChangelogStore:
+    """The same tables in a changelog store: a snapshot and two batches of changes, and
+    the store compacted after the snapshot (0) or one of the batches (1, 2), if asked for."""
+    store = ChangelogStore(spark, folder)
+    store.load_snapshot(shop_sources(spark, sf_dir))
+    if compact_after == 0:
+        store.compact()
     changed_orders = orders_log(spark, sf_dir, with_city=True)
     changed_products = products_log(spark, sf_dir)
     store.append_rows(
@@ -239,7 +249,11 @@ def stored_shop(spark: SparkSession, sf_dir: str, folder: str) -> ChangelogStore
         "changes",
         0,
     )
+    if compact_after == 1:
+        store.compact()
     store.append_rows({"orders": changed_orders.where("_batch_id = 2").drop("_batch_id")}, "changes", 1)
+    if compact_after == 2:
+        store.compact()
     return store
 
 

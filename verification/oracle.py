@@ -124,6 +124,29 @@ CTES = {
                CASE WHEN order_id % 100 <> 4 THEN created_at END AS created_at,
                CASE WHEN order_id % 100 = 5 THEN repeat('y', 101) ELSE city END AS city, updated_at
         FROM d_city_orders""",
+    "keyed_items": """
+        SELECT row_number() OVER (ORDER BY order_id, product_id, quantity, unit_price) AS item_id, order_id, product_id,
+               CASE product_id % 90 WHEN 1 THEN 0 ELSE quantity END AS quantity,
+               CASE product_id % 80 WHEN 1 THEN cast(-1 AS decimal(10,2)) ELSE unit_price END AS unit_price
+        FROM d_items""",
+    "f_customers": """
+        SELECT customer_id, CASE customer_id % 10 WHEN 1 THEN 'x' || customer_id % 50 ELSE email END AS email,
+               CASE customer_id % 40 WHEN 1 THEN NULL ELSE first_name END AS first_name
+        FROM d_customers""",
+    "f_products": """
+        SELECT product_id, cast(price - 950 AS decimal(10,2)) AS price, stock - 10 AS stock,
+               CASE product_id % 20 WHEN 1 THEN 'SKU-0' ELSE sku END AS sku,
+               CASE product_id % 30 WHEN 1 THEN 999 ELSE category_id END AS category_id
+        FROM d_products""",
+    "f_payments": """
+        SELECT payment_id, CASE payment_id % 100 WHEN 1 THEN 'cash' ELSE method END AS method,
+               CASE payment_id % 70 WHEN 1 THEN 'open' ELSE status END AS status,
+               CASE payment_id % 50 WHEN 1 THEN 'TX-0' ELSE transaction_ref END AS transaction_ref,
+               CASE payment_id % 60 WHEN 1 THEN -1 ELSE order_id END AS order_id
+        FROM d_payments""",
+    "f_categories": "SELECT category_id, CASE WHEN category_id < 20 THEN 'twice' ELSE name END AS name FROM d_categories",
+    "f_orders": """
+        SELECT * REPLACE (CASE order_id % 45 WHEN 1 THEN -1 ELSE customer_id END AS customer_id) FROM spoiled""",
     "doomed": f"""
         SELECT * FROM l_orders WHERE status = 'cancelled' AND updated_at < {AS_OF} - INTERVAL 3 MINUTE""",
     "priced": """
@@ -208,6 +231,18 @@ SELECTS = {
     "changelog_history": f"""
         SELECT {HISTORY}, created_at, cast(_version AS bigint) AS _version, cast(_is_deleted AS bigint) AS _is_deleted
         FROM orders_log""",
+    "changelog_history_store": f"""
+        SELECT {HISTORY}, created_at, cast(_version AS bigint) AS _version, cast(_is_deleted AS bigint) AS _is_deleted,
+               cast(_version - 1 AS bigint) AS _batch_id
+        FROM orders_log""",
+    "snapshot_load_all": """
+        SELECT table_name, rows, key_sum, cast(1 AS bigint) AS version FROM (
+            SELECT 'categories' AS table_name, count(*) AS rows, cast(sum(category_id) AS bigint) AS key_sum FROM d_categories
+            UNION ALL SELECT 'customers', count(*), cast(sum(customer_id) AS bigint) FROM d_customers
+            UNION ALL SELECT 'products', count(*), cast(sum(product_id) AS bigint) FROM d_products
+            UNION ALL SELECT 'orders', count(*), cast(sum(order_id) AS bigint) FROM d_orders
+            UNION ALL SELECT 'order_items', count(*), cast(sum(item_id) AS bigint) FROM keyed_items
+            UNION ALL SELECT 'payments', count(*), cast(sum(payment_id) AS bigint) FROM d_payments) t""",
     "latest_state": f"""
         SELECT {HISTORY}, created_at, cast(_version AS bigint) AS _version, cast(_is_deleted AS bigint) AS _is_deleted
         FROM latest_orders""",
@@ -217,6 +252,7 @@ SELECTS = {
         WHERE event_type <> 'error'""",
     "live_orders": f"SELECT {HISTORY}, created_at, updated_at FROM l_orders",
     "live_from_store": f"SELECT {HISTORY}, city, created_at, updated_at FROM l_orders",
+    "late_batch_after_compaction": f"SELECT {HISTORY}, city, created_at, updated_at FROM l_orders",
     "live_products": "SELECT * REPLACE (cast(price AS double) AS price) FROM l_products",
     "live_categories": "SELECT * FROM d_categories",
     "live_customers": "SELECT * FROM d_customers",
@@ -235,6 +271,25 @@ SELECTS = {
         FROM (SELECT route, table_name, kind FROM feed
               UNION ALL SELECT 'applied', 'payments', 'insert' FROM payment_changes) c
         GROUP BY 1, 2, 3""",
+    "change_counts_store": """
+        SELECT batch, route, CASE WHEN route = 'applied' THEN table_name END AS table_name,
+               CASE WHEN route = 'applied' THEN kind END AS kind, count(*) AS changes
+        FROM (SELECT cast(event_id > (SELECT max(event_id) // 2 FROM events) AS bigint) AS batch, route, table_name, kind
+              FROM feed
+              UNION ALL
+              SELECT cast(event_id > (SELECT max(event_id) // 2 FROM events) AS bigint), 'applied', 'payments', 'insert'
+              FROM payment_changes) c
+        GROUP BY 1, 2, 3, 4""",
+    "feed_broken_lines": """
+        SELECT reason, cast(sum(n) AS bigint) AS changes FROM (
+            SELECT CASE WHEN event_id % 101 = 0 OR event_id % 97 = 0 THEN 'malformed message'
+                        WHEN event_id % 103 = 0 THEN 'no position'
+                        WHEN route = 'applied' AND op <> 'delete' AND event_id % 83 = 0
+                             THEN 'bad value in total_amount' END AS reason,
+                   CASE WHEN event_id % 101 <> 0 AND event_id % 97 <> 0 AND event_id % 103 = 0
+                             AND event_type = 'purchase' THEN 2 ELSE 1 END AS n
+            FROM feed) f
+        WHERE reason IS NOT NULL GROUP BY reason""",
     "cdc_decode": f"""
         SELECT _version, {_flag(0)} AS _seq, table_name, kind,
                cast(CASE op WHEN 'delete' THEN -1 ELSE CASE event_type WHEN 'click' THEN 6 ELSE 7 END END AS bigint)
@@ -267,6 +322,11 @@ SELECTS = {
         FROM feed WHERE route = 'malformed message'
         UNION ALL
         SELECT _version, {_flag(0)}, 'orders', 'bad value in total_amount' FROM order_changes WHERE bad""",
+    "quarantine_kept": f"""
+        SELECT _version, {_flag(0)} AS _seq, cast(NULL AS varchar) AS table_name, 'malformed message' AS reason
+        FROM feed WHERE route = 'malformed message'
+        UNION ALL
+        SELECT _version, {_flag(0)}, 'orders', 'bad value in total_amount' FROM order_changes WHERE bad""",
     "coerce_defaults": """
         SELECT order_id, CASE order_id % 10 WHEN 0 THEN 0.0 ELSE cast(total_amount AS double) END AS total_amount,
                CASE order_id % 10 WHEN 1 THEN '' ELSE city END AS city
@@ -293,6 +353,8 @@ SELECTS = {
         SELECT {HISTORY}, city, created_at, updated_at FROM fed_orders WHERE _is_deleted = 0""",
     "latest_state_stream": f"""
         SELECT {HISTORY}, _version, cast(_is_deleted AS bigint) AS _is_deleted FROM fed_orders""",
+    "state_new_checkpoint": f"""
+        SELECT {HISTORY}, _version, cast(_is_deleted AS bigint) AS _is_deleted FROM fed_orders""",
     "line_revenue": "SELECT order_id, product_id, cast(line_value AS double) AS revenue FROM d_items",
     "filter_in": "SELECT order_id, status FROM l_orders WHERE status IN ('shipped', 'delivered')",
     "filter_ne": "SELECT order_id, status FROM l_orders WHERE status <> 'cancelled'",
@@ -320,6 +382,8 @@ SELECTS = {
     "top_k": """
         SELECT order_id, cast(total_amount AS double) AS total_amount FROM l_orders
         ORDER BY l_orders.total_amount DESC, order_id LIMIT 100""",
+    "sample_n_summary": f"SELECT {_flag(15)} AS rows, {_flag(15)} AS orders, TRUE AS all_open",
+    "agg_approx_within_error": "SELECT status, count(DISTINCT order_id) AS orders, TRUE AS within FROM sold GROUP BY status",
     "agg_count": "SELECT status, count(*) AS lines FROM sold GROUP BY status",
     "agg_count_distinct": "SELECT status, count(DISTINCT order_id) AS orders FROM sold GROUP BY status",
     "agg_count_if": """
@@ -349,13 +413,15 @@ SELECTS = {
         FROM d_payments GROUP BY method""",
     "fn_substring": "SELECT product_id, substr(name, 1, 20) AS short_name, sku FROM d_products",
     "insert_if_absent": f"""
-        SELECT customer_id, email, city, {_flag(1)} AS arrival FROM d_customers WHERE customer_id % 3 <> 0""",
+        SELECT customer_id, email, first_name, last_name, phone, city, 'Mexico' AS country, {AS_OF} AS created_at,
+               {AS_OF} AS updated_at, {_flag(10)} AS _version, {_flag(0)} AS _seq, {_flag(0)} AS _is_deleted
+        FROM d_customers WHERE customer_id % 3 <> 0""",
     "advance_status": f"""
         SELECT * REPLACE (CASE status WHEN 'pending' THEN 'confirmed' WHEN 'confirmed' THEN 'shipped'
                                ELSE 'delivered' END AS status,
                           {AS_OF} AS updated_at, cast(total_amount AS double) AS total_amount),
                {_flag(10)} AS _version, {_flag(0)} AS _seq, {_flag(0)} AS _is_deleted
-        FROM (SELECT * EXCLUDE (city) FROM l_orders) o WHERE status NOT IN ('delivered', 'cancelled')""",
+        FROM l_orders o WHERE status NOT IN ('delivered', 'cancelled')""",
     "apply_stock_delta": f"""
         SELECT product_id, cast(cast(p_retailprice AS decimal(10,2)) * 2 AS double) AS price,
                greatest(stock + product_id % 76 - 15, 0) AS stock, {AS_OF} AS updated_at,
@@ -369,7 +435,13 @@ SELECTS = {
     "expire_cancelled": f"""
         SELECT * REPLACE (cast(total_amount AS double) AS total_amount), {_flag(10)} AS _version,
                {_flag(0)} AS _seq, {_flag(1)} AS _is_deleted
-        FROM (SELECT * EXCLUDE (city) FROM doomed) d""",
+        FROM doomed d""",
+    "delete_restricted": """
+        SELECT 'orders' AS table_name, order_id, cast(total_amount AS double) AS amount FROM doomed
+        WHERE order_id <> 2 AND (order_id % 2 = 1 OR order_id % 10 = 0)
+        UNION ALL
+        SELECT 'order_items', order_id, cast(unit_price AS double) FROM d_items
+        WHERE order_id IN (SELECT order_id FROM doomed WHERE order_id <> 2 AND (order_id % 2 = 1 OR order_id % 10 = 0))""",
     "cascade_delete": """
         SELECT 'orders' AS table_name, order_id, cast(total_amount AS double) AS amount FROM doomed
         UNION ALL
@@ -394,9 +466,8 @@ SELECTS = {
         FROM built b JOIN d_payments y ON y.order_id = b.cart_id""",
     "apply_defaults": f"""
         SELECT order_id, customer_id, CASE order_id % 4 WHEN 0 THEN 'pending' ELSE status END AS status,
-               cast(total_amount AS double) AS total_amount, created_at,
-               CASE order_id % 5 WHEN 0 THEN {AS_OF} ELSE updated_at END AS updated_at
-        FROM d_orders""",
+               cast(total_amount AS double) AS total_amount, city, created_at, {AS_OF} AS updated_at
+        FROM d_city_orders""",
     "assign_keys": """
         SELECT order_id, created_at, 1000 + row_number() OVER (ORDER BY created_at, order_id) AS number
         FROM d_orders""",
@@ -431,6 +502,46 @@ SELECTS = {
         SELECT c.customer_id, count(o.order_id) AS children
         FROM d_customers c LEFT JOIN d_orders o USING (customer_id)
         GROUP BY c.customer_id HAVING count(o.order_id) <> 1""",
+    "check_all_rules": """
+        SELECT 'orders' AS table_name, order_id AS key, 'status' AS column_name, 'domain' AS rule, status AS value
+        FROM f_orders WHERE status NOT IN ('pending', 'confirmed', 'shipped', 'delivered', 'cancelled')
+        UNION ALL SELECT 'orders', order_id, 'status', 'length', status FROM f_orders WHERE length(status) > 30
+        UNION ALL SELECT 'orders', order_id, 'city', 'length', city FROM f_orders WHERE length(city) > 100
+        UNION ALL SELECT 'products', product_id, 'price', 'range', cast(price AS varchar) FROM f_products WHERE price < 0
+        UNION ALL SELECT 'products', product_id, 'stock', 'range', cast(stock AS varchar) FROM f_products WHERE stock < 0
+        UNION ALL SELECT 'payments', payment_id, 'method', 'domain', method FROM f_payments WHERE method = 'cash'
+        UNION ALL SELECT 'payments', payment_id, 'status', 'domain', status FROM f_payments WHERE status = 'open'
+        UNION ALL SELECT 'order_items', item_id, 'quantity', 'range', cast(quantity AS varchar) FROM keyed_items
+        WHERE quantity <= 0
+        UNION ALL SELECT 'order_items', item_id, 'unit_price', 'range', cast(unit_price AS varchar) FROM keyed_items
+        WHERE unit_price < 0
+        UNION ALL SELECT 'customers', NULL, 'email', 'unique', email FROM f_customers GROUP BY email HAVING count(*) > 1
+        UNION ALL SELECT 'products', NULL, 'sku', 'unique', sku FROM f_products GROUP BY sku HAVING count(*) > 1
+        UNION ALL SELECT 'payments', NULL, 'transaction_ref', 'unique', transaction_ref FROM f_payments
+        GROUP BY transaction_ref HAVING count(*) > 1
+        UNION ALL SELECT 'categories', NULL, 'name', 'unique', name FROM f_categories GROUP BY name HAVING count(*) > 1""",
+    "check_all_nulls": """
+        SELECT * FROM (
+            SELECT 'orders' AS table_name, 'status' AS column_name, count(*) FILTER (WHERE status IS NULL) AS nulls FROM f_orders
+            UNION ALL SELECT 'orders', 'created_at', count(*) FILTER (WHERE created_at IS NULL) FROM f_orders
+            UNION ALL SELECT 'customers', 'first_name', count(*) FILTER (WHERE first_name IS NULL) FROM f_customers) n
+        WHERE nulls > 0""",
+    "check_all_references": """
+        SELECT 'orders' AS table_name, 'customer_id' AS column_name, count(*) AS rows, count(DISTINCT customer_id) AS parents
+        FROM f_orders WHERE customer_id NOT IN (SELECT customer_id FROM d_customers)
+        UNION ALL SELECT 'products', 'category_id', count(*), count(DISTINCT category_id) FROM f_products
+        WHERE category_id NOT IN (SELECT category_id FROM d_categories)
+        UNION ALL SELECT 'order_items', 'order_id', count(*), count(DISTINCT order_id) FROM keyed_items
+        WHERE order_id NOT IN (SELECT order_id FROM d_orders)
+        UNION ALL SELECT 'order_items', 'product_id', count(*), count(DISTINCT product_id) FROM keyed_items
+        WHERE product_id NOT IN (SELECT product_id FROM d_products)
+        UNION ALL SELECT 'payments', 'order_id', count(*), count(DISTINCT order_id) FROM f_payments
+        WHERE order_id NOT IN (SELECT order_id FROM d_orders)""",
+    "check_one_payment_per_order": """
+        SELECT o.order_id, count(p.paid) AS children
+        FROM d_orders o LEFT JOIN (SELECT CASE order_id % 3 WHEN 0 THEN order_id + 1 ELSE order_id END AS paid
+                                   FROM d_payments) p ON p.paid = o.order_id
+        GROUP BY o.order_id HAVING count(p.paid) <> 1""",
     "check_order_totals": """
         SELECT o.order_id, cast(o.total_amount AS double) AS total_amount,
                cast(coalesce(t.total, 0) AS double) AS items_total
@@ -443,6 +554,15 @@ SELECTS = {
                      (SELECT count(*) FROM l_orders) AS target_rows
               UNION ALL
               SELECT 'products', (SELECT count(*) FROM d_products), (SELECT count(*) FROM l_products)) t""",
+    "reconcile_counts_all": """
+        SELECT table_name, source_rows, target_rows, source_rows - target_rows AS behind
+        FROM (SELECT 'orders' AS table_name, (SELECT count(*) FROM d_orders) AS source_rows,
+                     (SELECT count(*) FROM l_orders) AS target_rows
+              UNION ALL SELECT 'products', (SELECT count(*) FROM d_products), (SELECT count(*) FROM l_products)
+              UNION ALL SELECT 'categories', count(*), count(*) FROM d_categories
+              UNION ALL SELECT 'customers', count(*), count(*) FROM d_customers
+              UNION ALL SELECT 'payments', count(*), count(*) FROM d_payments
+              UNION ALL SELECT 'order_items', count(*), count(*) FROM keyed_items) t""",
     "reconcile_diff": """
         SELECT coalesce(s.order_id, t.order_id) AS order_id,
                CASE WHEN t.order_id IS NULL THEN 'missing' WHEN s.order_id IS NULL THEN 'extra'
@@ -453,4 +573,13 @@ SELECTS = {
            OR s.created_at IS DISTINCT FROM t.created_at""",
 }
 
+# The same question put to other forms of the tables has the same answer.
+SELECTS |= {
+    "q1_from_store": SELECTS["q1_daily_category_revenue"],
+    "q2_from_store": SELECTS["q2_customer_ltv"],
+    "q3_sql": SELECTS["q3_city_fulfillment"],
+    "q4_from_store": SELECTS["q4_product_performance"],
+    "q5_sql": SELECTS["q5_payment_share"],
+}
+
 ORACLE = {name: sql(select) for name, select in SELECTS.items()}

@@ -22,7 +22,7 @@ from tallybrook.plans import business as B
 from tallybrook.schema import META_COLUMNS, ORDERS, PRODUCTS, TABLES
 from tallybrook.session import apply_settings, work_folder
 from tallybrook.sources.changelog import ChangelogStore
-from tallybrook.sources.feed import stream_messages
+from tallybrook.sources.feed import read_messages, stream_messages
 from tallybrook.sources.snapshot import snapshot_rows
 from tallybrook.streaming.ingest import start_ingest
 from tallybrook.streaming.state import read_latest, start_latest
@@ -89,6 +89,68 @@ def q5_payment_share(spark, sf):
     return B.payment_shares(X.shop(spark, sf))
 
 
+STORES: dict[tuple[str, str], ChangelogStore] = {}
+
+
+def _stored(spark, sf) -> ChangelogStore:
+    """All tables in a store: a compacted snapshot with two batches of changes waiting."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in STORES:
+        STORES[key] = X.stored_shop(spark, sf, work_folder(spark, "shop"), compact_after=0)
+    return STORES[key]
+
+
+def _live_tables(spark, sf, **immutable) -> dict[str, DataFrame]:
+    store = _stored(spark, sf)
+    return {name: store.live(name, immutable.get(name)) for name in TABLES}
+
+
+@query
+def q1_from_store(spark, sf):
+    recent = F.col("created_at") >= X.as_of() - F.expr(B.RECENT)
+    return B.daily_category_revenue(_live_tables(spark, sf, orders=recent), X.as_of())
+
+
+@query
+def q2_from_store(spark, sf):
+    return B.customer_ltv(_live_tables(spark, sf))
+
+
+@query
+def q4_from_store(spark, sf):
+    return B.product_performance(_live_tables(spark, sf))
+
+
+@query
+def q3_sql(spark, sf):
+    """The question in SQL, over views of the stored tables."""
+    _stored(spark, sf).register_views("shop_")
+    return spark.sql(
+        """
+        SELECT city, count(*) AS total_orders, count_if(status = 'delivered') AS delivered,
+               count_if(status = 'cancelled') AS cancelled,
+               round(100.0 * count_if(status = 'delivered') / count(*), 2) AS fulfillment_pct,
+               round(cast(sum(total_amount) AS decimal(24,2)) / cast(count(total_amount) AS decimal(14,0)), 2) AS avg_ticket
+        FROM shop_orders GROUP BY city
+        """
+    )
+
+
+@query
+def q5_sql(spark, sf):
+    """The question in SQL, over views of the stored tables."""
+    _stored(spark, sf).register_views("shop_")
+    return spark.sql(
+        """
+        SELECT method, status, tx_count, total_amount,
+               round(cast(total_amount AS decimal(24,2)) / cast(tx_count AS decimal(14,0)), 2) AS avg_amount,
+               round(100.0 * tx_count / sum(tx_count) OVER (PARTITION BY method), 2) AS status_share_pct
+        FROM (SELECT method, status, count(*) AS tx_count, sum(amount) AS total_amount
+              FROM shop_payments GROUP BY method, status)
+        """
+    )
+
+
 # ---- changelog and current state -----------------------------------------------------
 
 STATE = ("order_id", "customer_id", "status", "total_amount", "created_at", "_version", "_is_deleted")
@@ -99,6 +161,20 @@ def snapshot_load(spark, sf):
     return snapshot_rows(X.products(spark, sf), PRODUCTS)
 
 
+@query
+def snapshot_load_all(spark, sf):
+    """The first copy of all six tables in a store: rows, keys and versions of each."""
+    store = ChangelogStore(spark, work_folder(spark, "load"))
+    store.load_snapshot(X.shop_sources(spark, sf))
+    counted = [
+        store.history(name).agg(F.count("*").alias("rows"), F.sum(spec.key).alias("key_sum"), F.max("_version").alias("version")).select(
+            F.lit(name).alias("table_name"), "rows", "key_sum", "version"
+        )
+        for name, spec in TABLES.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query
 def changelog_history(spark, sf):
     return X.orders_log(spark, sf).select(*STATE)
@@ -166,8 +242,61 @@ def compact_changelog(spark, sf):
     for number, rows in _batches(log):
         store.append_rows({"orders": rows.drop("_batch_id")}, "log", number)
         if number > 0:
-            store.compact("orders", buckets=8)
-    return store.history("orders").drop("_seq", "_batch_id")
+            store.compact()
+    return store.newest("orders").drop("_seq")
+
+
+@query
+def changelog_history_store(spark, sf):
+    """All versions of all batches, two of them folded into a base."""
+    store = ChangelogStore(spark, work_folder(spark, "history"))
+    for number, rows in _batches(X.orders_log(spark, sf, with_city=True)):
+        store.append_rows({"orders": rows.drop("_batch_id")}, "log", number)
+        if number == 1:
+            store.compact()
+    return store.history("orders").select(*STATE, "_batch_id")
+
+
+@query
+def late_batch_after_compaction(spark, sf):
+    """The first batch arrives after the two that follow it have been folded."""
+    store = ChangelogStore(spark, work_folder(spark, "late-batch"))
+    first, *others = _batches(X.orders_log(spark, sf, with_city=True))
+    for number, rows in others:
+        store.append_rows({"orders": rows.drop("_batch_id")}, "log", number)
+    store.compact()
+    store.append_rows({"orders": first[1].drop("_batch_id")}, "log", first[0])
+    return store.live("orders")
+
+
+@query
+def quarantine_kept(spark, sf):
+    """What could not be applied stays, whatever compaction does to the batches."""
+    store = ChangelogStore(spark, work_folder(spark, "quarantine"))
+    for number, part in enumerate(_halves(spark, sf)):
+        store.append_messages(part, "feed", number, X.as_of())
+        store.compact()
+    return store.quarantine().select("_version", "_seq", F.col("_table").alias("table_name"), "reason")
+
+
+@query
+def change_counts_store(spark, sf):
+    """Changes per batch, table and kind, out of the changelog."""
+    store = ChangelogStore(spark, work_folder(spark, "counts"))
+    for number, part in enumerate(_halves(spark, sf)):
+        store.append_messages(part, "feed", number, X.as_of())
+    return store.change_counts().drop("run")
+
+
+@query
+def feed_broken_lines(spark, sf):
+    """Why messages were not applied, out of a landed feed with broken lines and with
+    messages that have lost their position."""
+    folder = work_folder(spark, "broken")
+    event = F.col("lsn") - X.FIRST_LSN
+    line = F.to_json(F.struct(F.when(event % 103 != 0, F.col("lsn")).alias("lsn"), "payload"))
+    X.messages(spark, sf).select(F.when(event % 101 == 0, F.lit("{broken")).otherwise(line).alias("value")).write.text(folder)
+    return D.quarantine(D.decode_changes(read_messages(spark, folder))).groupBy("reason").agg(F.count("*").alias("changes"))
 
 
 @query
@@ -337,6 +466,20 @@ def latest_state_stream(spark, sf):
     return read_latest(spark, f"{folder}/state", "order_id").drop("_seq")
 
 
+@query
+def state_new_checkpoint(spark, sf):
+    """The second half of the feed comes under a new checkpoint, which numbers from zero."""
+    folder = work_folder(spark, "state-again")
+    columns = ["customer_id", "status", "total_amount"]
+    for number, part in enumerate(_halves(spark, sf)):
+        part.write.json(f"{folder}/feed-{number}")
+        changes = D.change_rows(D.decode_changes(stream_messages(spark, f"{folder}/feed-{number}")), ORDERS)
+        start_latest(
+            spark, changes, "order_id", columns, f"{folder}/state", f"{folder}/checkpoint-{number}", once=True
+        ).awaitTermination()
+    return read_latest(spark, f"{folder}/state", "order_id").drop("_seq")
+
+
 # ---- relational operators ------------------------------------------------------------
 
 
@@ -426,11 +569,24 @@ def top_k(spark, sf):
     )
 
 
+def sample_n_rows(spark, sf) -> DataFrame:
+    open_orders = X.live_orders(spark, sf).where(~F.col("status").isin(*CH.CLOSED_STATUSES))
+    return K.sample_rows(open_orders, 15, seed=7, key="order_id")
+
+
 @query
 def sample_n(spark, sf):
     """Fifteen random open orders, as the status update takes them."""
-    open_orders = X.live_orders(spark, sf).where(~F.col("status").isin(*CH.CLOSED_STATUSES))
-    return K.sample_rows(open_orders, 15, seed=7, key="order_id")
+    return sample_n_rows(spark, sf)
+
+
+@query
+def sample_n_summary(spark, sf):
+    """How many rows and orders the sample has, and whether all of them are open."""
+    closed = F.col("status").isin(*CH.CLOSED_STATUSES)
+    return sample_n_rows(spark, sf).agg(
+        F.count("*").alias("rows"), F.count_distinct("order_id").alias("orders"), F.bool_and(~closed).alias("all_open")
+    )
 
 
 # ---- aggregate functions -------------------------------------------------------------
@@ -455,6 +611,13 @@ def agg_approx_distinct(spark, sf):
     return _per_status(spark, sf, M.distinct_count("order_id", approximate=True).alias("orders"))
 
 
+@query
+def agg_approx_within_error(spark, sf):
+    """Exact counts, and whether the approximate ones lie within three standard errors."""
+    counts = _per_status(spark, sf, M.distinct_count("order_id").alias("orders"), M.distinct_count("order_id", approximate=True).alias("close"))
+    return counts.select("status", "orders", (F.abs(F.col("close") - F.col("orders")) <= 0.15 * F.col("orders")).alias("within"))
+
+
 @query
 def agg_count_if(spark, sf):
     return _per_status(spark, sf, F.count_if(F.col("quantity") > 25).alias("large_lines"))
@@ -545,16 +708,16 @@ def fn_substring(spark, sf):
 @query
 def insert_if_absent(spark, sf):
     """A third of the customers exist; all arrive, the even ones twice."""
-    everyone = X.customers(spark, sf).select("customer_id", "email", "city")
+    everyone = X.customers(spark, sf).select("customer_id", "email", "first_name", "last_name", "city")
     existing = everyone.where(F.col("customer_id") % 3 == 0)
     arrivals = F.when(F.col("customer_id") % 2 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     new = everyone.withColumn("arrival", F.explode(arrivals))
-    return CH.insert_if_absent(new, existing, "email", ["arrival"])
+    return CH.insert_if_absent(new, existing, TABLES["customers"], "email", ["arrival"], X.as_of(), NEXT_VERSION)
 
 
 @query
 def advance_status(spark, sf):
-    return CH.advance_status(X.live_orders(spark, sf), X.as_of(), NEXT_VERSION)
+    return CH.advance_status(X.live_orders(spark, sf, with_city=True), X.as_of(), NEXT_VERSION)
 
 
 @query
@@ -577,7 +740,23 @@ def settle_old_payments(spark, sf):
 
 @query
 def expire_cancelled(spark, sf):
-    return CH.expire_cancelled(X.live_orders(spark, sf), X.as_of(), NEXT_VERSION)
+    return CH.expire_cancelled(X.live_orders(spark, sf, with_city=True), X.as_of(), NEXT_VERSION)
+
+
+@query
+def delete_restricted(spark, sf):
+    """Cancelled orders go unless they are paid, which every even one is; a tenth of the
+    payments are for one order."""
+    doomed = CH.expired_orders(X.live_orders(spark, sf, with_city=True), X.as_of())
+    order = F.col("order_id")
+    paid = X.payments(spark, sf).where(order % 2 == 0).withColumn("order_id", F.when(order % 10 == 0, F.lit(2)).otherwise(order))
+    gone = CH.delete_orders(doomed, X.order_items(spark, sf), paid, NEXT_VERSION)
+    parts = [
+        gone.orders.select(F.lit("orders").alias("table_name"), "order_id", F.col("total_amount").alias("amount")),
+        gone.items.select(F.lit("order_items").alias("table_name"), "order_id", F.col("unit_price").alias("amount")),
+        gone.payments.select(F.lit("payments").alias("table_name"), "order_id", "amount"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -619,7 +798,7 @@ def live_from_store(spark, sf):
     for number, rows in _batches(X.orders_log(spark, sf, with_city=True)):
         store.append_rows({"orders": rows.drop("_batch_id")}, "log", number)
         if number == 1:
-            store.compact("orders", buckets=8)
+            store.compact()
     return store.live("orders")
 
 
@@ -640,13 +819,9 @@ def build_orders_payments(spark, sf):
 
 @query
 def apply_defaults(spark, sf):
-    orders = X.orders(spark, sf)
-    partial = orders.withColumns(
-        {
-            "status": F.when(F.col("order_id") % 4 != 0, F.col("status")),
-            "updated_at": F.when(F.col("order_id") % 5 != 0, F.col("updated_at")),
-        }
-    )
+    """Every fourth order has no status; nobody gives the time of the update."""
+    orders = X.orders(spark, sf, with_city=True)
+    partial = orders.withColumn("status", F.when(F.col("order_id") % 4 != 0, F.col("status"))).drop("updated_at")
     return CH.apply_defaults(partial, ORDERS, X.as_of())
 
 
@@ -721,6 +896,67 @@ def check_one_to_one(spark, sf):
     return Q.check_one_to_one(X.customers(spark, sf), X.orders(spark, sf), "customer_id")
 
 
+def _faulty(spark, sf) -> dict[str, DataFrame]:
+    """All tables with planted faults of every rule."""
+
+    def every(n: int, key: str, column: str, value) -> dict:
+        return {column: F.when(F.col(key) % n == 1, value).otherwise(F.col(column))}
+
+    customers = X.customers(spark, sf).withColumns(
+        every(10, "customer_id", "email", F.concat(F.lit("x"), (F.col("customer_id") % 50).cast("string")))
+        | every(40, "customer_id", "first_name", F.lit(None).cast("string"))
+    )
+    products = X.products(spark, sf).withColumns(
+        {"stock": F.col("stock") - 10, "price": (F.col("price") - 950).cast(X.MONEY)}
+        | every(20, "product_id", "sku", F.lit("SKU-0"))
+        | every(30, "product_id", "category_id", F.lit(999).cast("bigint"))
+    )
+    payments = X.payments(spark, sf).withColumns(
+        every(100, "payment_id", "method", F.lit("cash"))
+        | every(70, "payment_id", "status", F.lit("open"))
+        | every(50, "payment_id", "transaction_ref", F.lit("TX-0"))
+        | every(60, "payment_id", "order_id", F.lit(-1).cast("bigint"))
+    )
+    items = X.keyed_items(spark, sf).withColumns(
+        every(90, "product_id", "quantity", F.lit(0)) | every(80, "product_id", "unit_price", F.lit(-1).cast(X.MONEY))
+    )
+    categories = X.categories(spark, sf).withColumn("name", F.when(F.col("category_id") < 20, "twice").otherwise(F.col("name")))
+    orders = _spoiled(spark, sf).withColumns(every(45, "order_id", "customer_id", F.lit(-1).cast("bigint")))
+    return {
+        "categories": categories,
+        "customers": customers,
+        "products": products,
+        "orders": orders,
+        "order_items": items,
+        "payments": payments,
+    }
+
+
+@query
+def check_all_rules(spark, sf):
+    """Value sets, bounds, lengths and uniqueness, of every table."""
+    return Q.check_tables(_faulty(spark, sf))
+
+
+@query
+def check_all_nulls(spark, sf):
+    return Q.check_nulls(_faulty(spark, sf))
+
+
+@query
+def check_all_references(spark, sf):
+    """Rows without their parent, for all five references."""
+    return Q.missing_parents(_faulty(spark, sf))
+
+
+@query
+def check_one_payment_per_order(spark, sf):
+    """Orders without a payment or with several: every third payment is for the next order."""
+    order = F.col("order_id")
+    moved = X.payments(spark, sf).withColumn("order_id", F.when(order % 3 == 0, order + 1).otherwise(order))
+    return Q.check_one_to_one(X.orders(spark, sf), moved, "order_id")
+
+
 @query
 def check_order_totals(spark, sf):
     return Q.check_order_totals(X.live_orders(spark, sf), X.order_items(spark, sf))
@@ -736,6 +972,12 @@ def reconcile_counts(spark, sf):
     return R.reconcile_counts(sources, targets)
 
 
+@query
+def reconcile_counts_all(spark, sf):
+    """Row counts of all six tables, the target's out of the store."""
+    return R.reconcile_counts(X.shop_sources(spark, sf), _live_tables(spark, sf))
+
+
 @query
 def reconcile_diff(spark, sf):
     columns = ["customer_id", "status", "total_amount", "created_at"]
