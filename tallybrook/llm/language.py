@@ -35,9 +35,10 @@ DICTIONARY_BYTES = 1 << 17
 LANGUAGES = 1_000
 
 SEGMENT_BYTES = 4096
-LEVEL = 3
-# Short texts differ by few bytes: they get the level that finds the shortest form.
-SHORT_BYTES, SHORT_LEVEL = 512, 19
+LEVEL = 6
+# Short texts differ by few bytes: they are compressed with every part of the dictionary,
+# and the bytes are added up.
+SHORT_BYTES, SHORT_PARTS = 512, 8
 
 # A margin below this is narrow.
 MIN_MARGIN = 0.004
@@ -94,10 +95,15 @@ def compressors_of(contents: list[bytes], level: int) -> list[zstandard.ZstdComp
     return found
 
 
-def sizes(data: bytes, compressors: list[zstandard.ZstdCompressor], segment: int) -> np.ndarray:
-    """Bytes of the text under each dictionary."""
+def split(content: bytes, parts: int) -> list[bytes]:
+    size = -(-len(content) // parts) or 1
+    return [content[i : i + size] for i in range(0, len(content), size)] or [b""]
+
+
+def sizes(data: bytes, languages: list[list[zstandard.ZstdCompressor]], segment: int) -> np.ndarray:
+    """Bytes of the text under the dictionaries of each language, on average."""
     parts = [data[i : i + segment] for i in range(0, len(data), segment)]
-    return np.array([sum([len(c.compress(p)) for p in parts]) for c in compressors], np.int64)
+    return np.array([sum([len(c.compress(p)) for p in parts for c in own]) / len(own) for own in languages])
 
 
 def identify(
@@ -142,7 +148,8 @@ def _judged(
     rows, schema = carrying(documents, _id=id_column, _text=text_column)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        usual, close = compressors_of(shared.value, level), compressors_of(shared.value, SHORT_LEVEL)
+        usual = [compressors_of([content], level) for content in shared.value]
+        close = [compressors_of(split(content, SHORT_PARTS), level) for content in shared.value]
         for batch in batches:
             langs, scores = [], []
             for value in batch.column(1):
