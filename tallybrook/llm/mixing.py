@@ -52,11 +52,18 @@ def source_targets(sizes: dict[str | None, int], percent: int, most: int, weight
 
 
 def fit(lengths: list[int], counts: list[int], budget: int, window: int = WINDOW) -> list[int]:
-    """How many documents of each length to take so that the words come as near to the
-    budget as they can without passing it, at an even share of every length."""
+    """How many documents of each length to take so that the words come near to the budget,
+    at an even share of every length. Taking documents fits it from below, leaving the
+    others out fits it from above; the nearer one counts."""
     total = sum(n * c for n, c in zip(lengths, counts))
     if budget >= total:
         return list(counts)
+    below = _fill(lengths, counts, budget, total, window)
+    above = [c - n for c, n in zip(counts, _fill(lengths, counts, total - budget, total, window))]
+    return min(below, above, key=lambda taken: abs(sum(n * t for n, t in zip(lengths, taken)) - budget))
+
+
+def _fill(lengths: list[int], counts: list[int], budget: int, total: int, window: int) -> list[int]:
     taken = [0] * len(lengths)
     # Even shares up to a window before the budget, which the knapsack then fills.
     share = max(0, budget - window // 2)

@@ -113,13 +113,15 @@ def base_counts(texts: Texts) -> dict[str, np.ndarray]:
 
 def _dup_lines(texts: Texts, found: Words) -> np.ndarray:
     data, offsets = texts
+    if not len(data):
+        return np.zeros(len(offsets) - 1, np.int64)
     feeds = np.flatnonzero(data == 0x0A)
     starts = np.unique(np.concatenate((offsets[:-1], feeds + 1)))
     starts = starts[starts < len(data)]
     ends = np.concatenate((starts[1:], [len(data)])).astype(np.int64)
     owners = np.searchsorted(offsets, starts, "right") - 1
     # A line ends before its line feed; the last line of a text has none.
-    ends = ends - (data[ends - 1] == 0x0A) if len(ends) else ends
+    ends = ends - (data[ends - 1] == 0x0A)
     wordy = np.searchsorted(found.starts, ends) > np.searchsorted(found.starts, starts)
     starts, ends, owners = starts[wordy], ends[wordy], owners[wordy]
     # Only lines of one length and one first word can be equal.
