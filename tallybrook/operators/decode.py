@@ -38,13 +38,15 @@ QUARANTINED = (MALFORMED, NO_POSITION)
 
 def decode_changes(messages: DataFrame) -> DataFrame:
     """One row per change in message order, and one row per malformed message: one that is
-    not JSON, is empty or NULL, or has no list of changes, and one per change that is null."""
+    not JSON, is empty or NULL, or has neither a position nor changes; and one per change
+    that is null."""
     parsed = messages.select(
         "lsn",
         "payload",
         F.from_json("payload", ENVELOPE, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("m"),
     )
-    bad = F.col("m._corrupt_record").isNotNull() | F.col("m.change").isNull()
+    lost = F.col("lsn").isNull() & F.col("m.change").isNull()
+    bad = F.col("m._corrupt_record").isNotNull() | F.col("m").isNull() | lost
     one_empty = F.array(F.lit(None).cast(CHANGE_TYPE))
     changes = parsed.select(
         "lsn",

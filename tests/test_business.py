@@ -24,8 +24,7 @@ def store(spark, tmp_path_factory):
 @pytest.mark.parametrize("compacted", [False, True])
 def test_store_gives_the_same_answers(spark, sf_dir, store, compacted):
     if compacted:
-        for name in TABLES:
-            store.compact(name, buckets=4)
+        store.compact()
     tables = {name: store.live(name) for name in TABLES}
     for name, run in RUNS.items():
         assert plain(run(tables)).collect() == QUERIES[name](spark, sf_dir).collect(), name

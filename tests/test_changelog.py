@@ -163,7 +163,7 @@ def test_quarantine_is_stored(spark, tmp_path):
 
 
 def test_nothing_vanishes_without_a_trace(spark, tmp_path):
-    rows = [(1, None), (2, ""), (3, "{}"), (4, '{"change":[null]}'), (5, '{"change":[]}'), (None, m.payload(m.insert(7)))]
+    rows = [(1, None), (2, ""), (3, " "), (4, '{"change":[null]}'), (5, '{"change":[]}'), (None, m.payload(m.insert(7)))]
     store = ChangelogStore(spark, str(tmp_path))
     store.append_messages(spark.createDataFrame(rows, "lsn BIGINT, payload STRING"), "run", 0)
     found = sorted((r._version or 0, r.reason) for r in store.quarantine().collect())
