@@ -233,7 +233,8 @@ def top_k(
             "id", "v", F.transform("id", lambda _: F.lit(-math.inf)).alias("least")
         ) if best_so_far is None else _with_thresholds(queries, best_so_far, k)
         pairs = asking.mapInArrow(opened(upto, passed), "annulus long, slice long, q binary, qv binary, least binary")
-        scored = pairs.join(held, ["annulus", "slice"]).mapInArrow(score, "query_id long, vec_id long, score long")
+        # Both sides hold packed vectors, which Spark would take for small enough to broadcast.
+        scored = pairs.hint("merge").join(held, ["annulus", "slice"]).mapInArrow(score, "query_id long, vec_id long, score long")
         best(scored if best_so_far is None else scored.unionByName(best_so_far)).write.parquet(f"{folder}/best-{number}")
         best_so_far = spark.read.parquet(f"{folder}/best-{number}")
         passed = upto
