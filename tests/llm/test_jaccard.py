@@ -9,6 +9,11 @@ from tallybrook.llm.words import mix
 from tallybrook.session import work_folder
 
 
+def linked(a, b, percent):
+    common = len(np.intersect1d(a, b))
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
 def shingles(text, width):
     text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
@@ -61,7 +66,9 @@ def test_chains_copies_and_borderline_pairs(llm_spark):
     rows += [(1100, None), (1101, ""), (1102, " \n"), (1103, "one"), (1104, "ONE"), (1105, "one two")]
     frame = llm_spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     for width, percent in ((3, 90), (1, 80)):
-        assert ours(frame, width, percent, slice_sets=3) == brute(rows, width, percent)
+        expected = brute(rows, width, percent)
+        assert ours(frame, width, percent, slice_sets=3, askers=2, broadcast_ids=0) == expected
+        assert ours(frame, width, percent) == expected
 
 
 def test_repeated_rows_nulls_and_empty_tables(odd, none):
@@ -83,7 +90,7 @@ def test_similar_sets_share_a_part(percent):
         drop = int(random_.integers(0, n // 4 + 1))
         add = int(random_.integers(0, n // 3 + 1))
         b = np.concatenate((a[drop:], tokens[n : n + min(add, 200)]))
-        if J.linked(np.sort(a), np.sort(b), percent):
+        if linked(np.sort(a), np.sort(b), percent):
             assert np.intersect1d(J.part_hashes(np.sort(a), percent), J.part_hashes(np.sort(b), percent)).size
 
 
@@ -98,10 +105,28 @@ def test_bound_never_rules_out_a_link():
         wide = min(len(J.bits_of(b)), len(J.bits_of(other)))
         union = J.narrowed(J.bits_of(b), wide) | J.narrowed(J.bits_of(other), wide)
         sizes = sorted((len(b), len(other)))
-        if J.linked(a, b, 90):
+        if linked(a, b, 90):
             assert J.may_link(J.bits_of(a), n, union, sizes[0], sizes[1], 90)
 
 
+def test_similar_and_spanning():
+    chance = random.Random(9)
+    sets = [np.unique(np.array([chance.randrange(40) for _ in range(chance.randint(1, 60))], np.uint64)) for _ in range(30)]
+    table = J.similar(sets, sets, 60)
+    assert all(table[i, j] == linked(sets[i], sets[j], 60) for i in range(30) for j in range(30))
+    some = J.similar(sets[:7], sets[7:], 60)
+    assert (some == table[:7, 7:]).all()
+    links = J.spanning(table)
+    assert all(table[i, j] for i, j in links) and len(links) < 30
+
+
+def test_large_matrices_are_multiplied_in_pieces(monkeypatch):
+    sets = [np.arange(i, i + 50, dtype=np.uint64) for i in range(0, 60, 7)]
+    whole = J.overlaps(sets, sets)
+    monkeypatch.setattr(J, "COLUMNS", 16)
+    assert (J.overlaps(sets, sets) == whole).all() and whole[0, 1] == 43
+
+
 def test_components(llm_spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 200), (5, 5)]
     frame = llm_spark.createDataFrame(edges, "a long, b long").repartition(4)
