@@ -8,7 +8,7 @@ With rate 0 the ids are those of the sentencepiece library.
 
 The variant of a run comes from a keyed hash of document and place. Short runs have
 ``variants`` of them and longer ones ``long_variants``: a worker keeps the ids of the runs
-it has met, and long runs are the many rare ones.
+it has met, and long runs are the many rare ones, so each variant costs as much again.
 
 Defined cases: NULL gives NULL both ways; the empty text has no ids; a character without a
 piece, and U+2581 itself, becomes byte pieces, so every text comes back as it was; texts
@@ -36,8 +36,15 @@ from tallybrook.llm.words import mix, pieces
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
 MASK = (1 << 64) - 1
+NEVER = float("inf")
 SHORT_RUN = 5
 
+# Rows decoded at once.
+ROWS_AT_ONCE = 256
+
+# Symbols up to which a list is the faster agenda.
+FEW_SYMBOLS = 48
+
 
 class Vocabulary:
     """Ids and ranks of pieces, byte pieces, and the bytes each id stands for."""
@@ -62,12 +69,63 @@ def vocabulary_of(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def skipped(word: int, left: int, end: int, limit: int) -> bool:
+    """Whether a candidate is skipped: a hash of the keyed run and of where it lies."""
+    return ((word ^ (left * 0x9E3779B97F4A7C15 + end * 0xC2B2AE3D27D4EB4F)) * 0xBF58476D1CE4E5B9) & MASK < limit
+
+
 def segment(run: str, vocabulary: Vocabulary, rate: float = 0.0, key: int = 0) -> list[int]:
     """Ids of one run, to which its leading space has been restored."""
-    ranks = vocabulary.ranks
-    # A literal U+2581 must not look like a space: U+0000 stands in for it, which has no
-    # piece of its own either.
-    symbols = [SPACE, *(SPACE if c == " " else "\0" if c == SPACE else c for c in run)]
+    if SPACE in run or " " in run:
+        # A literal U+2581 must not look like a space: U+0000 stands in for it, which has
+        # no piece of its own either.
+        symbols = [SPACE, *(SPACE if c == " " else "\0" if c == SPACE else c for c in run)]
+    else:
+        symbols = [SPACE, *run]
+    limit = int(rate * (1 << 64))
+    word = xxhash.xxh3_64_intdigest(run.encode(), key & MASK) if limit else 0
+    merge = _merge_few if len(symbols) <= FEW_SYMBOLS else _merge_many
+    symbols = merge(symbols, vocabulary.ranks, word, limit)
+    known = vocabulary.ids
+    out = list(map(known.get, symbols))
+    if None not in out and "\0" not in run:
+        return out
+    out, at, origin = [], 0, SPACE + run
+    for symbol in symbols:
+        piece = known.get(symbol) if symbol != "\0" else None
+        if piece is None:
+            out.extend(vocabulary.byte_ids[b] for b in origin[at].encode())
+        else:
+            out.append(piece)
+        at += len(symbol)
+    return out
+
+
+def _merge_few(symbols: list[str], ranks: dict[str, float], word: int, limit: int) -> list[str]:
+    """The agenda as a list: the rank of every neighbouring pair. Best for short runs."""
+    rank_of = ranks.get
+    starts = list(range(len(symbols) + 1))
+    agenda = [rank_of(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
+    while agenda:
+        best = min(agenda)
+        if best == NEVER:
+            break
+        i = agenda.index(best)
+        if limit and skipped(word, starts[i], starts[i + 2], limit):
+            agenda[i] = NEVER
+            continue
+        merged = symbols[i] + symbols.pop(i + 1)
+        symbols[i] = merged
+        del starts[i + 1], agenda[i]
+        if i < len(agenda):
+            agenda[i] = rank_of(merged + symbols[i + 1], NEVER)
+        if i:
+            agenda[i - 1] = rank_of(symbols[i - 1] + merged, NEVER)
+    return symbols
+
+
+def _merge_many(symbols: list[str], ranks: dict[str, float], word: int, limit: int) -> list[str]:
+    """The agenda as a heap of (rank, left, end), for runs of any length."""
     n = len(symbols)
     before, after = list(range(-1, n - 1)), list(range(1, n + 1))
     ends = list(range(1, n + 1))
@@ -77,19 +135,14 @@ def segment(run: str, vocabulary: Vocabulary, rate: float = 0.0, key: int = 0) -
         if rank is not None:
             agenda.append((rank, i, i + 2))
     heapq.heapify(agenda)
-    limit = int(rate * (1 << 64))
-    word = xxhash.xxh3_64_intdigest(run.encode(), key & MASK) if limit else 0
     while agenda:
         _, left, end = heapq.heappop(agenda)
         right = after[left]
         # Out of date: a symbol of the candidate has been merged otherwise.
         if not symbols[left] or right >= n or ends[right] != end:
             continue
-        if limit:
-            x = (word ^ (left * 0x9E3779B97F4A7C15 + end * 0xC2B2AE3D27D4EB4F)) & MASK
-            x = ((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9) & MASK
-            if x ^ (x >> 32) < limit:
-                continue
+        if limit and skipped(word, left, end, limit):
+            continue
         merged = symbols[left] + symbols[right]
         symbols[left], symbols[right] = merged, ""
         ends[left] = end
@@ -104,17 +157,7 @@ def segment(run: str, vocabulary: Vocabulary, rate: float = 0.0, key: int = 0) -
             rank = ranks.get(symbols[leads] + merged)
             if rank is not None:
                 heapq.heappush(agenda, (rank, leads, end))
-    out: list[int] = []
-    known, byte_ids = vocabulary.ids, vocabulary.byte_ids
-    origin = SPACE + run
-    for i, symbol in enumerate(symbols):
-        if symbol:
-            piece = known.get(symbol) if symbol != "\0" else None
-            if piece is None:
-                out.extend(byte_ids[b] for b in origin[i].encode())
-            else:
-                out.append(piece)
-    return out
+    return [x for x in symbols if x]
 
 
 @cache
@@ -125,7 +168,7 @@ def worker_runs_of(path: str, rate: float, seed: int, limit: int) -> RunTable:
 
     def encode(found: list[str]) -> list[bytes]:
         keys = {v: xxhash.xxh3_64_intdigest(f"{seed}/{v}") for v in {ord(x[0]) for x in found}}
-        return [np.array(segment(x[1:], vocabulary, rate, keys[ord(x[0])]), np.int32).tobytes() for x in found]
+        return [np.array(segment(x[1:], vocabulary, rate, keys[ord(x[0])]), np.uint16).tobytes() for x in found]
 
     return RunTable(encode, limit)
 
@@ -138,9 +181,9 @@ def encode_texts(
     rate: float = 0.1,
     seed: int = 17,
     variants: int = 8,
-    long_variants: int = 2,
+    long_variants: int = 1,
     vocabulary: str = VOCABULARY,
-    worker_runs: int = 1_500_000,
+    worker_runs: int = 500_000,
 ) -> DataFrame:
     """The documents with the ids of their whole texts as an array of ints."""
     documents = documents.drop(ids_column)
@@ -165,8 +208,8 @@ def encode_texts(
                 short = np.fromiter(map(len, flat), np.int64, len(flat)) <= SHORT_RUN
                 variant = np.where(short, chance % np.uint64(variants), chance % np.uint64(long_variants)).tolist()
                 values = table.values([signs[v] + x for v, x in zip(variant, flat)])
-                cuts = np.cumsum([0, *map(len, values)])[first] // 4
-                ids = pa.array(np.frombuffer(b"".join(values), np.int32))
+                cuts = np.cumsum([0, *map(len, values)])[first] // 2
+                ids = pa.array(np.frombuffer(b"".join(values), np.uint16).astype(np.int32))
                 absent = np.append(part.column(texts).is_null().to_numpy(zero_copy_only=False), False)
                 lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32), mask=absent), ids)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], [*part.schema.names[:-1], ids_column])
@@ -185,10 +228,12 @@ def decode_ids(
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stands_for = vocabulary_of(vocabulary).bytes.__getitem__
         for batch in batches:
-            texts = [
-                None if ids is None else b"".join(map(stands_for, ids))[1:].decode() for ids in _lists(batch.column(place))
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text_column])
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                texts = [
+                    None if ids is None else b"".join(map(stands_for, ids))[1:].decode() for ids in _lists(part.column(place))
+                ]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, text_column])
 
     return rows.mapInArrow(decode, ", ".join([*names, f"`{text_column}` string"]))
 

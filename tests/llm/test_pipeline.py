@@ -75,7 +75,9 @@ def test_the_mix_takes_effect(stages):
     words = lambda f: {r.source: r.n for r in f.groupBy("source").agg(F.sum(F.regexp_count("text", F.lit(mixing.WORD))).alias("n")).collect()}
     targets = mixing.source_targets(words(before), 150, 2)
     taken = words(after)
-    assert all(abs(taken.get(s, 0) - t) <= 50 for s, t in targets.items())
+    # A source of a few documents is met to within one of them.
+    longest = {r.source: r.n for r in before.groupBy("source").agg(F.max(F.regexp_count("text", F.lit(mixing.WORD))).alias("n")).collect()}
+    assert all(abs(taken.get(s, 0) - t) <= longest[s] for s, t in targets.items())
     assert max(rows(after).values()) == 2 and set(rows(after)) <= set(rows(before))
 
 

@@ -1,7 +1,8 @@
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tallybrook.llm.runs import load_pieces, runs
-from tallybrook.llm.sentencepieces import VOCABULARY, decode_ids, encode_texts, segment, vocabulary_of
+from tallybrook.llm.sentencepieces import VOCABULARY, _merge_few, _merge_many, decode_ids, encode_texts, segment, vocabulary_of
 
 
 def test_without_dropout_the_library_agrees(documents, odd):
@@ -38,6 +39,19 @@ def test_every_variant_is_a_merge_path():
     assert len(segment("international", vocabulary, 1.0)) == 14
 
 
+def test_both_agendas_agree():
+    vocabulary = vocabulary_of(VOCABULARY)
+    for run in ("international", "a▁b c  d", "aaaaaaaaaaaaaaaa", "日本語のテキスト", "x\0y", "thththththth-the,the"):
+        for rate, key in ((0.0, 0), (0.1, 1), (0.4, 2), (0.9, 3)):
+            word, limit = hash_of(run, key), int(rate * (1 << 64))
+            symbols = ["▁", *run]
+            assert _merge_few(list(symbols), vocabulary.ranks, word, limit) == _merge_many(list(symbols), vocabulary.ranks, word, limit)
+
+
+def hash_of(run, key):
+    return xxhash.xxh3_64_intdigest(run.encode(), key)
+
+
 def test_columns_are_kept_and_replaced(llm_spark, none):
     rows = llm_spark.createDataFrame([(1, "a b", 7, "x")], "doc_id long, text string, ids int, `odd name` string")
     out = encode_texts(rows)
