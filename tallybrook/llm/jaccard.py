@@ -46,11 +46,11 @@ from tallybrook.session import work_folder
 U64 = np.uint64
 
 # Sets in a slice, and sets that ask a slice at once.
-SLICE = 256
+SLICE = 1024
 ASKERS = 512
 
 # Columns of the matrix that are multiplied at once.
-COLUMNS = 1 << 15
+COLUMNS = 1 << 14
 
 # Ids of sets whose texts are read again are broadcast up to this number; beyond it the
 # texts are joined by a shuffle.
@@ -358,9 +358,9 @@ def jaccard_components(
     # Groups of sets that share parts, in slices.
     grouped = hits.groupBy("set_id").agg(F.min("lo").alias("group"))
     sizes = grouped.groupBy(F.col("group").alias("of")).agg(F.count("*").alias("sets"))
-    sliced = grouped.join(sizes, F.col("group") == F.col("of")).withColumn("slices", F.ceil(F.col("sets") / slice_sets))
+    sliced = grouped.join(sizes, F.col("group") == F.col("of"))
     grouped = written(
-        sliced.select("set_id", "group", F.pmod(F.xxhash64("set_id"), "slices").alias("slice"), "slices"), "grouped"
+        sliced.select("set_id", "group", F.pmod(F.xxhash64("set_id"), F.ceil(F.col("sets") / slice_sets)).alias("slice")), "grouped"
     )
     wanted = written(grouped.join(sets, "set_id").select(F.col("id").alias("of")).distinct(), "wanted")
     wanted = F.broadcast(wanted) if wanted.count() <= broadcast_ids else wanted
@@ -374,27 +374,26 @@ def jaccard_components(
     first_links = written(slices.mapInArrow(_link_slices(percent), "a long, b long"), "first-links")
     found = components(first_links, f"{folder}/first")
     named = grouped.join(found, F.col("set_id") == F.col("node"), "left").select(
-        "set_id", "group", "slices", F.coalesce("component", "set_id").alias("component")
+        "set_id", "group", "slice", F.coalesce("component", "set_id").alias("component")
     )
     weight = named.groupBy(F.col("component").alias("c")).agg(F.count("*").alias("sets"))
     named = written(named.join(weight, F.col("component") == F.col("c")).drop("c"), "named")
 
-    # Parts that lie in more than one component: of two, the smaller one asks the group of
-    # the other, all its slices.
+    # Parts that lie in more than one component: of two, the smaller one asks the slices
+    # of the other.
     placed = hits.select("part", "set_id").join(named, "set_id")
     crossing = placed.select("*", F.min("component").over(on_part).alias("lo"), F.max("component").over(on_part).alias("hi"))
     crossing = written(crossing.where("lo <> hi").drop("lo", "hi"), "crossing")
     rank = F.struct("sets", "component")
-    askable = crossing.groupBy("part", "group").agg(F.max(rank).alias("greatest"), F.max("slices").alias("slices"))
+    askable = crossing.groupBy("part", "group", "slice").agg(F.max(rank).alias("greatest"))
     asks = crossing.select("part", F.col("set_id"), rank.alias("own"))
-    asked_groups = asks.join(askable, "part").where("own < greatest").select("set_id", "group", "slices").distinct()
-    each = F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)
-    cells = written(asked_groups.select("set_id", "group", F.explode(each).alias("slice")), "cells")
+    cells = written(
+        asks.join(askable, "part").where("own < greatest").select("set_id", "group", "slice").distinct(), "cells"
+    )
 
     # The matrix bounds what a set can share with a slice.
     asked = cells.select("group", "slice").distinct()
-    asked_sets = grouped.select("set_id", "group", "slice").join(asked, ["group", "slice"], "left_semi")
-    inside = written(asked_sets.join(tokens, "set_id"), "inside")
+    inside = written(grouped.join(asked, ["group", "slice"], "left_semi").join(tokens, "set_id"), "inside")
     matrix = (
         inside.select("group", "slice", "tokens")
         .repartition("group", "slice")
