@@ -57,10 +57,12 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text under merge-dropout, and whether they decode to it."""
+    """Token ids of every text under merge-dropout, and whether they decode to it. The
+    copies of a document are numbered, so that each is segmented its own way."""
     ready(spark)
-    texts = docs.select("doc_id", "lang", "source", "text")
-    decoded = sentencepieces.decode_ids(sentencepieces.encode_texts(texts, rate=0.1, seed=17))
+    texts = docs.groupBy("doc_id", "lang", "source", "text").agg(F.count("*").cast("int").alias("_copies"))
+    texts = texts.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).drop("_copies")
+    decoded = sentencepieces.decode_ids(sentencepieces.encode_texts(texts, rate=0.1, seed=17, copy_column="_copy"))
     return decoded.select(
         "doc_id",
         "lang",

@@ -1,8 +1,13 @@
+from collections import Counter
+
+import corpus_pipeline
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 from tallybrook.llm.runs import load_pieces, runs
-from tallybrook.llm.sentencepieces import VOCABULARY, _merge_few, _merge_many, decode_ids, encode_texts, segment, vocabulary_of
+from tallybrook.llm.sentencepieces import VOCABULARY, Paths, _merge_few, _merge_many, decode_ids, encode_texts, segment, vocabulary_of
+from tallybrook.llm.words import mix
 
 
 def test_without_dropout_the_library_agrees(documents, odd):
@@ -63,3 +68,36 @@ def test_columns_are_kept_and_replaced(llm_spark, none):
 def test_runs_join_to_their_text():
     for text in ("a b", " a", "a  b", "a \n b c", "", " ", "a ▁ b c", "\t x y"):
         assert " ".join(runs(text)) == text
+
+
+def test_every_occurrence_draws_its_own_path(llm_spark):
+    """Long words vary from place to place, from document to document and by copy."""
+    rows = llm_spark.createDataFrame([(d, "international " * 40, c) for d in (1, 2) for c in (1, 2)], "doc_id long, text string, c int")
+    found = {(r.doc_id, r.c): r.ids for r in encode_texts(rows, copy_column="c").collect()}
+    assert len(set(map(tuple, found.values()))) == 4
+    vocabulary = vocabulary_of(VOCABULARY)
+    paths = Paths(VOCABULARY, 0.1, 1000)
+    for run in ("international", "an internationally known"):
+        ids, lengths = paths.of([run] * 200, mix(np.arange(200)))
+        outcomes = {tuple(x) for x in np.split(ids.tolist(), np.cumsum(lengths)[:-1])}
+        assert len(outcomes) > 8
+        assert {b"".join(vocabulary.bytes[i] for i in x).decode() for x in outcomes} == {f" {run}"}
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.4, 1.0])
+def test_columns_and_agenda_draw_alike(rate):
+    """Each outcome is as frequent as under a hash per candidate."""
+    vocabulary, n = vocabulary_of(VOCABULARY), 20_000
+    for run in ("other", "x▁y", "nations", "ጤና☃s"):
+        ids, lengths = Paths(VOCABULARY, rate, 0).of([run] * n, mix(np.arange(n)))
+        columns = Counter(tuple(x) for x in np.split(ids.tolist(), np.cumsum(lengths)[:-1]))
+        agenda = Counter(tuple(segment(run, vocabulary, rate, hash_of(str(k), 5))) for k in range(n))
+        for outcome in columns | agenda:
+            assert abs(columns[outcome] - agenda[outcome]) < 6 * max(columns[outcome], agenda[outcome], 9) ** 0.5 + 1
+
+
+def test_copies_of_the_mix_differ(llm_spark):
+    rows = [(1, "en", "a", "international committees negotiate " * 20)] * 3 + [(2, None, None, None)] * 2
+    out = corpus_pipeline.pieces_stage(llm_spark, llm_spark.createDataFrame(rows, "doc_id long, lang string, source string, text string"), "").collect()
+    assert len(out) == 5 and all(r.lossless for r in out)
+    assert len({tuple(r.ids) for r in out if r.doc_id == 1}) == 3
