@@ -3,7 +3,9 @@
 Every language has a zstandard dictionary of raw content: text of a bounded, labelled
 sample. A text is compressed with each dictionary, in segments, so that long texts go on
 profiting from it; the language with the fewest bytes wins, and the share by which the
-second best is larger is the margin. Narrow margins are rejected.
+second best is larger is the margin. Narrow margins are rejected. Where only one language
+is learned, compression without a dictionary stands for the second best: a text that the
+dictionary does not help is rejected.
 
 Defined cases: a NULL text, or one without a letter, is "und" with score 0 and rejected;
 equal sizes go to the smaller language name with score 0; whole texts count, whatever
@@ -95,6 +97,11 @@ def compressors_of(contents: list[bytes], level: int) -> list[zstandard.ZstdComp
     return found
 
 
+def bare_compressors(level: int) -> list[zstandard.ZstdCompressor]:
+    """Compression without a dictionary."""
+    return [zstandard.ZstdCompressor(level=level, write_content_size=False, write_checksum=False)]
+
+
 def split(content: bytes, parts: int) -> list[bytes]:
     size = -(-len(content) // parts) or 1
     return [content[i : i + size] for i in range(0, len(content), size)] or [b""]
@@ -150,6 +157,8 @@ def _judged(
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         usual = [compressors_of([content], level) for content in shared.value]
         close = [compressors_of(split(content, SHORT_PARTS), level) for content in shared.value]
+        if len(names) == 1:
+            usual, close = [*usual, bare_compressors(level)], [*close, bare_compressors(level)]
         for batch in batches:
             langs, scores = [], []
             for value in batch.column(1):
@@ -158,10 +167,10 @@ def _judged(
                 if text and names and _LETTER.search(text):
                     data = letters(text).encode()
                     found = sizes(data, close if len(data) <= SHORT_BYTES else usual, segment_bytes)
-                    best = int(found.argmin())
+                    # The size without a dictionary is no language's.
+                    best = int(found[: len(names)].argmin())
                     lang = names[best]
-                    if len(names) > 1:
-                        score = 1.0 - float(found[best]) / float(np.partition(found, 1)[1])
+                    score = max(0.0, 1.0 - float(found[best]) / float(np.delete(found, best).min()))
                 langs.append(lang)
                 scores.append(score)
             score = np.array(scores, np.float64)

@@ -57,3 +57,14 @@ def test_keep_identified_keeps_columns(many, known):
     kept = L.keep_identified(frame, known)
     assert kept.schema == frame.schema
     assert {tuple(r) for r in kept.collect()} == {tuple(r) for r in frame.collect() if r.doc_id in good}
+
+
+def test_a_corpus_of_one_language_is_kept(many):
+    english = many.where("lang = 'en'")
+    known = L.learn(english, ~L.held_out())
+    assert list(known) == ["en"]
+    rows = L.identify(english, known).where(L.held_out()).collect()
+    assert len(rows) > 50 and sum(r.rejected for r in rows) / len(rows) < 0.02
+    assert all(r.lang_pred == "en" and 0 <= r.score <= 1 for r in rows if not r.rejected)
+    noise = english.sparkSession.createDataFrame([(1, "ጤና ይስጥልኝ እንደምን አላችሁ ዛሬ")], "doc_id long, text string")
+    assert [r.rejected for r in L.identify(noise, known).collect()] == [True]
