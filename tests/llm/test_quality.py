@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -76,3 +77,23 @@ def test_keep_good_keeps_columns(documents, odd, none):
     assert {tuple(r) for r in kept.collect()} == {tuple(r) for r in frame.collect() if r.doc_id in good}
     assert Q.keep_good(none).collect() == [] and Q.quality_rules(none).collect() == []
     assert Q.keep_good(odd.select("doc_id", "text"), lang_column=None).columns == ["doc_id", "text"]
+
+
+def test_clean_prose_of_more_scripts_stays_and_dumps_go(llm_spark, documents):
+    chance = random.Random(1)
+    clean = {
+        "latin_marked": "Ủy ban sẽ họp lại vào tuần tới để thảo luận chi tiết về những điểm còn lại của kế hoạch và ngân sách.",
+        "georgian": "კომიტეტი მომავალ კვირას კვლავ შეიკრიბება, რათა დეტალურად განიხილოს გეგმის დარჩენილი საკითხები და ბიუჯეტი.",
+        "ethiopic": "ኮሚቴው በሚቀጥለው ሳምንት እንደገና ተሰብስቦ የዕቅዱን ቀሪ ነጥቦች እና በጀቱን በዝርዝር ይወያያል ብለው አስታወቁ።",
+        "myanmar": "ကော်မတီသည် နောက်အပတ်တွင် ထပ်မံ တွေ့ဆုံပြီး အစီအစဉ်၏ ကျန်ရှိသော အချက်များကို အသေးစိတ် ဆွေးနွေး သွားမည် ဟု ပြော သည်။",
+        "armenian": "Հանձնաժողովը հաջորդ շաբաթ կրկին կհավաքվի՝ մանրամասն քննարկելու ծրագրի մնացած կետերը և բյուջեն։",
+    }
+    dump = " ".join(f"{chance.randrange(256):02x}" for _ in range(400))
+    letters = " ".join("".join(chance.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(chance.randint(3, 9))) for _ in range(300))
+    rows = [(name, text, None) for name, text in clean.items()] + [("vi", clean["latin_marked"], "vi"), ("dump", dump, None)]
+    rows += [(f"{x}-{lang}", text, lang) for lang in ("en", "de", "fr", "es") for x, text in (("dump", dump), ("letters", letters))]
+    found = {r.doc_id: r for r in Q.quality_rules(llm_spark.createDataFrame(rows, "doc_id string, text string, lang string")).collect()}
+    assert {i for i, r in found.items() if r.kept} == {*clean, "vi"}
+    assert all(found[name].band == name for name in clean) and found["vi"].band == "latin_marked"
+    # No document that keeps the base rules leaves its language's band.
+    assert Q.quality_rules(documents).where("NOT base_failed AND NOT kept").count() == 0
