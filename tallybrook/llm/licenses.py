@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from functools import cache
+from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
@@ -81,15 +82,78 @@ TEMPLATES = {
         "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
     ),
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "Apache-2.0-short": "Released under the Apache License 2.0.",
+    "GPL-2.0-line": "This program is licensed under the GNU General Public License, version 2.",
+    "GPL-3.0-short": "Licensed under the GPL v3.",
+    "LGPL-line": "Licensed under the GNU Lesser General Public License.",
+    "LGPL-notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version."
+    ),
+    "AGPL-3.0-line": "Licensed under the GNU Affero General Public License.",
+    "AGPL-notice": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version."
+    ),
+    "MIT-licensed": "Licensed under the MIT License.",
+    "MIT-terms": "This project is licensed under the terms of the MIT license.",
+    "MIT-disclaimer": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED "
+        "TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL "
+        "THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+        "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE."
+    ),
+    "BSD-line": "Licensed under the BSD License.",
+    "BSD-3-Clause-line": "Use of this source code is governed by a BSD-style license.",
+    "BSD-disclaimer": (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+        "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+        "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+        "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+        "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-ND-4.0-short": "Licensed under CC BY-ND 4.0.",
+    "CC0-1.0-line": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "CC0-1.0-short": "Released under CC0 1.0 Universal.",
+    "BSL-1.0-line": "Distributed under the Boost Software License, Version 1.0.",
+    "BSL-1.0": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software "
+        "and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, "
+        "distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to "
+        "permit third-parties to whom the Software is furnished to do so, all subject to the following:"
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+        "held liable for any damages arising from the use of this software. Permission is granted to anyone to use "
+        "this software for any purpose, including commercial applications, and to alter it and redistribute it "
+        "freely, subject to the following restrictions: The origin of this software must not be misrepresented; you "
+        "must not claim that you wrote the original software."
+    ),
 }
 
 
+@cache
+def full_texts() -> dict[str, str]:
+    """Whole licenses, by name; those a notice usually stands for."""
+    folder = Path(__file__).with_name("license_texts")
+    return {f"{f.stem}-text": f.read_text() for f in sorted(folder.glob("*.txt"))}
+
+
 class Group(NamedTuple):
     """Templates of similar length: half their greatest length in shingles, their numbers,
-    and the least hash of each under every hash function (hashes by templates)."""
+    the fewest shingles of one, and the least hash of each under every hash function
+    (hashes by templates)."""
 
     block: int
     numbers: np.ndarray
+    fewest: int
     least: np.ndarray
 
 
@@ -123,7 +187,7 @@ def prepare(items: tuple[tuple[str, str], ...]) -> Templates:
     for number, (a, b) in enumerate(zip(first[:-1], first[1:])):
         by_block.setdefault(max(1, 1 << max(0, int(b - a) - 1).bit_length() >> 1), []).append(number)
     groups = [
-        Group(block, np.array(numbers), np.array([[mix(sets[i] * f).min() for i in numbers] for f in factors]))
+        Group(block, np.array(numbers), min(len(sets[i]) for i in numbers), np.array([[mix(sets[i] * f).min() for i in numbers] for f in factors]))
         for block, numbers in sorted(by_block.items())
     ]
     # A text whose shingles miss this table has none of any template.
@@ -151,7 +215,9 @@ def matches(found: np.ndarray, templates: Templates, containment: float = CONTAI
         for middle in middles[middles >= 0].tolist():
             start = max(0, (middle - 1) * group.block)
             window = found[start : (middle + 2) * group.block]
-            if not len(window):
+            # Shingles of templates in the window: too few, and it holds enough of none.
+            marked = np.searchsorted(near, start + len(window)) - np.searchsorted(near, start)
+            if not len(window) or marked < containment * group.fewest:
                 continue
             least = np.array([mix(window * f).min() for f in templates.factors])
             for place in np.flatnonzero((least[:, None] == group.least).any(axis=0)).tolist():
@@ -177,12 +243,13 @@ def scan_licenses(
     documents: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
-    templates: Mapping[str, str] = TEMPLATES,
+    templates: Mapping[str, str] | None = None,
     containment: float = CONTAINMENT,
 ) -> DataFrame:
     """One row per match: document id, ``license``, ``first_word`` and ``last_word`` of the
-    match (from 0), and ``containment``. The templates travel with the tasks."""
-    items = tuple(templates.items())
+    match (from 0), and ``containment``. The templates, by default statements, notices and
+    whole texts, travel with the tasks."""
+    items = tuple((TEMPLATES | full_texts() if templates is None else templates).items())
     prepare(items)
     rows = documents.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
 

@@ -72,3 +72,20 @@ def test_an_occurrence_may_begin_anywhere():
         filler = " ".join(f"w{i}" for i in range(shift))
         found, _ = L.shingles(L.text_bytes(L.pa.array([f"{filler} {text} {filler}"])))
         assert name in {known.names[m.template] for m in L.matches(found, known)}
+
+
+def test_usual_statements_and_whole_texts(llm_spark):
+    said = {
+        "CC-BY-4.0-short": "Licensed under CC BY 4.0.",
+        "MIT-licensed": "Licensed under the MIT License",
+        "LGPL-line": "licensed under the GNU Lesser General Public License",
+        "AGPL-3.0-line": "licensed under the GNU Affero General Public License",
+        "BSL-1.0-line": "Distributed under the Boost Software License, Version 1.0",
+        **{name: L.TEMPLATES[name] for name in ("BSD-disclaimer", "MIT-disclaimer", "Zlib", "BSL-1.0", "CC0-1.0-line")},
+        **L.full_texts(),
+    }
+    assert {"Apache-2.0-text", "CC0-1.0-text", "GPL-3.0-text", "LGPL-3.0-text", "MPL-2.0-text"} <= set(said)
+    names = list(said)
+    rows = [(i, f"some words before it {said[name]} and some behind") for i, name in enumerate(names)]
+    found = {(i, name) for i, name, *_ in scan(llm_spark, rows)}
+    assert set(enumerate(names)) <= found
