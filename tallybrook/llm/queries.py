@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import chat, jaccard, language, licenses, mixing, quality, records, sentencepieces, topk
+from tallybrook.llm import chat, infilling, jaccard, language, licenses, mixing, quality, records, sentencepieces, topk
 from tallybrook.llm.counts import token_counts
 from tallybrook.session import apply_settings, work_folder
 
@@ -112,6 +112,14 @@ def op10_language_id(spark, sf):
     return language.identify(documents, known).select("*", language.held_out().alias("held_out"))
 
 
+@query
+def op12_infilling(spark, sf):
+    """Digests of every text cut for infilling, and of the text rebuilt from that."""
+    made = infilling.restored(infilling.fill_in_middle(table(spark, sf, "documents")))
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 ORACLE = {
     "op1_pivot_top_k": """
         WITH v AS (
@@ -153,4 +161,35 @@ ORACLE = {
                CAST(sum(label + body + 14) AS BIGINT) AS formatted_chars
         FROM said GROUP BY conv_id
     """,
+    "op12_infilling": r"""
+        WITH drawn AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+                   sha256('1:' || CAST(doc_id AS VARCHAR)) AS h
+            FROM documents
+        ),
+        numbers AS (
+            SELECT *, len(units) AS n,
+                   CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+                   CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+            FROM drawn
+        ),
+        parts AS (
+            SELECT *,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+                        THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+                   array_to_string(units[1:least(h1 % (n + 1), h2 % (n + 1))], '') AS prefix,
+                   array_to_string(units[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '') AS middle,
+                   array_to_string(units[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], '') AS suffix
+            FROM numbers
+        )
+        SELECT doc_id, n, form,
+               CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                                WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts
+    """,
 }
