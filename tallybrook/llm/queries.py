@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import chat, infilling, jaccard, language, licenses, mixing, quality, records, sentencepieces, topk
+from tallybrook.llm import chat, infilling, jaccard, language, lexical, licenses, mixing, quality, records, sentencepieces, topk
 from tallybrook.llm.counts import token_counts
 from tallybrook.session import apply_settings, work_folder
 
@@ -120,6 +120,12 @@ def op12_infilling(spark, sf):
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+@query
+def op13_lexical_rank(spark, sf):
+    """The fifty best documents of every benchmark item."""
+    return lexical.rank_documents(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=50)
+
+
 ORACLE = {
     "op1_pivot_top_k": """
         WITH v AS (
@@ -192,4 +198,44 @@ ORACLE = {
                sha256(text) AS restored_sha256
         FROM parts
     """,
+    "op13_lexical_rank": r"""
+        WITH said AS (
+            SELECT doc_id, row_number() OVER () AS d,
+                   regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ),
+        sized AS (SELECT *, CAST(len(terms) AS BIGINT) AS n FROM said WHERE len(terms) > 0),
+        totals AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sized),
+        tf AS (
+            SELECT d, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf
+            FROM (SELECT d, doc_id, n, unnest(terms) AS term FROM sized) GROUP BY d, doc_id, n, term
+        ),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ),
+        weighed AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+            FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), totals
+        ),
+        impact AS (
+            SELECT tf.d, tf.doc_id, tf.term, w,
+                   w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // words))) AS adds
+            FROM tf JOIN weighed USING (term), totals
+        ),
+        scored AS (
+            SELECT item_id, d, doc_id, CAST(sum(adds) AS BIGINT) AS score
+            FROM asked JOIN impact USING (term) GROUP BY item_id, d, doc_id
+        ),
+        ranked AS (
+            SELECT item_id, doc_id, score,
+                   CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+    """,
 }
