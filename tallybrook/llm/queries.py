@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import chat, infilling, jaccard, language, lexical, licenses, mixing, quality, records, sentencepieces, topk
+from tallybrook.llm import chat, infilling, jaccard, language, lexical, licenses, minhash, mixing, quality, records, sentencepieces, topk
 from tallybrook.llm.counts import token_counts
 from tallybrook.session import apply_settings, work_folder
 
@@ -112,6 +112,11 @@ def op10_language_id(spark, sf):
     return language.identify(documents, known).select("*", language.held_out().alias("held_out"))
 
 
+@query
+def op11_minhash_tensor(spark, sf):
+    return minhash.near_duplicates(table(spark, sf, "documents"), width=4, percent=80)
+
+
 @query
 def op12_infilling(spark, sf):
     """Digests of every text cut for infilling, and of the text rebuilt from that."""
