@@ -114,9 +114,24 @@ CTES = {
     "payment_changes": """
         SELECT event_id AS payment_id, amount, _version, 1 AS _seq, event_id
         FROM feed WHERE event_type = 'purchase' AND route <> 'malformed message'""",
+    "feed_middle": "SELECT max(event_id) // 2 + 2 AS middle FROM events",
     "fed_orders": """
         SELECT * FROM (SELECT * FROM order_rows
                        QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY _version DESC) = 1) r""",
+    # Changes of stock in their order, and the stock they leave, one step at a time.
+    "stock_changes": """
+        SELECT l_partkey AS product_id, l_shipdate AS shipped_at, l_orderkey AS order_id, cast(l_linenumber AS bigint) AS line,
+               cast(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE -l_quantity END AS bigint) AS delta,
+               CASE WHEN l_linenumber > 1 THEN cast(l_extendedprice AS decimal(10,2)) END AS new_price,
+               row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber) AS step
+        FROM lineitem""",
+    "stock_after": """
+        WITH RECURSIVE walk AS (
+            SELECT product_id, stock, cast(0 AS bigint) AS step FROM l_products
+            UNION ALL
+            SELECT w.product_id, greatest(w.stock + c.delta, 0), c.step
+            FROM walk w JOIN stock_changes c ON c.product_id = w.product_id AND c.step = w.step + 1)
+        SELECT * FROM walk WHERE step > 0""",
     "spoiled": """
         SELECT order_id, customer_id, total_amount,
                CASE order_id % 100 WHEN 1 THEN 'lost' WHEN 2 THEN NULL WHEN 3 THEN repeat('x', 31) ELSE status END
@@ -355,6 +370,24 @@ SELECTS = {
         SELECT {HISTORY}, _version, cast(_is_deleted AS bigint) AS _is_deleted FROM fed_orders""",
     "state_new_checkpoint": f"""
         SELECT {HISTORY}, _version, cast(_is_deleted AS bigint) AS _is_deleted FROM fed_orders""",
+    "latest_state_processor": f"""
+        SELECT {HISTORY}, _version, cast(_is_deleted AS bigint) AS _is_deleted FROM fed_orders WHERE _is_deleted = 0""",
+    "processor_from_base": f"""
+        SELECT {HISTORY}, _version, cast(_is_deleted AS bigint) AS _is_deleted, sign
+        FROM (SELECT *, {_flag(1)} AS sign FROM fed_orders WHERE _version > (SELECT middle FROM feed_middle)
+              UNION ALL
+              SELECT b.*, {_flag(-1)} AS sign
+              FROM (SELECT * FROM order_rows WHERE _version <= (SELECT middle FROM feed_middle)
+                    QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY _version DESC) = 1) b
+              WHERE order_id IN (SELECT order_id FROM fed_orders WHERE _version > (SELECT middle FROM feed_middle))) s
+        WHERE _is_deleted = 0""",
+    "flush_policy": f"""
+        SELECT table_name, bucket, version, seq, payload,
+               (row_number() OVER (PARTITION BY table_name, bucket ORDER BY version, seq, payload) - 1) // 50 AS flush
+        FROM (SELECT 'orders' AS table_name, order_id % 4 AS bucket, _version AS version, cast(_seq AS bigint) AS seq,
+                     order_id || ':' || _is_deleted AS payload FROM order_rows
+              UNION ALL
+              SELECT 'payments', payment_id % 4, _version, cast(_seq AS bigint), payment_id || ':0' FROM payment_changes) w""",
     "line_revenue": "SELECT order_id, product_id, cast(line_value AS double) AS revenue FROM d_items",
     "filter_in": "SELECT order_id, status FROM l_orders WHERE status IN ('shipped', 'delivered')",
     "filter_ne": "SELECT order_id, status FROM l_orders WHERE status <> 'cancelled'",
@@ -427,6 +460,15 @@ SELECTS = {
                greatest(stock + product_id % 76 - 15, 0) AS stock, {AS_OF} AS updated_at,
                {_flag(10)} AS _version, {_flag(0)} AS _is_deleted
         FROM l_products JOIN part ON p_partkey = product_id""",
+    "apply_stock_delta_ordered": f"""
+        SELECT c.product_id, cast(coalesce(arg_max(c.new_price, c.step), any_value(p.price)) AS double) AS price,
+               arg_max(w.stock, w.step) AS stock, {AS_OF} AS updated_at,
+               {_flag(10)} AS _version, {_flag(0)} AS _is_deleted
+        FROM stock_changes c JOIN stock_after w USING (product_id, step) JOIN l_products p USING (product_id)
+        GROUP BY c.product_id""",
+    "stock_steps": f"""
+        SELECT product_id, shipped_at, order_id, line, delta, {_flag(1)} AS times, w.stock
+        FROM stock_changes JOIN stock_after w USING (product_id, step)""",
     "settle_old_payments": f"""
         SELECT payment_id, CASE WHEN {KNUTH} < 0.12 * 4294967296 THEN 'failed' ELSE 'completed' END AS status,
                cast(amount AS double) AS amount, {AS_OF} AS processed_at, {_flag(10)} AS _version,
@@ -577,6 +619,11 @@ SELECTS = {
 SELECTS |= {
     "q1_from_store": SELECTS["q1_daily_category_revenue"],
     "q2_from_store": SELECTS["q2_customer_ltv"],
+    "q1_incremental": SELECTS["q1_daily_category_revenue"],
+    "q2_incremental": SELECTS["q2_customer_ltv"],
+    "q3_incremental": SELECTS["q3_city_fulfillment"],
+    "q4_incremental": SELECTS["q4_product_performance"],
+    "q5_incremental": SELECTS["q5_payment_share"],
     "q3_sql": SELECTS["q3_city_fulfillment"],
     "q4_from_store": SELECTS["q4_product_performance"],
     "q5_sql": SELECTS["q5_payment_share"],

@@ -17,14 +17,17 @@ from tallybrook.operators import keys as K
 from tallybrook.operators import live as L
 from tallybrook.operators import quality as Q
 from tallybrook.operators import reconcile as R
+from tallybrook.operators import stock as ST
 from tallybrook.operators.skew import join_many_to_one
 from tallybrook.plans import business as B
+from tallybrook.plans.incremental import Answers
 from tallybrook.schema import META_COLUMNS, ORDERS, PRODUCTS, TABLES
 from tallybrook.session import apply_settings, work_folder
 from tallybrook.sources.changelog import ChangelogStore
 from tallybrook.sources.feed import read_messages, stream_messages
 from tallybrook.sources.snapshot import snapshot_rows
 from tallybrook.streaming.ingest import start_ingest
+from tallybrook.streaming import processor as P
 from tallybrook.streaming.state import read_latest, start_latest
 from verification import fixtures as X
 
@@ -121,6 +124,48 @@ def q4_from_store(spark, sf):
     return B.product_performance(_live_tables(spark, sf))
 
 
+ANSWERS: dict[tuple[str, str], Answers] = {}
+
+
+def _answers(spark, sf) -> Answers:
+    """Answers that started from the first copy of the tables and took over two batches."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in ANSWERS:
+        state = Answers(spark, work_folder(spark, "answers"), buckets=8)
+        state.start(X.shop_sources(spark, sf))
+        logs = {"orders": X.orders_log(spark, sf, with_city=True), "products": X.products_log(spark, sf)}
+        for number in (1, 2):
+            state.apply({name: log.where(F.col("_batch_id") == number) for name, log in logs.items()}, number)
+        ANSWERS[key] = state
+    return ANSWERS[key]
+
+
+@query
+def q1_incremental(spark, sf):
+    return _answers(spark, sf).daily_category_revenue(X.categories(spark, sf), X.as_of())
+
+
+@query
+def q2_incremental(spark, sf):
+    return _answers(spark, sf).customer_ltv(X.customers(spark, sf))
+
+
+@query
+def q3_incremental(spark, sf):
+    return _answers(spark, sf).city_fulfillment()
+
+
+@query
+def q4_incremental(spark, sf):
+    return _answers(spark, sf).product_performance(X.live_products(spark, sf), X.categories(spark, sf))
+
+
+@query
+def q5_incremental(spark, sf):
+    """Out of the state folded into one batch."""
+    return _answers(spark, sf).folded(work_folder(spark, "answers-folded")).payment_shares()
+
+
 @query
 def q3_sql(spark, sf):
     """The question in SQL, over views of the stored tables."""
@@ -466,6 +511,67 @@ def latest_state_stream(spark, sf):
     return read_latest(spark, f"{folder}/state", "order_id").drop("_seq")
 
 
+STATE_COLUMNS = ["customer_id", "status", "total_amount"]
+
+
+@query
+def latest_state_processor(spark, sf):
+    """Current orders out of the signed rows of a stateful processor, stopped in the middle
+    of the feed and started again."""
+    folder = work_folder(spark, "processor")
+    for part in _halves(spark, sf):
+        _land(part, folder)
+        changes = D.change_rows(D.decode_changes(stream_messages(spark, f"{folder}/feed")), ORDERS)
+        P.start_signed(
+            spark, changes, "order_id", STATE_COLUMNS, f"{folder}/signed", f"{folder}/checkpoint", "run", once=True
+        ).awaitTermination()
+    return P.summed(P.read_signed(spark, f"{folder}/signed")).drop("_seq")
+
+
+@query
+def processor_from_base(spark, sf):
+    """Signed rows of the second half of the feed, under a new checkpoint that starts from
+    the newest versions of the first half."""
+    folder = work_folder(spark, "processor-base")
+    first, second = _halves(spark, sf)
+    base = L.latest(D.change_rows(D.decode_changes(first), ORDERS), "order_id")
+    _land(second, folder)
+    changes = D.change_rows(D.decode_changes(stream_messages(spark, f"{folder}/feed")), ORDERS)
+    P.start_signed(
+        spark, changes, "order_id", STATE_COLUMNS, f"{folder}/signed", f"{folder}/checkpoint", "run", base, once=True
+    ).awaitTermination()
+    return P.read_signed(spark, f"{folder}/signed").drop("_seq").withColumnRenamed("_sign", "sign")
+
+
+@query
+def flush_policy(spark, sf):
+    """With which flush of its group every change of orders and payments leaves, 50 at a
+    time; the stream is stopped in the middle of the feed, and closed at its end."""
+    folder = work_folder(spark, "flush")
+    buckets = 4
+
+    def waiting(messages: DataFrame) -> DataFrame:
+        decoded = D.decode_changes(messages)
+        parts = []
+        for name in ("orders", "payments"):
+            key = F.col(TABLES[name].key)
+            payload = F.concat_ws(":", key.cast("string"), F.col("_is_deleted").cast("string"))
+            columns = P.waiting_rows(F.lit(name), key, payload, F.col("_version"), F.col("_seq"), buckets)
+            parts.append(D.change_rows(decoded, TABLES[name]).select(*columns))
+        return reduce(DataFrame.unionByName, parts)
+
+    for number, part in enumerate(_halves(spark, sf)):
+        _land(part, folder)
+        closing = P.closing_rows(spark, ["orders", "payments"], buckets).where(F.lit(number == 1))
+        closing.write.mode("append").parquet(f"{folder}/closing")
+        ends = spark.readStream.schema(P.WAITING).parquet(f"{folder}/closing")
+        rows = waiting(stream_messages(spark, f"{folder}/feed")).unionByName(ends)
+        # Time does not count here: it would let out rows whenever the query happens to run.
+        P.start_flush(rows, f"{folder}/out", f"{folder}/checkpoint", n=50, seconds=3600, once=True).awaitTermination()
+    out = spark.read.parquet(f"{folder}/out")
+    return out.select(F.col("table").alias("table_name"), "bucket", "version", "seq", "payload", "flush")
+
+
 @query
 def state_new_checkpoint(spark, sf):
     """The second half of the feed comes under a new checkpoint, which numbers from zero."""
@@ -732,6 +838,36 @@ def apply_stock_delta(spark, sf):
     return changed.select("product_id", "price", "stock", "updated_at", "_version", "_is_deleted")
 
 
+PLACE = ["shipped_at", "order_id", "line"]
+
+
+def _line_deltas(spark, sf) -> DataFrame:
+    """Every line takes its quantity off its product's stock, or puts it back when it was
+    returned; the first line of an order gives no price."""
+    back = F.col("l_returnflag") == "R"
+    return X.table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("product_id"),
+        F.when(back, F.col("l_quantity")).otherwise(-F.col("l_quantity")).cast("int").alias("delta"),
+        F.when(F.col("l_linenumber") > 1, F.col("l_extendedprice")).cast(X.MONEY).alias("new_price"),
+        F.col("l_shipdate").alias("shipped_at"),
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line"),
+    )
+
+
+@query
+def apply_stock_delta_ordered(spark, sf):
+    """Products after all lines, one after another."""
+    changed = ST.apply_stock_delta_ordered(X.live_products(spark, sf), _line_deltas(spark, sf), PLACE, X.as_of(), NEXT_VERSION)
+    return changed.select("product_id", "price", "stock", "updated_at", "_version", "_is_deleted")
+
+
+@query
+def stock_steps(spark, sf):
+    """The stock that every line leaves."""
+    return ST.stock_steps(X.live_products(spark, sf), _line_deltas(spark, sf), PLACE).drop("new_price")
+
+
 @query
 def settle_old_payments(spark, sf):
     settled = CH.settle_old_payments(X.payments(spark, sf), X.as_of(), NEXT_VERSION)
