@@ -7,7 +7,7 @@ not parse or a value that does not fit never fails a job, it ends up in quaranti
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column as C
@@ -195,9 +195,10 @@ def _record() -> C:
     return F.to_json(change)
 
 
-def quarantine(decoded: DataFrame) -> DataFrame:
+def quarantine(decoded: DataFrame, tables: Iterable[str] | None = None) -> DataFrame:
     """Everything that could not be applied, malformed messages, changes without a position
-    and rejected changes, in one pass over the changes of all tables."""
+    and rejected changes, in one pass over the changes of all tables. With ``tables`` only
+    changes of these are looked at again: those that are known to hold rejected ones."""
 
     def mine(spec: TableSpec) -> C:
         return (route() == APPLIED) & (F.col("_table") == spec.name)
@@ -205,7 +206,10 @@ def quarantine(decoded: DataFrame) -> DataFrame:
     def image(spec: TableSpec) -> str:
         return f"_new_{spec.name}"
 
-    specs = list(TABLES.values())
+    specs = [TABLES[name] for name in (TABLES if tables is None else tables)]
+    if tables is not None:
+        names = [s.name for s in specs]
+        decoded = decoded.where(route().isin(*QUARANTINED) | ((route() == APPLIED) & F.col("_table").isin(names)))
     raw = decoded.select("*", *[F.when(mine(s), _new_image(s)).alias(image(s)) for s in specs])
     reason = F.when(route().isin(*QUARANTINED), route())
     for spec in specs:

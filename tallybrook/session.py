@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Texts travel to Python workers some at a time: executors hold several batches at once.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     # State per key can outgrow executor memory; RocksDB keeps it on disk, and uploads
     # changes instead of whole snapshots.
     "spark.sql.streaming.stateStore.providerClass": (

@@ -139,9 +139,10 @@ class ChangelogStore:
 
             with ThreadPoolExecutor(max_workers=4) as pool:
                 seen = dict(zip(touched, pool.map(write, touched)))
+            rejecting = [name for name, s in seen.items() if s["bad"]]
             broken += sum(s["bad"] for s in seen.values())
             if broken:
-                self._write(decode.quarantine(decoded), self._batch_path("_quarantine", run, batch))
+                self._write(decode.quarantine(decoded, rejecting), self._batch_path("_quarantine", run, batch))
         finally:
             decoded.unpersist()
         self._commit(
