@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.runs import ByteBpe, TextRuns, load_pieces
+from tallybrook.llm.runs import ByteBpe, TextRuns, held, load_pieces
 from tallybrook.llm.words import Texts, Words, carrying, hash_spans, mix, pieces, restored, text_bytes, windows, words
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -120,7 +120,7 @@ ENTROPY_TOKENS, ENTROPY_FREE = 64, 16.0
 REPEAT_WIDTH = 5
 
 # Runs a worker keeps.
-WORKER_RUNS = 600_000
+WORKER_RUNS = 150_000
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MEASURES = ("chars_per_byte_token", "chars_per_piece", "byte_share", "entropy")
@@ -239,7 +239,7 @@ class RunIds:
         return np.add.reduceat(self.n_byte[runs], first[:-1]), self.ids[places], np.concatenate(([0], ends))[first]
 
 
-@cache
+@held
 def worker_runs_of(byte_vocabulary: str, piece_vocabulary: str, limit: int) -> RunIds:
     """The worker's own table; it stays for all tasks the worker runs."""
     return RunIds(byte_vocabulary, piece_vocabulary, limit)
@@ -290,15 +290,17 @@ def quality_rules(
     text_column: str = "text",
     lang_column: str | None = "lang",
     bands: Mapping[str, Band] = BANDS,
+    latin_languages: Mapping[str, Band] = LATIN_LANGUAGES,
     min_words: int = 10,
     max_repeat_percent: int = 20,
     vocabularies: tuple[str, str] = (BYTE_VOCABULARY, PIECE_VOCABULARY),
     worker_runs: int = WORKER_RUNS,
 ) -> DataFrame:
     """Per document its id, the base figures, ``base_failed``, the fertility measures, the
-    ``band`` it was held against, and ``kept``."""
+    ``band`` it was held against, and ``kept``. ``latin_languages`` holds for texts of the
+    band "latin" whose language it names, ``bands`` for all others."""
     rows = documents.select(*{c: None for c in (id_column, text_column, lang_column) if c})
-    judged = _judged(rows, id_column, text_column, lang_column, bands, min_words, max_repeat_percent, *vocabularies, worker_runs)
+    judged = _judged(rows, id_column, text_column, lang_column, bands, latin_languages, min_words, max_repeat_percent, *vocabularies, worker_runs)
     return judged.select(F.col("_id").alias(id_column), *COUNTS, "base_failed", *MEASURES, "band", "kept")
 
 
@@ -308,13 +310,14 @@ def keep_good(
     text_column: str = "text",
     lang_column: str | None = "lang",
     bands: Mapping[str, Band] = BANDS,
+    latin_languages: Mapping[str, Band] = LATIN_LANGUAGES,
     min_words: int = 10,
     max_repeat_percent: int = 20,
     vocabularies: tuple[str, str] = (BYTE_VOCABULARY, PIECE_VOCABULARY),
     worker_runs: int = WORKER_RUNS,
 ) -> DataFrame:
     """The documents that the rules keep, with all their columns; one map, no join."""
-    judged = _judged(documents, id_column, text_column, lang_column, bands, min_words, max_repeat_percent, *vocabularies, worker_runs)
+    judged = _judged(documents, id_column, text_column, lang_column, bands, latin_languages, min_words, max_repeat_percent, *vocabularies, worker_runs)
     names = {"_id": id_column, "_text": text_column, "_lang": lang_column}
     return judged.where("kept").select(*restored(judged, documents, **names))
 
@@ -325,6 +328,7 @@ def _judged(
     text_column: str,
     lang_column: str | None,
     bands: Mapping[str, Band],
+    latin_languages: Mapping[str, Band],
     min_words: int,
     max_repeat_percent: int,
     byte_vocabulary: str,
@@ -333,8 +337,7 @@ def _judged(
 ) -> DataFrame:
     rows, schema = carrying(documents, _id=id_column, _text=text_column, _lang=lang_column)
     limits = {name: tuple(band) for name, band in bands.items()}
-    # With other bands for Latin texts than the usual ones, these hold for all languages.
-    finer = {x: tuple(band) for x, band in LATIN_LANGUAGES.items()} if bands.get("latin") == BANDS["latin"] else {}
+    finer = {x: tuple(band) for x, band in latin_languages.items()}
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs_of = worker_runs_of(byte_vocabulary, piece_vocabulary, worker_runs)

@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterable
-from functools import cache
+from functools import cache, wraps
 
 import numpy as np
 
@@ -21,6 +21,25 @@ _CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
 _RARE = re.compile(r"[\t\r\v\f\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000▁]")
 
 
+_held: dict = {}
+
+
+def held(make: Callable) -> Callable:
+    """What ``make`` gives for its arguments, kept by the worker for its next tasks, until
+    another table is asked for: workers outlive stages, and tables of several operators
+    would add up."""
+
+    @wraps(make)
+    def get(*args):
+        key = (make.__module__, make.__qualname__, *args)
+        if key not in _held:
+            _held.clear()
+            _held[key] = make(*args)
+        return _held[key]
+
+    return get
+
+
 def runs(text: str) -> list[str]:
     """The text cut as above; every run but the first has lost its leading space."""
     risky = (

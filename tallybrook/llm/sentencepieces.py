@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.runs import load_pieces, runs
+from tallybrook.llm.runs import held, load_pieces, runs
 from tallybrook.llm.words import mix, pieces
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -53,7 +53,7 @@ COLUMNS, PLACES = 1 << 14, 32
 NO_PIECE, NO_PAIR, NO_MERGE = 0xFFFF, np.uint32(0xFFFFFFFF), np.int32(1 << 30)
 
 # Runs a worker keeps.
-WORKER_RUNS = 500_000
+WORKER_RUNS = 150_000
 
 # Rows decoded at once.
 ROWS_AT_ONCE = 256
@@ -397,7 +397,7 @@ class Paths:
         return self.ids.data[places], lengths
 
 
-@cache
+@held
 def worker_paths_of(path: str, rate: float, limit: int) -> Paths:
     """The worker's own table; it stays for all tasks the worker runs."""
     return Paths(path, rate, limit)

@@ -66,7 +66,7 @@ def test_clean_prose_stays_and_noise_goes(llm_spark, documents):
     assert [found[i].band for i in (2, 3, 4)] == ["latin", "cyrillic", "cjk"]
     # A band of a language goes before that of its script.
     strict = {**Q.BANDS, "en": Q.Band(99, 99, 0, 99)}
-    assert not any(r.kept for r in Q.quality_rules(documents.where("lang = 'en'"), bands=strict).collect())
+    assert not any(r.kept for r in Q.quality_rules(documents.where("lang = 'en'"), bands=strict, latin_languages={}).collect())
 
 
 def test_keep_good_keeps_columns(documents, odd, none):
