@@ -10,11 +10,13 @@ dictionary does not help is rejected.
 Defined cases: a NULL text, or one without a letter, is "und" with score 0 and rejected;
 equal sizes go to the smaller language name with score 0; whole texts count, whatever
 their length; repeated rows are judged each; rows with a NULL language or id teach
-nothing; with no labelled rows everything is "und"; an empty table gives an empty result.
+nothing; with no labelled rows everything is "und"; an empty table gives an empty result;
+other columns are carried along by ``keep_identified``, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -58,24 +60,36 @@ def learn(
     languages: int = LANGUAGES,
 ) -> dict[str, bytes]:
     """Dictionary content per language out of ``usable`` rows: the texts whose ids hash
-    lowest. At most ``languages * texts_per_language`` beginnings of texts reach the driver."""
+    lowest. At most ``languages * texts_per_language`` beginnings of texts reach the driver;
+    more languages than that are an error."""
+    spark = documents.sparkSession
     labelled = documents.where(usable).select(
-        F.col(id_column).alias("id"), F.col(lang_column).alias("lang"), F.col(text_column).alias("text")
+        F.col(id_column).alias("id"), F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("text")
     ).where("id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
-    lowest = Window.partitionBy("lang").orderBy("hash", "id")
-    chosen = (
-        labelled.select("id", "lang", F.xxhash64("id").alias("hash"))
-        .withColumn("place", F.row_number().over(lowest))
-        .where(F.col("place") <= texts_per_language)
-        .limit(languages * texts_per_language)
-        .select("id", "lang")
-        .collect()
-    )
-    if len({r.lang for r in chosen}) > languages:
+    counted = labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(languages + 1).collect()
+    if len(counted) > languages:
         raise ValueError(f"more than {languages} languages")
-    ids = sorted({r.id for r in chosen})
+    # Of a language with n texts the wanted ones have hashes in about this share of all. A
+    # language with too few there, as its ids repeat, is given more of them.
+    wide = texts_per_language + 6 * math.sqrt(texts_per_language) + 20
+    share = {r.lang: min(1.0, wide / r.n) for r in counted}
+    while True:
+        bounds = [(lang, min((1 << 63) - 1, int(s * (1 << 64)) - (1 << 63))) for lang, s in share.items()]
+        bounded = F.broadcast(spark.createDataFrame(bounds, "of string, bound long"))
+        hashed = labelled.select("lang", "id", F.xxhash64("id").alias("hash"))
+        low = hashed.join(bounded, (F.col("lang") == F.col("of")) & (F.col("hash") <= F.col("bound"))).select("lang", "hash", "id").distinct()
+        found = {r.lang: r["count"] for r in low.groupBy("lang").count().collect()}
+        few = [lang for lang, s in share.items() if s < 1 and found.get(lang, 0) < texts_per_language]
+        if not few:
+            break
+        share |= {lang: min(1.0, 4 * share[lang]) for lang in few}
+    lowest = Window.partitionBy("lang").orderBy("hash", "id")
+    chosen = low.withColumn("place", F.row_number().over(lowest)).where(F.col("place") <= texts_per_language)
+    # One row per text of the sample, so its size is bounded.
+    chosen = F.broadcast(chosen.select(F.col("lang").alias("of"), F.col("id").alias("of_id")))
     snippet = F.min(F.substring("text", 1, chars_per_text))
-    texts = labelled.where(F.col("id").isin(ids)).groupBy("lang", "id").agg(snippet.alias("text")).orderBy("lang", "id")
+    picked = labelled.join(chosen, (F.col("lang") == F.col("of")) & (F.col("id") == F.col("of_id")), "left_semi")
+    texts = picked.groupBy("lang", "id").agg(snippet.alias("text")).orderBy("lang", "id")
     content: dict[str, list[str]] = {}
     for row in texts.collect():
         content.setdefault(row.lang, []).append(letters(row.text))
