@@ -619,6 +619,7 @@ SELECTS = {
 SELECTS |= {
     "q1_from_store": SELECTS["q1_daily_category_revenue"],
     "q2_from_store": SELECTS["q2_customer_ltv"],
+    "reconcile_tree": SELECTS["reconcile_diff"],
     "q1_incremental": SELECTS["q1_daily_category_revenue"],
     "q2_incremental": SELECTS["q2_customer_ltv"],
     "q3_incremental": SELECTS["q3_city_fulfillment"],

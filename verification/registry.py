@@ -13,6 +13,7 @@ from tallybrook.functions import measures as M
 from tallybrook.functions import typing as Y
 from tallybrook.operators import changes as CH
 from tallybrook.operators import decode as D
+from tallybrook.operators import hashtree as HT
 from tallybrook.operators import keys as K
 from tallybrook.operators import live as L
 from tallybrook.operators import quality as Q
@@ -1118,3 +1119,14 @@ def reconcile_counts_all(spark, sf):
 def reconcile_diff(spark, sf):
     columns = ["customer_id", "status", "total_amount", "created_at"]
     return R.reconcile_diff(X.orders(spark, sf), X.live_orders(spark, sf), "order_id", columns)
+
+
+@query
+def reconcile_tree(spark, sf):
+    """The same by a tree of checksums, the source's written before the comparison."""
+    columns = ["customer_id", "status", "total_amount", "created_at"]
+    shape = {"leaf_keys": 64, "fanout": 8, "levels": 3}
+    folder = work_folder(spark, "tree")
+    HT.hash_tree(X.orders(spark, sf), "order_id", columns, **shape).write.parquet(folder)
+    known = spark.read.parquet(folder)
+    return HT.reconcile_tree(X.orders(spark, sf), X.live_orders(spark, sf), "order_id", columns, source_tree=known, **shape)
