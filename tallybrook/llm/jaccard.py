@@ -8,57 +8,39 @@ Documents are sets of word shingles (the tokens). Equal sets are one set from he
    some more, so that parts of one token or none may mostly be left out). Sets without a
    common part cannot be similar; very common tokens do not make a part common.
 2. *Groups.* Sets that share parts go, with the least set they share one with, into one
-   group; large groups are cut into slices of about ``SLICE`` sets. The sets of a slice
-   (and the group's least set) are compared with each other exactly, by a product of
-   their rows in the matrix of sets and tokens.
-3. *Matrix.* A slice stores the union of its tokens as bits. For a set outside that shares
-   a part with a member it is not connected to yet, the bits it lacks bound its overlap
-   with any member.
-4. *Opening.* Only where the bound allows the similarity, the set is compared exactly
-   with the slice. One link per connected part of the slice is enough.
+   group; large groups are cut into slices. A row of the matrix of sets and tokens is kept
+   as a few bits per token. Sets of a slice whose bits allow it are compared exactly.
+3. *Matrix.* A slice's union is the union of its rows. For a set outside that shares a part
+   with a member it is not connected to yet, the bits it has and the union lacks bound its
+   overlap with any member, and those that a member lacks its overlap with that one.
+4. *Opening.* Only where the bounds allow the similarity, the set is compared exactly with
+   the members that are left. One link per connected part of the slice is enough.
 
 All links between sets are so found, ruled out, or known to lie within a component.
 Tokens and sets are told apart by 64-bit hashes. A very large group makes many slices;
 its sets never meet in one task, and no pair of them is ever a row.
 
 Defined cases: NULL and empty texts have the empty set and link with nothing; a text of
-fewer words than a shingle is one token; a NULL id is passed over when components are
-named; repeated rows are copies of each other; an empty table gives an empty result.
+fewer words than a shingle is one token; texts are read whole, whatever their length; a
+NULL id is passed over when components are named; repeated rows are copies of each other;
+an empty table gives an empty result; columns other than the two named are not read, so
+their names cannot clash.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from functools import cache
 from typing import NamedTuple
 
 import numpy as np
-import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.components import components
-from tallybrook.llm.words import mix, pieces, shingle_sets, text_bytes, words
+from tallybrook.llm.sets import ASKERS, BROADCAST_IDS, SLICE, U64, described_and_listed, emptied, linked_components, sharing
+from tallybrook.llm.words import mix
 from tallybrook.session import work_folder
 
-U64 = np.uint64
-
-# Sets in a slice, and sets that ask a slice at once.
-SLICE = 1024
-ASKERS = 512
-
-# Columns of the matrix that are multiplied at once.
-COLUMNS = 1 << 14
-
-# Ids of sets whose texts are read again are broadcast up to this number; beyond it the
-# texts are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
-
-# Bits of a set's row of the matrix per token; a power of two of them in all.
-BITS_PER_TOKEN = 4
-
 
 class Band(NamedTuple):
     """Sizes from ``low`` to ``high``; the parts tokens are dealt into; how many parts
@@ -128,203 +110,6 @@ def part_hashes(tokens: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def bits_of(tokens: np.ndarray) -> np.ndarray:
-    """A set's row of the matrix: which of a power of two of places its tokens fall on."""
-    width = max(64, 1 << (BITS_PER_TOKEN * max(len(tokens), 1) - 1).bit_length())
-    row = np.zeros(width, bool)
-    row[(tokens & U64(width - 1)).astype(np.int64)] = True
-    return np.packbits(row, bitorder="little")
-
-
-def narrowed(bits: np.ndarray, size: int) -> np.ndarray:
-    """A row in fewer places: those that fall together are joined."""
-    while len(bits) > size:
-        bits = bits[: len(bits) // 2] | bits[len(bits) // 2 :]
-    return bits
-
-
-def may_link(mine: np.ndarray, n: int, union: np.ndarray, least: int, most: int, percent: int) -> bool:
-    """Whether a set may be similar to a member of a group of sizes ``least`` to ``most``."""
-    size = min(len(mine), len(union))
-    lacking = int(np.bitwise_count(narrowed(mine, size) & ~narrowed(union, size)).sum())
-    overlap = n - lacking
-    # The best partner has no more tokens than it can share, as far as the group's sizes allow.
-    other = min(max(least, overlap), most)
-    return min(overlap, other) * (100 + percent) >= percent * (n + other)
-
-
-def _set_id(tokens: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
-
-
-def token_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
-    for at, upto in pieces(texts):
-        yield from shingle_sets(words(text_bytes(texts.slice(at, upto - at)), lower=True), width)
-
-
-def _describe(width: int, percent: int):
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, ids, parts = [], [], []
-            for tokens in token_sets(batch.column(1), width):
-                sizes.append(len(tokens))
-                ids.append(_set_id(tokens) if len(tokens) else None)
-                parts.append(part_hashes(tokens, percent).view(np.int64) if len(tokens) else np.zeros(0, np.int64))
-            ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-            flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-            yield pa.record_batch(
-                {
-                    "id": batch.column(0),
-                    "n": pa.array(sizes, pa.int64()),
-                    "set_id": pa.array(ids, pa.int64()),
-                    "parts": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                }
-            )
-
-    return describe
-
-
-def _tokens(width: int):
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = list(token_sets(batch.column(0), width))
-            yield pa.record_batch(
-                {
-                    "set_id": pa.array([_set_id(x) for x in found], pa.int64()),
-                    "tokens": pa.array([x.tobytes() for x in found], pa.binary()),
-                }
-            )
-
-    return tokens
-
-
-def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """How many tokens any left and any right set share: the product of their rows in the
-    matrix of sets and tokens, some columns at a time."""
-    sets = left if left is right else [*left, *right]
-    tokens, column = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
-    common = np.zeros((len(left), len(right)), np.int64)
-    for at in range(0, len(tokens), COLUMNS):
-        first, last = np.searchsorted(column, (at, at + COLUMNS))
-        rows = np.zeros((len(sets), min(COLUMNS, len(tokens) - at)), np.float32)
-        rows[owner[first:last], column[first:last] - at] = 1
-        mine, others = rows[: len(left)], rows if left is right else rows[len(left) :]
-        common += (mine @ others.T).astype(np.int64)
-    return common
-
-
-def similar(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which left set is similar to which right set."""
-    common = overlaps(left, right)
-    a, b = np.array([len(x) for x in left])[:, None], np.array([len(x) for x in right])[None, :]
-    return 100 * common >= percent * (a + b - common)
-
-
-def spanning(linked: np.ndarray) -> list[tuple[int, int]]:
-    """Links, out of a square table of them, that suffice to connect what they connect."""
-    owner, out = list(range(len(linked))), []
-
-    def find(x: int) -> int:
-        while owner[x] != x:
-            owner[x] = owner[owner[x]]
-            x = owner[x]
-        return x
-
-    for i, j in np.argwhere(np.triu(linked, 1)).tolist():
-        a, b = find(i), find(j)
-        if a != b:
-            owner[b] = a
-            out.append((i, j))
-    return out
-
-
-def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
-    """Rows that follow each other with equal first columns: the key and the other columns."""
-    now, rows = None, []
-    for batch in batches:
-        for row in zip(*[c.to_pylist() for c in batch.columns]):
-            if row[:keys] != now:
-                if rows:
-                    yield now, rows
-                now, rows = row[:keys], []
-            rows.append(row[keys:])
-    if rows:
-        yield now, rows
-
-
-def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.record_batch({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
-
-
-def _link_slices(percent: int):
-    """Rows (group, slice, set_id, tokens), slice by slice."""
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _runs(batches, 2):
-            sets = [np.frombuffer(tokens, U64) for _, tokens in rows]
-            yield _edges([(rows[i][0], rows[j][0]) for i, j in spanning(similar(sets, sets, percent))])
-
-    return link
-
-
-def _unions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (group, slice, tokens), slice by slice: the union of a slice's rows in bits."""
-    names = ("group", "slice", "least", "most", "union")
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    for (group, part), rows in _runs(batches, 2):
-        found = [np.frombuffer(tokens, U64) for (tokens,) in rows]
-        bits = [bits_of(x) for x in found]
-        size = min(map(len, bits))
-        union = np.zeros(size, np.uint8)
-        for row in bits:
-            union |= narrowed(row, size)
-        sizes = [len(x) for x in found]
-        values = (group, part, min(sizes), max(sizes), union.tobytes())
-        yield pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds)], names)
-
-
-def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [np.frombuffer(x, U64) for x in batch.column(1).to_pylist()]
-        columns = [batch.column(0), pa.array([len(x) for x in found], pa.int64()), pa.array([bits_of(x).tobytes() for x in found], pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["set_id", "n", "bits"])
-
-
-def _open_slices(percent: int):
-    """Rows (group, slice, chunk, asks, set_id, component, tokens): those that ask against
-    the members. One link per asking set and component."""
-
-    def open_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _runs(batches, 3):
-            asking, members = [r[1:] for r in rows if r[0]], [r[1:] for r in rows if not r[0]]
-            if not asking or not members:
-                continue
-            found: dict[tuple[int, int], int] = {}
-            table = similar([np.frombuffer(r[2], U64) for r in asking], [np.frombuffer(r[2], U64) for r in members], percent)
-            for i, j in np.argwhere(table).tolist():
-                if asking[i][1] != members[j][1]:
-                    found.setdefault((asking[i][0], members[j][1]), members[j][0])
-            yield _edges([(a, b) for (a, _), b in found.items()])
-
-    return open_
-
-
-def _qualify(percent: int):
-    def qualify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = zip(*[batch.column(c).to_pylist() for c in ("bits", "n", "union", "least", "most")])
-            keep = [
-                may_link(np.frombuffer(bits, np.uint8), n, np.frombuffer(union, np.uint8), least, most, percent)
-                for bits, n, union, least, most in rows
-            ]
-            yield batch.select(["set_id", "group", "slice"]).filter(pa.array(keep, pa.bool_()))
-
-    return qualify
-
-
 def jaccard_components(
     documents: DataFrame,
     id_column: str = "doc_id",
@@ -340,96 +125,14 @@ def jaccard_components(
     spark = documents.sparkSession
     folder = work_folder(spark, "jaccard")
 
-    def written(rows: DataFrame, name: str) -> DataFrame:
-        rows.write.parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
+    def describe(found: list[np.ndarray]) -> list[np.ndarray]:
+        return [part_hashes(tokens, percent) for tokens in found]
 
     texts = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    described = written(texts.mapInArrow(_describe(width, percent), "id long, n long, set_id long, parts array<long>"), "described")
-    # Equal sets are one from here on.
-    sets = written(described.where("n > 0").groupBy("set_id").agg(F.min("id").alias("id")), "sets")
-
-    # Parts that more than one set lists, with the least of these sets. One shuffle.
-    listed = described.where("n > 0").select(F.explode("parts").alias("part"), "set_id")
-    on_part = Window.partitionBy("part")
-    shared = listed.select("part", "set_id", F.min("set_id").over(on_part).alias("lo"), F.max("set_id").over(on_part).alias("hi"))
-    hits = written(shared.where("lo <> hi").select("part", "set_id", "lo").distinct(), "hits")
-
-    # Groups of sets that share parts, in slices.
-    grouped = hits.groupBy("set_id").agg(F.min("lo").alias("group"))
-    sizes = grouped.groupBy(F.col("group").alias("of")).agg(F.count("*").alias("sets"))
-    sliced = grouped.join(sizes, F.col("group") == F.col("of"))
-    grouped = written(
-        sliced.select("set_id", "group", F.pmod(F.xxhash64("set_id"), F.ceil(F.col("sets") / slice_sets)).alias("slice")), "grouped"
-    )
-    wanted = written(grouped.join(sets, "set_id").select(F.col("id").alias("of")).distinct(), "wanted")
-    wanted = F.broadcast(wanted) if wanted.count() <= broadcast_ids else wanted
-    again = texts.join(wanted, F.col("id").eqNullSafe(F.col("of")), "left_semi").select("text")
-    tokens = written(again.mapInArrow(_tokens(width), "set_id long, tokens binary").dropDuplicates(["set_id"]), "tokens")
-
-    # Every slice in itself, with the group's least set in each.
-    least = grouped.select(F.col("group").alias("set_id"), "group", "slice")
-    members = grouped.select("set_id", "group", "slice").unionByName(least).distinct().join(tokens, "set_id")
-    slices = members.repartition("group", "slice").sortWithinPartitions("group", "slice").select("group", "slice", "set_id", "tokens")
-    first_links = written(slices.mapInArrow(_link_slices(percent), "a long, b long"), "first-links")
-    found = components(first_links, f"{folder}/first")
-    named = grouped.join(found, F.col("set_id") == F.col("node"), "left").select(
-        "set_id", "group", "slice", F.coalesce("component", "set_id").alias("component")
-    )
-    weight = named.groupBy(F.col("component").alias("c")).agg(F.count("*").alias("sets"))
-    named = written(named.join(weight, F.col("component") == F.col("c")).drop("c"), "named")
-
-    # Parts that lie in more than one component: of two, the smaller one asks the slices
-    # of the other.
-    placed = hits.select("part", "set_id").join(named, "set_id")
-    crossing = placed.select("*", F.min("component").over(on_part).alias("lo"), F.max("component").over(on_part).alias("hi"))
-    crossing = written(crossing.where("lo <> hi").drop("lo", "hi"), "crossing")
-    rank = F.struct("sets", "component")
-    askable = crossing.groupBy("part", "group", "slice").agg(F.max(rank).alias("greatest"))
-    asks = crossing.select("part", F.col("set_id"), rank.alias("own"))
-    cells = written(
-        asks.join(askable, "part").where("own < greatest").select("set_id", "group", "slice").distinct(), "cells"
-    )
-
-    # The matrix bounds what a set can share with a slice.
-    asked = cells.select("group", "slice").distinct()
-    inside = written(grouped.join(asked, ["group", "slice"], "left_semi").join(tokens, "set_id"), "inside")
-    matrix = (
-        inside.select("group", "slice", "tokens")
-        .repartition("group", "slice")
-        .sortWithinPartitions("group", "slice")
-        .mapInArrow(_unions, "group long, slice long, least long, most long, union binary")
-    )
-    bits = tokens.join(cells.select("set_id").distinct(), "set_id", "left_semi").select("set_id", "tokens")
-    bits = bits.mapInArrow(_bits, "set_id long, n long, bits binary")
-    bounded = cells.join(bits, "set_id").join(matrix, ["group", "slice"])
-    qualifying = written(bounded.mapInArrow(_qualify(percent), "set_id long, group long, slice long"), "qualifying")
-
-    # Opened slices meet the sets that ask, some of these at a time.
-    count = qualifying.groupBy("group", "slice").agg(F.ceil(F.count("*") / askers).alias("chunks"))
-    asking = (
-        qualifying.join(count, ["group", "slice"])
-        .withColumn("chunk", F.pmod(F.xxhash64("set_id"), "chunks"))
-        .join(named.select("set_id", "component"), "set_id")
-        .join(tokens, "set_id")
-        .select("group", "slice", "chunk", F.lit(True).alias("asks"), "set_id", "component", "tokens")
-    )
-    opened = (
-        inside.join(count, ["group", "slice"])
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-        .join(named.select("set_id", "component"), "set_id")
-        .select("group", "slice", "chunk", F.lit(False).alias("asks"), "set_id", "component", "tokens")
-    )
-    key = ("group", "slice", "chunk")
-    meeting = asking.unionByName(opened).repartition(*key).sortWithinPartitions(*key)
-    last_links = written(meeting.mapInArrow(_open_slices(percent), "a long, b long"), "last-links")
-
-    every = components(first_links.unionByName(last_links), f"{folder}/components")
-    ids = sets.join(every, F.col("set_id") == F.col("node"), "left").select("set_id", "id", F.coalesce("component", "set_id").alias("component"))
-    smallest = ids.groupBy(F.col("component").alias("c")).agg(F.min("id").alias("component_id"))
-    known = written(
-        ids.join(smallest, F.col("component") == F.col("c")).select(F.col("set_id").alias("of"), "component_id"), "component-of"
-    )
+    described, listed = described_and_listed(texts, width, describe, folder)
+    hits = sharing(listed.select("set_id", "key"), f"{folder}/parts")
+    emptied(spark, f"{folder}/keys")
+    known = linked_components(hits, described, texts, folder, width, percent, slice_sets, askers, broadcast_ids)
     result = described.select("id", "n", "set_id").join(known, F.col("set_id") == F.col("of"), "left")
     return result.select(
         F.col("id").alias(id_column),

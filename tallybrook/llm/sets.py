@@ -41,7 +41,7 @@ BIT_ASKERS = 4096
 BITS_PER_TOKEN = 1
 
 # Columns of the matrix that are multiplied at once.
-COLUMNS = 1 << 14
+COLUMNS = 1 << 12
 
 # Ids of sets whose texts are read again are broadcast up to this number; beyond it the
 # texts are joined by a shuffle. The result is the same.

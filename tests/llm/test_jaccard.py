@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 from tallybrook.llm import jaccard as J
+from tallybrook.llm import sets as S
 from tallybrook.llm.components import components
 from tallybrook.llm.words import mix
 from tallybrook.session import work_folder
@@ -102,29 +103,31 @@ def test_bound_never_rules_out_a_link():
         a = np.sort(tokens[:n])
         b = np.sort(np.concatenate((tokens[int(random_.integers(0, n // 5 + 1)) : n], tokens[n : n + int(random_.integers(0, 30))])))
         other = np.sort(tokens[n + 30 : n + 90])
-        wide = min(len(J.bits_of(b)), len(J.bits_of(other)))
-        union = J.narrowed(J.bits_of(b), wide) | J.narrowed(J.bits_of(other), wide)
+        wide = min(len(S.bits_of(b)), len(S.bits_of(other)))
+        union = S.narrowed(S.bits_of(b), wide) | S.narrowed(S.bits_of(other), wide)
         sizes = sorted((len(b), len(other)))
         if linked(a, b, 90):
-            assert J.may_link(J.bits_of(a), n, union, sizes[0], sizes[1], 90)
+            rows = S.Rows([1, 2], [len(b), len(other)], [S.bits_of(b).tobytes(), S.bits_of(other).tobytes()])
+            assert 1 in rows.near(S.bits_of(a).tobytes(), n, 90)
+            assert S.may_link(S.bits_of(a), n, union, sizes[0], sizes[1], 90)
 
 
 def test_similar_and_spanning():
     chance = random.Random(9)
     sets = [np.unique(np.array([chance.randrange(40) for _ in range(chance.randint(1, 60))], np.uint64)) for _ in range(30)]
-    table = J.similar(sets, sets, 60)
+    table = S.similar(sets, sets, 60)
     assert all(table[i, j] == linked(sets[i], sets[j], 60) for i in range(30) for j in range(30))
-    some = J.similar(sets[:7], sets[7:], 60)
+    some = S.similar(sets[:7], sets[7:], 60)
     assert (some == table[:7, 7:]).all()
-    links = J.spanning(table)
+    links = S.spanning(table)
     assert all(table[i, j] for i, j in links) and len(links) < 30
 
 
 def test_large_matrices_are_multiplied_in_pieces(monkeypatch):
     sets = [np.arange(i, i + 50, dtype=np.uint64) for i in range(0, 60, 7)]
-    whole = J.overlaps(sets, sets)
-    monkeypatch.setattr(J, "COLUMNS", 16)
-    assert (J.overlaps(sets, sets) == whole).all() and whole[0, 1] == 43
+    whole = S.overlaps(sets, sets)
+    monkeypatch.setattr(S, "COLUMNS", 16)
+    assert (S.overlaps(sets, sets) == whole).all() and whole[0, 1] == 43
 
 
 def test_components(llm_spark):
