@@ -10,9 +10,15 @@ needs. All numbers are little-endian. A checksum is CRC-32, rotated right by 15
 0xA282EAD8, so that checksums of checksums stay sound. Files are written and committed
 by Spark's own writer, so a lost task leaves nothing behind, on any file system.
 
+Rows are dealt over files by ranges of id, then of a hash of the text, then of their place
+in the input, so an id that a third of all rows have, or none, is spread over many files.
+There are as many files as ``file_bytes`` of text on average ask for; none has more than
+``per_file`` records.
+
 Defined cases: a NULL or empty text gives the end id alone; NULL ids come first; equal
-ids are ordered by text; a damaged record raises an error; an empty table gives no
-records. One record must fit in 2 GB, and so must one file: ``per_file`` bounds it.
+ids are ordered by a hash of their text; repeated rows are records each; a damaged record
+raises an error; an empty table gives no records; columns other than the two named are not
+read, so their names cannot clash. Texts are encoded whole; one record must fit in 2 GB.
 """
 
 from __future__ import annotations
@@ -22,16 +28,26 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import groupby
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow.fs
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.runs import ByteBpe, TextRuns, byte_bpe_runs
+from tallybrook.llm.runs import ByteBpe, TextRuns, byte_bpe_runs, held
 from tallybrook.llm.words import pieces
 
+# Text per file on average, and records of a file at most.
+FILE_BYTES = 32 << 20
+PER_FILE = 1 << 18
+
+# Runs a worker keeps, and bytes of ids it hands on at once.
+WORKER_RUNS = 200_000
+HANDED_ON = 4 << 20
+
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 HEAD, TAIL, OWNER = "<QI", "<Is", "<?q"
 HEAD_SIZE, TAIL_SIZE, OWNER_SIZE = map(struct.calcsize, (HEAD, TAIL, OWNER))
@@ -61,7 +77,7 @@ def frames(content: bytes) -> Iterator[tuple[int, memoryview]]:
         at += HEAD_SIZE + length + TAIL_SIZE
 
 
-@cache
+@held
 def worker_runs_of(vocabulary: str, limit: int) -> TextRuns:
     return byte_bpe_runs(vocabulary, np.ndarray.tobytes, limit)
 
@@ -78,13 +94,16 @@ def write_records(
     text_column: str = "text",
     end_id: int = 0,
     vocabulary: str = VOCABULARY,
-    per_file: int = 32_768,
-    worker_runs: int = 1_000_000,
+    file_bytes: int = FILE_BYTES,
+    per_file: int = PER_FILE,
+    worker_runs: int = WORKER_RUNS,
 ) -> None:
     """Encode every whole text, append ``end_id``, and write records and index."""
     spark = documents.sparkSession
     texts = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    files = max(math.ceil(documents.count() / per_file), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    total = texts.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    wanted = max(math.ceil(total.rows / per_file), math.ceil(total.bytes / file_bytes))
+    files = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = worker_runs_of(vocabulary, worker_runs)
@@ -100,10 +119,12 @@ def write_records(
                 ]
                 yield pa.record_batch({"record": pa.array(out, pa.binary())})
 
-    ordered = texts.repartitionByRange(files, "id").sortWithinPartitions("id", "text")
+    # Rows alike in id and text may lie in any order, so their place may deal them out.
+    placed = texts.withColumns({"hash": F.xxhash64("text"), "place": F.xxhash64(F.monotonically_increasing_id())})
+    ordered = placed.repartitionByRange(files, "id", "hash", "place").sortWithinPartitions("id", "hash", "text").select("id", "text")
     # The text writer puts the bytes of a string as they are, and a line feed behind it.
     records = ordered.mapInArrow(encode, "record binary").select(F.col("record").cast("string").alias("value"))
-    records.write.mode("overwrite").option("lineSep", "\n").text(f"{out}/records")
+    records.write.mode("overwrite").option("lineSep", "\n").option("maxRecordsPerFile", per_file).text(f"{out}/records")
     _contents(spark, out).mapInArrow(
         _index_rows(vocabulary), "file string, offset long, length long, id long, n_tokens long, before long"
     ).write.mode("overwrite").parquet(f"{out}/index")
@@ -142,73 +163,88 @@ def read_index(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(f"{out}/index")
 
 
+def _read(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[list[tuple]]:
+    """Records of whole files, some at a time: file, offset, id, ids in 4 bytes each, ids of
+    the file before them."""
+    kind = id_type(vocabulary)
+    for batch in batches:
+        for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            found, size, before = [], 0, 0
+            for offset, payload in frames(content.as_buffer()):
+                null, owner = struct.unpack_from(OWNER, payload)
+                ids = np.frombuffer(payload, kind, offset=OWNER_SIZE).astype("<u4").tobytes()
+                found.append((file, offset, None if null else owner, ids, before))
+                before += len(ids) // 4
+                size += len(ids)
+                if size >= HANDED_ON:
+                    yield found
+                    found, size = [], 0
+            if found:
+                yield found
+
+
 def read_records(spark: SparkSession, out: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """All records, checksums verified: file, offset, id, the token ids in 4 bytes each, and
     how many ids the file holds before them."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = id_type(vocabulary)
-        for batch in batches:
-            for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                offsets, owners, ids, before = [], [], [], [0]
-                for offset, payload in frames(content.as_buffer()):
-                    null, owner = struct.unpack_from(OWNER, payload)
-                    offsets.append(offset)
-                    owners.append(None if null else owner)
-                    ids.append(np.frombuffer(payload, kind, offset=OWNER_SIZE).astype("<u4").tobytes())
-                    before.append(before[-1] + len(ids[-1]) // 4)
-                yield pa.record_batch(
-                    {
-                        "file": pa.array([file] * len(ids), pa.string()),
-                        "offset": pa.array(offsets, pa.int64()),
-                        "id": pa.array(owners, pa.int64()),
-                        "ids": pa.array(ids, pa.binary()),
-                        "before": pa.array(before[:-1], pa.int64()),
-                    }
-                )
+        names, kinds = ("file", "offset", "id", "ids", "before"), (pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
+        for found in _read(batches, vocabulary):
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*found), kinds)], names)
 
     return _contents(spark, out).mapInArrow(rows, "file string, offset long, id long, ids binary, before long")
 
 
 def read_shuffled(spark: SparkSession, out: str, seed: int, vocabulary: str = VOCABULARY) -> DataFrame:
     """Records through the index in a seeded random order that reruns repeat: ``place``,
-    id and token ids. Every file is opened once, and only the listed places are read."""
+    id and token ids. The index is shuffled, not the files: a task reads its records'
+    byte ranges, opening a file once per batch. ``out`` must be on a file system that
+    pyarrow opens (local or shared folders, S3, GCS, HDFS)."""
     index = read_index(spark, out).select("file", "offset", "length", F.xxhash64("file", "offset", F.lit(seed)).alias("place"))
-    wanted = index.groupBy("file").agg(F.collect_list(F.struct("offset", "length", "place")).alias("places"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = index.repartitionByRange(parts, "place").sortWithinPartitions("place")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = id_type(vocabulary)
-        for batch in batches:
-            for content, places in zip(batch.column("content"), batch.column("places").to_pylist()):
-                content = content.as_buffer()
-                found = []
-                for p in places:
-                    ((_, payload),) = frames(content[p["offset"] : p["offset"] + p["length"]])
-                    null, owner = struct.unpack_from(OWNER, payload)
-                    ids = np.frombuffer(payload, kind, offset=OWNER_SIZE).astype("<u4").tobytes()
-                    found.append((p["place"], None if null else owner, ids))
+        system, folder = pyarrow.fs.FileSystem.from_uri(f"{out}/records")
+        for whole in batches:
+            for at in range(0, len(whole), 1024):
+                batch = whole.slice(at, 1024)
+                places = list(enumerate(zip(*[batch.column(c).to_pylist() for c in ("file", "offset", "length", "place")])))
+                found: list = [None] * len(places)
+                for file, own in groupby(sorted(places, key=lambda p: p[1][:2]), key=lambda p: p[1][0]):
+                    with system.open_input_file(f"{folder}/{file}") as content:
+                        for i, (_, offset, length, place) in own:
+                            ((_, payload),) = frames(content.read_at(length, offset))
+                            null, owner = struct.unpack_from(OWNER, payload)
+                            ids = np.frombuffer(payload, kind, offset=OWNER_SIZE).astype("<u4").tobytes()
+                            found[i] = place, None if null else owner, ids
                 columns = [pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.int64(), pa.binary()))]
                 yield pa.record_batch(columns, ["place", "id", "ids"])
 
-    joined = _contents(spark, out).join(wanted, "file").select("content", "places")
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return joined.mapInArrow(rows, "place long, id long, ids binary").repartitionByRange(files, "place").sortWithinPartitions("place")
+    return ordered.mapInArrow(rows, "place long, id long, ids binary")
+
+
+def file_order() -> list[Column]:
+    """Files in the order of their ranges: by the numbers in their names, which may have
+    more digits than the names are padded to."""
+    return [F.regexp_extract("file", rf"{before}(\d+)", 1).cast("long") for before in ("^part-", "-c")]
 
 
 def record_digests(spark: SparkSession, out: str, id_column: str = "doc_id", vocabulary: str = VOCABULARY) -> DataFrame:
     """Per record its id, ``start`` (ids of all records before it), ``n_tokens`` and
     ``ids_crc32``, out of the files. One row per file goes through the sum of the starts."""
-    index = read_index(spark, out)
-    totals = index.groupBy("file").agg(F.sum("n_tokens").alias("n"))
-    ahead = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("file", "before", "id", "n_tokens", "ids_crc32")
+        for found in _read(batches, vocabulary):
+            digests = [(file, before, owner, len(ids) // 4, zlib.crc32(ids)) for file, _, owner, ids, before in found]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*digests), (pa.string(), *[pa.int64()] * 4))], names)
+
+    totals = read_index(spark, out).groupBy("file").agg(F.sum("n_tokens").alias("n"))
+    ahead = Window.orderBy(*file_order()).rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("file", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("file_start"))
-    records = read_records(spark, out, vocabulary).select(
-        "file",
-        "before",
-        F.col("id").alias(id_column),
-        F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
-        F.crc32("ids").alias("ids_crc32"),
-    )
+    records = _contents(spark, out).mapInArrow(rows, "file string, before long, id long, n_tokens long, ids_crc32 long")
     return records.join(starts, "file").select(
-        id_column, (F.col("file_start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
+        F.col("id").alias(id_column), (F.col("file_start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
     )

@@ -48,3 +48,32 @@ def test_empty_table(llm_spark, none):
     out = work_folder(llm_spark, "records")
     R.write_records(none, out)
     assert R.record_digests(llm_spark, out).collect() == []
+
+
+def test_one_id_or_none_in_a_third_of_the_rows(llm_spark):
+    """Hot ids spread over many files, and ids still ascend from file to file."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, "the same text" if i % 2 else f"text {i}") for i in range(900)]
+    frame = llm_spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = work_folder(llm_spark, "records")
+    R.write_records(frame, out, file_bytes=300)
+    index = R.read_index(llm_spark, out)
+    counts = [r["count"] for r in index.groupBy("file").count().collect()]
+    assert len(counts) >= 25 and max(counts) < 120
+    found = sorted(R.record_digests(llm_spark, out).collect(), key=lambda r: r.start)
+    ids = [(r.doc_id is not None, r.doc_id or 0) for r in found]
+    assert ids == sorted(ids) and len(ids) == 900
+    assert [r.start for r in found] == [sum(r.n_tokens for r in found[:i]) for i in range(900)]
+
+
+def test_files_are_ordered_by_number(llm_spark):
+    names = ["part-99999-u-c000.txt", "part-100000-u-c000.txt", "part-100000-u-c001.txt", "part-00002-u-c010.txt", "part-00002-u-c002.txt"]
+    rows = llm_spark.createDataFrame([(n,) for n in names], "file string").orderBy(*R.file_order()).collect()
+    assert [r.file for r in rows] == [names[4], names[3], names[0], names[1], names[2]]
+
+
+def test_files_are_split_by_records(llm_spark):
+    out = work_folder(llm_spark, "records")
+    R.write_records(llm_spark.range(500).selectExpr("id AS doc_id", "'a b' AS text", "1 AS hash", "2 AS place"), out, per_file=9)
+    found = sorted((r.start, r.doc_id) for r in R.record_digests(llm_spark, out).collect())
+    assert found == [(3 * i, i) for i in range(500)]
+    assert max(r["count"] for r in R.read_index(llm_spark, out).groupBy("file").count().collect()) <= 9
