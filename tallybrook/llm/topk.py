@@ -7,15 +7,21 @@ nearer to a query than the gap between the query's distance from the pivot and t
 annulus, which bounds its inner product: 2 q.x = |q|^2 + |x|^2 - |q - x|^2. A query opens
 annuli in order of their bounds, and stops once no bound reaches its k-th best score.
 
-Vectors of an annulus are dealt over slices by hash, so an annulus that holds a third of
-all vectors is many rows. Slices and queries travel in blocks; each round opens, for
+There are about as many annuli as hold ``ANNULUS_ROWS`` vectors each, PIVOTS * RINGS at
+most. Vectors of an annulus are dealt over slices by hash, so an annulus that holds a third
+of all vectors is many rows. Slices and queries travel in blocks; each round opens, for
 every query, the annuli that its bounds still ask for: the best few first, all the
-others that qualify in the last. The table of annuli has at most PIVOTS * RINGS rows.
+others that qualify in the last.
+
+Scores are exact: products of components are summed as doubles while no sum can pass
+2 ** 53, else as 64-bit integers, and beyond these an error is raised.
 
 Defined cases: vectors that are NULL, hold NULL or a non-finite component, or differ from
 the others in length take no part (the length most vectors have counts); equal scores go
-to the smaller id; rows that repeat an id count each; a query with fewer candidates than k
-gets all; NULL ids take no part; an empty table gives an empty result.
+to the smaller id; rows that repeat an id are vectors of their own, as queries and as
+candidates, also for each other; a query with fewer candidates than k gets all; NULL ids
+take no part; an empty table gives an empty result; columns other than the two named are
+not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -32,11 +38,15 @@ from tallybrook.session import work_folder
 
 PIVOTS = 64
 RINGS = 16
+ANNULUS_ROWS = 1024
 SAMPLE = 4096
 SLICE_ROWS = 4096
 QUERY_ROWS = 256
 SCALE = 1024
 
+# Up to this size all whole numbers are doubles, and all sums 64-bit integers.
+EXACT_DOUBLES, EXACT_LONGS = 2.0**53, 2.0**63
+
 # Annuli a query opens in its first rounds; the last opens all that still qualify.
 ROUNDS = (2, 16)
 
@@ -57,6 +67,32 @@ def _matrix(column: pa.Array, dimensions: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimensions)
 
 
+def _packed(rows: np.ndarray) -> list[bytes]:
+    return [r.tobytes() for r in rows]
+
+
+def _unpacked(values: list[bytes], n: int) -> np.ndarray:
+    return np.frombuffer(b"".join(values), np.int64).reshape(n, -1)
+
+
+def inner_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Exact inner products of whole-number rows."""
+    a, b = left.astype(np.float64), right.astype(np.float64)
+    greatest = math.sqrt(float((a**2).sum(axis=1).max())) * math.sqrt(float((b**2).sum(axis=1).max())) * (1 + 1e-9)
+    if greatest < EXACT_DOUBLES:
+        return (a @ b.T).astype(np.int64)
+    if greatest < EXACT_LONGS:
+        return left @ right.T
+    raise OverflowError("inner products pass 64-bit integers")
+
+
+def annuli_for(vectors: int, pivots: int = PIVOTS, rings: int = RINGS) -> tuple[int, int]:
+    """Pivots and rings for so many vectors."""
+    annuli = max(1, min(pivots * rings, vectors // ANNULUS_ROWS))
+    some = min(rings, math.isqrt(max(1, annuli // 2)) or 1)
+    return min(pivots, -(-annuli // some)), some
+
+
 def _distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     square = (rows**2).sum(axis=1)[:, None] + (pivots**2).sum(axis=1)[None, :] - 2 * rows @ pivots.T
     return np.sqrt(np.maximum(square, 0))
@@ -83,22 +119,25 @@ def top_k(
     vectors: DataFrame,
     is_query: Column,
     k: int = 10,
-    pivots: int = PIVOTS,
-    rings: int = RINGS,
+    pivots: int | None = None,
+    rings: int | None = None,
     sample_rows: int = SAMPLE,
     slice_rows: int = SLICE_ROWS,
     query_rows: int = QUERY_ROWS,
     rounds: tuple[int, ...] = ROUNDS,
 ) -> DataFrame:
     """``vectors`` has ``id`` and ``v`` (whole numbers); ``is_query`` is a condition on
-    ``id``. Gives ``query_id``, ``rank`` from 1, ``vec_id`` and ``score``."""
+    ``id``. Gives ``query_id``, ``rank`` from 1, ``vec_id`` and ``score``. Pivots and rings
+    follow from the number of vectors where they are not given."""
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score long"
     folder = work_folder(spark, "topk")
-    commonest = vectors.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    commonest = vectors.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
     if commonest is None:
         return spark.createDataFrame([], schema)
     dimensions = commonest.d
+    usual = annuli_for(commonest.n)
+    pivots, rings = pivots or usual[0], rings or usual[1]
     vectors = vectors.where(F.size("v") == dimensions)
 
     # Pivots and ring edges come from a bounded sample; every vector is indexed.
@@ -121,15 +160,18 @@ def top_k(
             ring = (edges[pivot] < distance[:, None]).sum(axis=1)
             yield pa.record_batch(
                 {
+                    "row": batch.column("row"),
                     "id": batch.column("id"),
                     "annulus": pa.array(pivot * rings + ring, pa.int64()),
                     "distance": pa.array(distance),
                     "norm": pa.array((rows**2).sum(axis=1)),
-                    "v": pa.array([r.tobytes() for r in rows.astype(np.int32)], pa.binary()),
+                    "v": pa.array(_packed(batch.column("v").flatten().to_numpy().reshape(-1, dimensions)), pa.binary()),
                 }
             )
 
-    vectors.mapInArrow(key, "id long, annulus long, distance double, norm double, v binary").write.parquet(f"{folder}/keyed")
+    # Rows are numbered once, in what is written: a query is a row, not an id.
+    numbered = vectors.select(F.monotonically_increasing_id().alias("row"), "id", "v")
+    numbered.mapInArrow(key, "row long, id long, annulus long, distance double, norm double, v binary").write.parquet(f"{folder}/keyed")
     keyed = spark.read.parquet(f"{folder}/keyed")
     # At most pivots * rings rows.
     annuli = (
@@ -140,24 +182,31 @@ def top_k(
     )
     n_slices = dict(zip(annuli["annulus"].tolist(), (-(-annuli["n"] // slice_rows)).tolist()))
     slices = F.element_at(F.create_map(*[F.lit(int(x)) for pair in n_slices.items() for x in pair]), F.col("annulus").cast("int"))
-    hashed = F.xxhash64("id", "v")
+    hashed = F.xxhash64("row")
     packed = (
         keyed.withColumn("slice", F.pmod(hashed, slices.cast("long")))
         .groupBy("annulus", "slice")
-        .agg(F.collect_list(F.struct("id", "v")).alias("held"))
+        .agg(F.collect_list(F.struct("row", "id", "v")).alias("held"))
     )
-    packed.select("annulus", "slice", "held.id", "held.v").write.parquet(f"{folder}/slices")
+    packed.select("annulus", "slice", "held.row", "held.id", "held.v").write.parquet(f"{folder}/slices")
     held = spark.read.parquet(f"{folder}/slices")
 
-    # Queries of one pivot and similar distance travel together.
-    near = Window.partitionBy("annulus", "part").orderBy("distance", "id")
+    # Queries of one pivot and similar distance travel together, in full blocks; a pivot
+    # with very many vectors has its queries dealt over parts.
+    near = Window.partitionBy("pivot", "part").orderBy("annulus", "distance", "row")
+    of_pivot = F.floor(F.col("annulus") / rings)
+    parts_of = annuli.assign(pivot=annuli["annulus"] // rings, slices=-(-annuli["n"] // slice_rows)).groupby("pivot")["slices"].sum()
+    n_parts = F.element_at(
+        F.create_map(*[F.lit(int(x)) for p, n in parts_of.items() for x in (p, max(1, -(-n // (16 * rings))))]), of_pivot.cast("int")
+    )
     queries = (
         keyed.where(is_query)
-        .withColumn("part", F.pmod(hashed, F.ceil(slices / 16).cast("long")))
+        .withColumn("pivot", of_pivot)
+        .withColumn("part", F.pmod(hashed, n_parts.cast("long")))
         .withColumn("block", F.floor((F.row_number().over(near) - 1) / query_rows))
-        .groupBy("annulus", "part", "block")
-        .agg(F.collect_list(F.struct("id", "v")).alias("asked"))
-        .select("annulus", "part", "block", "asked.id", "asked.v")
+        .groupBy("pivot", "part", "block")
+        .agg(F.collect_list(F.struct("row", "id", "v")).alias("asked"))
+        .select("pivot", "part", "block", "asked.row", "asked.id", "asked.v")
     )
     queries.write.parquet(f"{folder}/queries")
     queries = spark.read.parquet(f"{folder}/queries")
@@ -171,10 +220,11 @@ def top_k(
         """The greatest inner product an annulus may hold for each query, rounded up."""
         gap = _distances(rows, centres)[:, pivot_of]
         beyond = np.maximum(np.maximum(lo - gap, gap - hi), 0)
-        # Distances carry rounding errors of far less than this.
-        beyond = np.maximum(beyond * (1 - 1e-9) - 1e-6, 0)
         square = (rows**2).sum(axis=1)[:, None]
-        return np.minimum((square + norm - beyond**2) / 2, np.sqrt(square * norm)) + 1
+        # Distances and norms carry rounding errors of far less than this.
+        slack = (square + norm) * 1e-9
+        beyond = np.maximum(beyond - 1e-6 - np.sqrt(slack) * 1e-3, 0)
+        return np.minimum((square + norm - beyond**2) / 2, np.sqrt(square * norm)) + slack + 1
 
     def opened(upto: int | None, passed: int):
         """Query blocks with the slices they open: the annuli from place ``passed`` on in
@@ -182,11 +232,10 @@ def top_k(
 
         def open_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for ids, vs, least in zip(*[batch.column(c) for c in ("id", "v", "least")]):
-                    ids = np.array(ids.as_py())
-                    rows = np.frombuffer(b"".join(vs.as_py()), np.int32).reshape(len(ids), -1).astype(np.float64)
-                    least = np.array(least.as_py(), np.float64)
-                    bound = bounds(rows)
+                for numbers, ids, vs, least in zip(*[batch.column(c) for c in ("row", "id", "v", "least")]):
+                    numbers, ids = np.array(numbers.as_py(), np.int64), np.array(ids.as_py(), np.int64)
+                    vs, least = _unpacked(vs.as_py(), len(ids)), np.array(least.as_py(), np.float64)
+                    bound = bounds(vs.astype(np.float64))
                     order = np.argsort(-bound, axis=1, kind="stable")[:, passed:upto]
                     asks = np.zeros(bound.shape, bool)
                     np.put_along_axis(asks, order, True, axis=1)
@@ -194,34 +243,36 @@ def top_k(
                     out: list = []
                     for place in np.flatnonzero(asks.any(axis=0)).tolist():
                         who = asks[:, place]
-                        block = (ids[who].tobytes(), rows[who].astype(np.int32).tobytes(), least[who].tobytes())
+                        block = (numbers[who].tobytes(), ids[who].tobytes(), vs[who].tobytes(), least[who].tobytes())
                         out += [(int(names[place]), s, *block) for s in range(int(parts[place]))]
-                    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-                    for at in range(0, len(out), 256):
-                        some = list(zip(*out[at : at + 256]))
-                        yield pa.record_batch([pa.array(c, t) for c, t in zip(some, kinds)], ["annulus", "slice", "q", "qv", "least"])
+                    kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 4)
+                    for at in range(0, len(out), 32):
+                        some = list(zip(*out[at : at + 32]))
+                        yield pa.record_batch([pa.array(c, t) for c, t in zip(some, kinds)], ["annulus", "slice", "qrow", "q", "qv", "least"])
 
         return open_
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for q, qv, least, ids, vs in zip(*[batch.column(c) for c in ("q", "qv", "least", "id", "v")]):
-                q, least = np.frombuffer(q.as_py(), np.int64), np.frombuffer(least.as_py(), np.float64)
-                ids = ids.values.to_numpy()
-                rows = np.frombuffer(b"".join(vs.as_py()), np.int32).reshape(len(ids), -1).astype(np.float64)
-                mine = np.frombuffer(qv.as_py(), np.int32).reshape(len(q), -1).astype(np.float64)
-                # Whole numbers below 2 ** 53: sums of products are exact.
-                scores = mine @ rows.T
-                scores[q[:, None] == ids[None, :]] = -np.inf
+            for own, q, qv, least, numbers, ids, vs in zip(*[batch.column(c) for c in ("qrow", "q", "qv", "least", "row", "id", "v")]):
+                own, q = np.frombuffer(own.as_py(), np.int64), np.frombuffer(q.as_py(), np.int64)
+                least = np.frombuffer(least.as_py(), np.float64)
+                numbers, ids = numbers.values.to_numpy(), ids.values.to_numpy()
+                scores = inner_products(_unpacked([qv.as_py()], len(q)), _unpacked(vs.as_py(), len(ids)))
+                others = own[:, None] != numbers[None, :]
                 found: list[tuple[np.ndarray, ...]] = []
                 for i in range(len(q)):
-                    good = np.flatnonzero((scores[i] >= least[i]) & np.isfinite(scores[i]))
+                    good = np.flatnonzero((scores[i] >= least[i]) & others[i])
+                    if len(good) > k:
+                        # All that reach the k-th best score, then the smaller ids among them.
+                        good = good[scores[i][good] >= np.partition(scores[i][good], len(good) - k)[len(good) - k]]
                     best = good[np.lexsort((ids[good], -scores[i][good]))][:k]
-                    found.append((np.full(len(best), q[i]), ids[best], scores[i][best].astype(np.int64)))
+                    found.append((np.full(len(best), own[i]), np.full(len(best), q[i]), ids[best], scores[i][best]))
                 columns = [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*found)]
-                yield pa.record_batch(columns, ["query_id", "vec_id", "score"])
+                yield pa.record_batch(columns, ["query_row", "query_id", "vec_id", "score"])
 
-    best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best_first = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def best(found: DataFrame) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k).drop("rank")
@@ -230,11 +281,13 @@ def top_k(
     passed = 0
     for number, upto in enumerate((*rounds, None)):
         asking = queries.select(
-            "id", "v", F.transform("id", lambda _: F.lit(-math.inf)).alias("least")
+            "row", "id", "v", F.transform("id", lambda _: F.lit(-math.inf)).alias("least")
         ) if best_so_far is None else _with_thresholds(queries, best_so_far, k)
-        pairs = asking.mapInArrow(opened(upto, passed), "annulus long, slice long, q binary, qv binary, least binary")
+        pairs = asking.repartition(tasks).mapInArrow(
+            opened(upto, passed), "annulus long, slice long, qrow binary, q binary, qv binary, least binary"
+        )
         # Both sides hold packed vectors, which Spark would take for small enough to broadcast.
-        scored = pairs.hint("merge").join(held, ["annulus", "slice"]).mapInArrow(score, "query_id long, vec_id long, score long")
+        scored = pairs.hint("merge").join(held, ["annulus", "slice"]).mapInArrow(score, "query_row long, query_id long, vec_id long, score long")
         best(scored if best_so_far is None else scored.unionByName(best_so_far)).write.parquet(f"{folder}/best-{number}")
         best_so_far = spark.read.parquet(f"{folder}/best-{number}")
         passed = upto
@@ -244,12 +297,14 @@ def top_k(
 
 def _with_thresholds(queries: DataFrame, best: DataFrame, k: int) -> DataFrame:
     """Query blocks with every query's k-th best score so far."""
-    least = best.groupBy("query_id").agg(F.min("score").alias("kth"), F.count("*").alias("n")).select(
-        "query_id", F.when(F.col("n") >= k, F.col("kth").cast("double")).otherwise(F.lit(-math.inf)).alias("least")
+    # A threshold above 2 ** 53 is rounded down, as a double may not reach it.
+    kth = F.when(F.abs("kth") < EXACT_DOUBLES, F.col("kth").cast("double")).otherwise(F.col("kth").cast("double") - F.abs("kth") * 1e-15)
+    least = best.groupBy("query_row").agg(F.min("score").alias("kth"), F.count("*").alias("n")).select(
+        "query_row", F.when(F.col("n") >= k, kth).otherwise(F.lit(-math.inf)).alias("least")
     )
-    key = ("annulus", "part", "block")
-    rows = queries.select(*key, F.inline(F.arrays_zip("id", "v")))
-    joined = rows.join(least, rows.id == least.query_id, "left").select(
-        *key, F.struct("id", "v", F.coalesce("least", F.lit(-math.inf)).alias("least")).alias("r")
+    key = ("pivot", "part", "block")
+    rows = queries.select(*key, F.inline(F.arrays_zip("row", "id", "v")))
+    joined = rows.join(least, rows.row == least.query_row, "left").select(
+        *key, F.struct("row", "id", "v", F.coalesce("least", F.lit(-math.inf)).alias("least")).alias("r")
     )
-    return joined.groupBy(*key).agg(F.collect_list("r").alias("rs")).select("rs.id", "rs.v", "rs.least")
+    return joined.groupBy(*key).agg(F.collect_list("r").alias("rs")).select("rs.row", "rs.id", "rs.v", "rs.least")
