@@ -14,7 +14,7 @@ from test_jaccard import brute as brute_components
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_agrees_with_sql(llm_spark, sf_dir, name):
     connection = duckdb.connect()
-    for table in ("conversations", "embeddings"):
+    for table in ("conversations", "embeddings", "documents", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{Path(sf_dir) / table}.parquet')")
     found = QUERIES[name](llm_spark, sf_dir)
     columns = sorted(found.columns)
@@ -98,3 +98,34 @@ def test_run_and_repeated_rows(llm_spark, sf_dir, documents, odd, stages):
     assert {r.doc_id for r in once.collect()} >= {1, 2, 3, None}
     mixed = P.mixing_stage(llm_spark, frame, "")
     assert set(rows(mixed)) <= set(rows(frame))
+
+
+def test_rows_that_differ_in_one_column_are_rows_of_their_own(llm_spark):
+    """Alike in id and text, but not in source or language; some of them repeated."""
+    text = " ".join(f"w{i}" for i in range(40))
+    other = " ".join(f"v{i}" for i in range(40))
+    docs = [(1, text, "en", "a"), (1, text, "en", "b"), (1, text, None, "a"), (1, text, "en", "a"), (2, other, "en", "b"), (2, other, "en", "b")]
+    frame = llm_spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    mixed = rows(P.mixing_stage(llm_spark, frame, ""))
+    assert set(mixed) == set(docs)
+    # Source a is met at twice its words, b at what is left of 150 %: its own.
+    assert [sum(n for r, n in mixed.items() if r[3] == s) for s in "ab"] == [6, 3]
+    # Near duplicates: one document of the group, whichever of the rows that share its id.
+    once = rows(P.near_duplicate_stage(llm_spark, frame, ""))
+    assert len(once) == 2 and set(once) <= set(docs) and max(once.values()) == 1
+
+
+def test_a_text_in_a_third_of_the_rows(llm_spark):
+    """Its copies are one group; NULL, empty and wordless texts stay by themselves."""
+    hot = " ".join(f"hot{i}" for i in range(60))
+    docs = [(i, hot if i % 3 == 0 else f"text {i} " + " ".join(f"w{i}x{j}" for j in range(20)), "en", "a") for i in range(1, 121)]
+    docs += [(500 + i, t, None, None) for i, t in enumerate([None, "", " \n", None])] + [(None, hot, "en", "a")]
+    frame = llm_spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").repartition(6)
+    kept = P.near_duplicate_stage(llm_spark, frame, "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted([3, *[i for i in range(1, 121) if i % 3], 500, 501, 502, 503])
+
+
+@pytest.mark.parametrize("stage", [s for _, s in P.STAGES])
+def test_stages_of_empty_tables(llm_spark, none, stage):
+    out = stage(llm_spark, none, "")
+    assert out.collect() == []
