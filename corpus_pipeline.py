@@ -2,6 +2,14 @@
 
 Every stage reads what the one before it wrote. All stages but the last return the
 columns of the documents they were given; the last returns the ids of every text.
+
+Defined cases, in all stages: an empty table gives an empty result; columns besides id,
+text, lang and source are carried along whatever their names, but may not be maps; NULL
+ids, languages and sources are values like others; texts are read whole. A NULL or empty
+text fails the base rules and goes in the first stage; given to a later one it goes for
+want of a language, is a group of its own among near duplicates, is never taken by a mix,
+and has no pieces. Rows alike in all columns are one document of a group, and as many in
+the other stages; rows that differ in any column are documents of their own.
 """
 
 from __future__ import annotations
@@ -26,30 +34,39 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return language.keep_identified(docs, language.learn(docs, ~language.held_out()))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """A key per row; rows that share it have one id and one text."""
-    return docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-
-
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near duplicates the document with the smallest id stays."""
+    """Of every group of near duplicates the document with the smallest id stays, NULL last.
+
+    Rows are told apart by a hash of all their columns. Two different rows that share one
+    would both stay where one of them does; neither is lost.
+    """
     ready(spark)
-    keyed = _keyed(docs)
-    found = jaccard.jaccard_components(keyed, id_column="_row", width=5, percent=80)
-    owners = keyed.select("_row", "doc_id").distinct().withColumnRenamed("_row", "_of")
+    keyed = docs.withColumn("_row", F.xxhash64(*docs.columns))
+    found = jaccard.jaccard_components(keyed.select("_row", "text"), id_column="_row", width=5, percent=80)
+    groups = found.select("_row", "component_id").distinct()
+    owners = keyed.select(F.col("_row").alias("_of"), "doc_id").distinct()
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
     stays = (
-        found.select("_row", "component_id").distinct().join(owners, F.col("_row") == F.col("_of"))
-        .groupBy("component_id").agg(first["_row"].alias("_stays")).select("_stays")
+        groups.join(owners, F.col("_row") == F.col("_of"))
+        .groupBy(F.col("component_id").alias("_group"))
+        .agg(first["_row"].alias("_stays"))
     )
-    kept = keyed.join(stays, F.col("_row") == F.col("_stays"), "left_semi")
-    return kept.dropDuplicates(["_row"]).select(*docs.columns)
+    left = stays.select(F.col("_stays").alias("_of"))
+    gone = groups.join(stays, F.col("component_id") == F.col("_group")).where("_row <> _stays").select("_row").distinct()
+    gone = gone.join(left, F.col("_row") == F.col("_of"), "left_anti").select(F.col("_row").alias("_of"))
+    kept = keyed.join(gone, F.col("_row") == F.col("_of"), "left_anti")
+    # Only rows that may be there several times are put together by all their columns.
+    again = keyed.groupBy(F.col("_row").alias("_of")).count().where("count > 1").select("_of")
+    once = kept.join(again, F.col("_row") == F.col("_of"), "left_anti").select(*docs.columns)
+    return once.unionByName(kept.join(again, F.col("_row") == F.col("_of"), "left_semi").select(*docs.columns).distinct())
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every document as often as the mix takes it. Rows are told apart by a digest of all
+    their columns; those that are alike are taken together."""
     ready(spark)
-    keyed = _keyed(docs)
+    digest = F.unhex(F.sha2(F.to_json(F.struct(*docs.columns)), 256))
+    keyed = docs.withColumn("_row", digest)
     mix = mixing.mix_sources(keyed, id_column="_row")
     copies = mix.groupBy(F.col("_row").alias("_of")).agg(F.sum("copies").cast("int").alias("_copies")).where("_copies > 0")
     taken = keyed.dropDuplicates(["_row"]).join(copies, F.col("_row") == F.col("_of"))
