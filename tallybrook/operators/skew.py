@@ -21,6 +21,7 @@ def join_many_to_one(
     ``keep_spread`` keeps that column: an aggregate that groups by it, next to the key,
     uses the partitioning of the join and needs no further shuffle.
     """
-    spread = F.xxhash64(key)
+    # Few values, so that shuffles compress it to nothing.
+    spread = F.pmod(F.hash(key), F.lit(16)).cast("byte")
     joined = many.withColumn(SPREAD, spread).join(one.withColumn(SPREAD, spread), [key, SPREAD], how)
     return joined if keep_spread else joined.drop(SPREAD)

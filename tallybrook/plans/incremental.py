@@ -24,7 +24,6 @@ rows.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column as C
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.functions.measures import line_value, money_average, percentage
 from tallybrook.operators.live import latest
-from tallybrook.operators.skew import join_many_to_one
+from tallybrook.operators.skew import SPREAD, join_many_to_one
 from tallybrook.plans import business as B
 from tallybrook.schema import TABLES
 
@@ -40,6 +39,12 @@ BUCKETS = 64
 SIGN = "_sign"
 META = ("_version", "_seq", "_is_deleted")
 
+# Whether a value is there before a batch and after it.
+WAS, IS = "_was", "_is"
+# What counts of an order in the answers on lines.
+PLACED = ["order_id", "customer_id", "created_at", "kept", "earned"]
+PLACED_TYPES = {"customer_id": "bigint", "created_at": "timestamp", "kept": "boolean", "earned": "boolean"}
+
 # What is kept of the rows of each table.
 KEPT = {
     "orders": ("customer_id", "status", "total_amount", "city", "created_at"),
@@ -107,17 +112,21 @@ class Answers:
     def _bucket(self, key: str) -> C:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
-    def _write(self, rows: DataFrame, name: str, batch: int) -> DataFrame:
-        """A batch's part of a state; it is read from what is written."""
-        path, kinds = f"{self.root}/{name}/batch={batch}", _columns(name)
+    def _write(self, rows: DataFrame, name: str, batch: int, more: Mapping[str, str] | None = None) -> DataFrame:
+        """A batch's part of a state, with ``more`` columns that its readers pass over; it is
+        read from what is written."""
+        path, kinds = f"{self.root}/{name}/batch={batch}", _columns(name) | dict(more or {})
         by = next(iter(kinds)) if name in KEPT or name == "lines" else None
         typed = rows.select(*[F.col(c).cast(kind).alias(c) for c, kind in kinds.items()])
-        # A bucket's rows meet in one file, or several where they are many.
-        dealt = typed.withColumn("bucket", self._bucket(by) if by else F.lit(0)).hint("rebalance", F.col("bucket"))
+        # Rows are dealt over the buckets where they were collapsed or summed: a small batch
+        # leaves one file in a bucket, a large one a file for each of its tasks.
+        dealt = typed.withColumn("bucket", self._bucket(by) if by else F.lit(0))
         dealt.write.mode("overwrite").partitionBy("bucket").parquet(path)
         return self.spark.read.schema(_ddl(kinds)).parquet(path).drop("bucket")
 
-    def _read(self, name: str, before: int | None = None, buckets: list[int] | None = None) -> DataFrame:
+    def _read(
+        self, name: str, before: int | None = None, buckets: list[int] | None = None, with_batch: bool = False
+    ) -> DataFrame:
         """A state up to a batch, in some buckets."""
         schema = _ddl(_columns(name) | {"batch": "int", "bucket": "int"})
         rows = self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
@@ -125,7 +134,7 @@ class Answers:
             rows = rows.where(F.col("batch") < before)
         if buckets is not None:
             rows = rows.where(F.col("bucket").isin(buckets))
-        return rows.drop("bucket", "batch")
+        return rows.drop("bucket") if with_batch else rows.drop("bucket", "batch")
 
     def _touched(self, rows: DataFrame, key: str) -> list[int]:
         """At most ``buckets`` numbers."""
@@ -133,9 +142,11 @@ class Answers:
 
     # ---- a batch ---------------------------------------------------------------------
 
-    def _rows(self, table: str, before: int, buckets: list[int] | None = None) -> DataFrame:
-        """Current rows of a table, deleted ones included, as they were before a batch."""
-        signed = self._read(table, before, buckets)
+    def _rows(self, table: str, before: int, keys: DataFrame) -> DataFrame:
+        """Rows of some keys, deleted ones included, that were current before a batch. The
+        join on the key deals them out as the sums and a later join need them."""
+        key = TABLES[table].key
+        signed = self._read(table, before, self._touched(keys, key)).join(keys.select(key), key, "left_semi")
         columns = [c for c in signed.columns if c != SIGN]
         return signed.groupBy(*columns).agg(F.sum(SIGN).alias(SIGN)).where(F.col(SIGN) > 0)
 
@@ -146,7 +157,7 @@ class Answers:
         typed = newest.select(*[F.col(c).cast(kind).alias(c) for c, kind in _columns(table).items()])
         if batch == 0:
             return self._write(typed, table, 0)
-        now = self._rows(table, batch, self._touched(typed, key)).withColumn(SIGN, F.lit(-1).cast("bigint"))
+        now = self._rows(table, batch, typed).withColumn(SIGN, F.lit(-1).cast("bigint"))
         old = now.select(F.struct(*typed.columns).alias("old"), F.col(key).alias("_of"))
         both = typed.select(F.struct(*typed.columns).alias("new"), key).join(old, F.col(key) == F.col("_of"), "left")
         newer = F.struct("new._version", "new._seq") > F.struct("old._version", "old._seq")
@@ -172,26 +183,30 @@ class Answers:
         live = {t: rows.where("_is_deleted = 0") for t, rows in signed.items()}
         self._write(_q3(live["orders"]), "q3", batch)
         self._write(_q5(live["payments"]), "q5", batch)
-        lines = self._write(_lines(live["order_items"]), "lines", batch)
         if batch == 0:
-            sides = [(1, live["orders"], lines, live["products"])]
+            # The join on orders puts lines where they are summed, and is kept next to the sums.
+            orders = _placed(live["orders"]).select(*PLACED)
+            known = join_many_to_one(live["order_items"], orders, "order_id", "left", keep_spread=True)
+            summed = _lines(known, SPREAD, *PLACED[1:])
+            every = self._write(summed, "lines", batch, PLACED_TYPES).withColumn(SIGN, F.lit(1))
+            sold, products = every.where("kept or earned"), live["products"].select("product_id", "category_id", F.lit(0).alias(WAS), F.lit(1).alias(IS))
         else:
-            touched, buckets = self._touched_orders(signed["orders"], lines, live["products"], batch)
-            sides = [(sign, *self._state_of(touched, buckets, upto)) for sign, upto in ((-1, batch), (1, batch + 1))]
-        added: dict[str, list[DataFrame]] = {}
-        for sign, orders, sums, products in sides:
-            for name, rows in _contributions(orders, sums, products).items():
-                measured = [F.col(c) if c in KEYS[name] or sign > 0 else F.negative(c).alias(c) for c in rows.columns]
-                added.setdefault(name, []).append(rows.select(*measured))
-        for name, rows in added.items():
-            every = reduce(DataFrame.unionByName, rows)
-            sums = [F.sum(c).alias(c) for c in every.columns if c not in KEYS[name]]
-            self._write(every.groupBy(*KEYS[name]).agg(*sums), name, batch)
+            lines = self._write(_lines(live["order_items"]), "lines", batch)
+            touched, buckets = self._touched_orders(live["orders"], lines, live["products"], batch)
+            orders, rows, products = self._state_of(touched, buckets, batch)
+            both = self._sold_before_and_after(orders, rows, batch)
+            # The answers below read these lines; the join they come from is made once.
+            path = f"{self.root}/sold/batch={batch}"
+            both.write.mode("overwrite").parquet(path)
+            sold = self.spark.read.schema(both.schema).parquet(path)
+        for name, rows in _contributions(sold, products).items():
+            self._write(rows, name, batch)
 
     def _touched_orders(self, orders: DataFrame, lines: DataFrame, products: DataFrame, batch: int) -> tuple[DataFrame, list[int]]:
-        """Orders whose row, lines or products' categories a batch has changed, and their
-        buckets."""
-        touched = orders.select("order_id").union(lines.select("order_id"))
+        """Orders whose lines or products' categories a batch has changed, or what of their
+        row counts in an answer on lines, and their buckets."""
+        counts = _placed(orders).where("kept or earned").groupBy(*PLACED).agg(F.sum(SIGN).alias(SIGN)).where(F.col(SIGN) != 0)
+        touched = counts.select("order_id").union(lines.select("order_id"))
         moved = products.groupBy("product_id", "category_id").agg(F.sum(SIGN).alias(SIGN)).where(F.col(SIGN) != 0)
         if not moved.isEmpty():
             listing = self._read("lines", batch).join(moved.select("product_id").distinct(), "product_id", "left_semi")
@@ -201,11 +216,38 @@ class Answers:
         touched = self.spark.read.schema("order_id bigint").parquet(path)
         return touched, self._touched(touched, "order_id")
 
-    def _state_of(self, touched: DataFrame, buckets: list[int], upto: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Rows and sums of the touched orders, and all products, as they were before a batch."""
-        orders = self._rows("orders", upto, buckets).where("_is_deleted = 0").join(touched, "order_id", "left_semi")
-        sums = _added(join_many_to_one(self._read("lines", upto, buckets), touched, "order_id", "left_semi"), "lines")
-        return orders, sums, self._rows("products", upto).where("_is_deleted = 0")
+    @staticmethod
+    def _before_and_after(rows: DataFrame, columns: list[str], batch: int) -> DataFrame:
+        """Values that current rows have before a batch (``_was``), after it (``_is``) or both."""
+        before = F.when(F.col("batch") < batch, F.col(SIGN)).otherwise(0)
+        sums = rows.where("_is_deleted = 0").groupBy(*columns).agg(F.sum(before).alias(WAS), F.sum(SIGN).alias(IS))
+        return sums.where((F.col(WAS) > 0) | (F.col(IS) > 0))
+
+    def _state_of(self, touched: DataFrame, buckets: list[int], batch: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The touched orders and all products, before the batch and after it, and the sums of
+        lines in the orders' buckets."""
+        changed = self._read("orders", batch + 1, buckets, with_batch=True).join(touched, "order_id", "left_semi")
+        orders = self._before_and_after(_placed(changed), PLACED, batch).where("kept or earned")
+        products = self._before_and_after(self._read("products", batch + 1, with_batch=True), ["product_id", "category_id"], batch)
+        return orders, self._read("lines", batch + 1, buckets, with_batch=True), products
+
+    @staticmethod
+    def _sold_before_and_after(orders: DataFrame, lines: DataFrame, batch: int) -> DataFrame:
+        """Lines of the touched orders with what their orders were before the batch (sign -1)
+        and are after it (+1). States are read once for both, and lines are summed where
+        the join on orders has put them."""
+        rows = join_many_to_one(lines, orders, "order_id", keep_spread=True)
+        kinds = {c: kind for c, kind in _columns("lines").items() if c not in KEYS["lines"]}
+        before = [F.sum(F.when(F.col("batch") < batch, F.col(c)).otherwise(0)).cast(kind).alias(f"_before_{c}") for c, kind in kinds.items()]
+        after = [F.sum(c).cast(kind).alias(f"_after_{c}") for c, kind in kinds.items()]
+        sums = rows.groupBy(SPREAD, *KEYS["lines"], *PLACED[1:], WAS, IS).agg(*before, *after)
+
+        def side(state: str, sign: int, prefix: str) -> C:
+            measures = [F.col(f"{prefix}{c}").alias(c) for c in kinds]
+            return F.when((F.col(state) > 0) & (F.col(f"{prefix}n") != 0), F.struct(F.lit(sign).alias(SIGN), *measures))
+
+        sides = F.array_compact(F.array(side(WAS, -1, "_before_"), side(IS, 1, "_after_")))
+        return sums.select(*KEYS["lines"], *PLACED[1:], F.inline(sides))
 
     # ---- answers ---------------------------------------------------------------------
 
@@ -291,9 +333,9 @@ class Answers:
         return other
 
 
-def _lines(items: DataFrame) -> DataFrame:
-    """Signed items as sums per order and product."""
-    return items.withColumn("value", line_value()).groupBy("order_id", "product_id").agg(
+def _lines(items: DataFrame, *known: str) -> DataFrame:
+    """Signed items as sums per order and product, and what else is known of the order."""
+    return items.withColumn("value", line_value()).groupBy("order_id", "product_id", *known).agg(
         F.sum(SIGN).alias("n"),
         _signed(F.col("quantity"), "quantity"),
         _signed(F.col("value"), "value"),
@@ -314,23 +356,35 @@ def _q5(payments: DataFrame) -> DataFrame:
     return payments.groupBy("method", "status").agg(F.sum(SIGN).alias("n"), *amounts)
 
 
-def _contributions(orders: DataFrame, lines: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
-    """What these orders, with their lines, add to the answers."""
-    counted = F.count("*").alias("n")
-    kept = orders.where(F.col("status") != "cancelled")
-    sold = join_many_to_one(lines, kept.select("order_id"), "order_id")
-    q4 = sold.groupBy("product_id").agg(
-        counted, *[F.sum(c).alias(c) for c in ("quantity", "value", "price_sum", "n_values", "n_prices")]
+def _placed(orders: DataFrame) -> DataFrame:
+    """Orders with what counts of their status."""
+    status = F.col("status")
+    return orders.withColumns(
+        {
+            "kept": F.coalesce(status != "cancelled", F.lit(False)),
+            "earned": F.coalesce(status.isin(*B.REVENUE_STATUSES), F.lit(False)),
+        }
     )
-    per_order = lines.groupBy("order_id").agg(F.sum("value").alias("value"), F.sum("n_values").alias("n_values"))
-    placed = kept.select("order_id", "customer_id", "created_at").join(per_order, "order_id")
-    q2 = placed.groupBy("customer_id").agg(counted, F.sum("value").alias("value"), F.sum("n_values").alias("n_values"))
-    times = placed.groupBy("customer_id", "created_at").agg(counted)
-    earned = orders.where(F.col("status").isin(*B.REVENUE_STATUSES)).select("order_id", "created_at")
+
+
+def _contributions(sold: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
+    """What signed lines, with their orders, add to the answers."""
+    counted = F.sum(SIGN).alias("n")
+
+    def added(*columns: str) -> list[C]:
+        return [F.sum(F.when(F.col(SIGN) < 0, F.negative(c)).otherwise(F.col(c))).alias(c) for c in columns]
+
+    q4 = sold.where("kept").groupBy("product_id").agg(counted, *added(*_SOLD))
+    # A file holds all lines of an order, or many, so one row per order is shuffled.
+    sums = [F.sum(c).alias(c) for c in ("value", "n_values")]
+    per_order = sold.where("kept").groupBy("order_id", "customer_id", "created_at", SIGN).agg(*sums)
+    q2 = per_order.groupBy("customer_id").agg(counted, *added("value", "n_values"))
+    times = sold.where("kept").select("order_id", "customer_id", "created_at", SIGN).distinct()
+    times = times.groupBy("customer_id", "created_at").agg(counted)
     in_category = join_many_to_one(
-        join_many_to_one(lines, earned, "order_id"), products.select("product_id", "category_id"), "product_id"
-    )
+        sold.where("earned").select("order_id", "product_id", "created_at", SIGN, "value", "n_values"), products, "product_id"
+    ).where(((F.col(SIGN) < 0) & (F.col(WAS) > 0)) | ((F.col(SIGN) > 0) & (F.col(IS) > 0)))
     # An order counts once in a category, however many of its products it lists.
-    once = in_category.groupBy("order_id", "created_at", "category_id").agg(F.sum("value").alias("value"), F.sum("n_values").alias("n_values"))
-    q1 = once.groupBy("category_id", "created_at").agg(counted, F.sum("value").alias("value"), F.sum("n_values").alias("n_values"))
+    once = in_category.groupBy("order_id", "created_at", "category_id", SIGN).agg(*sums)
+    q1 = once.groupBy("category_id", "created_at").agg(counted, *added("value", "n_values"))
     return {"q1": q1, "q2": q2, "q2_times": times, "q4": q4}

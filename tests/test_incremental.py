@@ -131,3 +131,22 @@ def test_an_empty_start(spark, dimensions):
     log = {t: [(*row(t, k, draw), 1, k, 0) for k in range(n)] for t, n in KEYS.items()}
     state.apply({t: spark.createDataFrame(rows, SCHEMAS[t]) for t, rows in log.items()}, 1)
     compared(spark, state, log, dimensions)
+
+
+def test_lines_are_read_for_orders_whose_part_in_an_answer_changes(spark, dimensions):
+    draw = random.Random(5)
+    state = Answers(spark, work_folder(spark, "answers"), buckets=2)
+    log = {t: [(*row(t, k, draw), 0, 0, 0) for k in range(n)] for t, n in KEYS.items()}
+    day, money = DAYS[0], Decimal("1.00")
+    log["orders"] = [(k, 1, "shipped", money, "Rom", day, 0, 0, 0) for k in range(3)] + [(3, 1, "cancelled", money, "Rom", day, 0, 0, 0)]
+    state.start({t: spark.createDataFrame(rows, SCHEMAS[t]).drop("_version", "_seq", "_is_deleted") for t, rows in log.items()})
+    # Shipped and delivered count alike, and a cancelled order that goes counts nowhere.
+    changed = [(0, 1, "delivered", money, "Rom", day, 5, 0, 0), (3, 1, "cancelled", money, "Rom", day, 5, 1, 1), (2, 1, "pending", money, "Rom", day, 5, 2, 0)]
+    state.apply({"orders": spark.createDataFrame(changed, SCHEMAS["orders"])}, 1)
+    assert [r.order_id for r in spark.read.parquet(f"{state.root}/touched/batch=1").collect()] == [2]
+    log["orders"] += changed
+    compared(spark, state, log, dimensions)
+    # Both sides of the batch come from one reading of the lines' sums.
+    orders, lines, _ = state._state_of(spark.createDataFrame([(2,)], "order_id BIGINT"), [0, 1], 1)
+    signs = {r["_sign"] for r in state._sold_before_and_after(orders, lines, 1).select("_sign").collect()}
+    assert signs <= {-1, 1} and len(signs) == 2
