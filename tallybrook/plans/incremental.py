@@ -153,7 +153,9 @@ class Answers:
     def _moved(self, table: str, versions: DataFrame, batch: int) -> DataFrame:
         """Signed rows of the keys that a batch moves."""
         key = TABLES[table].key
-        newest = latest(versions.select(key, *KEPT[table], *META), key).withColumn(SIGN, F.lit(1))
+        kept = versions.select(key, *KEPT[table], *META)
+        # Rows of a start are one per key: they are not sorted ahead of the shuffle.
+        newest = latest(kept.repartition(F.col(key)) if batch == 0 else kept, key).withColumn(SIGN, F.lit(1))
         typed = newest.select(*[F.col(c).cast(kind).alias(c) for c, kind in _columns(table).items()])
         if batch == 0:
             return self._write(typed, table, 0)

@@ -34,8 +34,9 @@ from tallybrook.sources.snapshot import snapshot_rows
 SNAPSHOT_RUN = "snapshot"
 SNAPSHOT_BATCH = 0
 
-# Rows a bucket of a base is meant to hold; the number of buckets grows with the table.
-ROWS_PER_BUCKET = 4_000_000
+# Rows a bucket of a base is meant to hold, few enough for a task to sort them in memory;
+# the number of buckets grows with the table.
+ROWS_PER_BUCKET = 1_000_000
 FEW_ROWS = 1000
 
 PLACE_SCHEMA = "run STRING, batch BIGINT"
@@ -296,11 +297,14 @@ class ChangelogStore:
             if self._waiting_changes(table, waiting) is None:
                 return pointer["tables"].get(table)
             spec, was = TABLES[table], pointer["tables"].get(table)
-            rows = self._newest(table, pointer, waiting)
             fresh = sum(r["rows"].get(table, 0) for r in waiting.values())
             buckets = self._buckets((was["rows"] if was else 0) + fresh)
-            if was is None or was["buckets"] != buckets:
-                rows = rows.repartition(buckets, spec.key)
+            if was is None:
+                rows = self._first_base(table, waiting, buckets)
+            else:
+                rows = self._newest(table, pointer, waiting)
+                if was["buckets"] != buckets:
+                    rows = rows.repartition(buckets, spec.key)
             # Otherwise the join above has left every bucket in a task of its own.
             place = f"{table}-{uuid.uuid4().hex}"
             seen = Observation()
@@ -326,6 +330,19 @@ class ChangelogStore:
         self._move_folded(now)
         self._drop_replaced(now, pointer)
 
+    def _first_base(self, table: str, waiting: dict[str, dict], buckets: int) -> DataFrame:
+        """Newest versions, dealt over the buckets of a table that has no base. A snapshot has
+        a row per key: it is dealt out once, as it is, and collapsed where it arrives. Changes
+        may have hot keys, and are collapsed ahead of that."""
+        key = TABLES[table].key
+        copied = {name: r for name, r in waiting.items() if r["run"] == SNAPSHOT_RUN}
+        changed = {name: r for name, r in waiting.items() if name not in copied}
+        copy, changes = self._waiting_changes(table, copied), self._waiting_changes(table, changed)
+        if copy is None:
+            return latest(changes, key).repartition(buckets, key)
+        rows = copy if changes is None else copy.unionByName(latest(changes, key))
+        return latest(rows.repartition(buckets, key), key)
+
     def _buckets(self, rows: int) -> int:
         """As many as the rows need; for few rows, as many as tasks run well side by side."""
         side_by_side = min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), rows // FEW_ROWS)

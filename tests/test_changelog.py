@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybrook.operators import decode as d
-from tallybrook.schema import ORDERS
+from tallybrook.schema import ORDERS, TABLES
 from tallybrook.sources.changelog import ChangelogStore
 from tallybrook.sources.feed import read_messages, stream_messages
 from tallybrook.streaming.ingest import start_ingest
@@ -268,3 +268,22 @@ def test_ingest_compacts_when_enough_batches_wait(spark, tmp_path):
         land(spark, folder, *changes, first=10 * (i + 1))
     store = ingest(spark, folder, files=1, compact_after=2)
     assert store.waiting() == 1 and statuses(store.live("orders")) == EXPECTED
+
+
+def test_a_snapshot_is_dealt_out_once_and_a_late_change_counts(spark, tmp_path, capsys):
+    store = ChangelogStore(spark, str(tmp_path))
+    rows = [(k, f"c{k}") for k in (1, 2, 3, 3, None, None)]
+    source = spark.createDataFrame(rows, "category_id BIGINT, name STRING")
+    missing = [f"CAST(NULL AS {c.type}) AS {c.name}" for c in TABLES["categories"].columns if c.name not in source.columns]
+    source = source.selectExpr("*", *missing)
+    store.load_snapshot({"categories": source})
+    first = store._first_base("categories", store._state()[1], 4)
+    first.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+    change = source.where("category_id = 2").selectExpr("*", "5L AS _version", "0 AS _seq", "1 AS _is_deleted")
+    store.append_rows({"categories": change}, "changes", 0)
+    store.compact()
+    found = {(r.category_id, r._is_deleted) for r in store.newest("categories").collect()}
+    assert found == {(1, 0), (2, 1), (3, 0), (None, 0)}
+    assert store.newest("categories").count() == 4
