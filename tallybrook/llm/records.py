@@ -37,7 +37,7 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.runs import ByteBpe, TextRuns, byte_bpe_runs, held
+from tallybrook.llm.runs import ByteBpe, RunPool, held
 from tallybrook.llm.words import pieces
 
 # Text per file on average, and records of a file at most.
@@ -45,7 +45,7 @@ FILE_BYTES = 32 << 20
 PER_FILE = 1 << 18
 
 # Runs a worker keeps, and bytes of ids it hands on at once.
-WORKER_RUNS = 200_000
+WORKER_RUNS = 500_000
 HANDED_ON = 4 << 20
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -78,8 +78,14 @@ def frames(content: bytes) -> Iterator[tuple[int, memoryview]]:
 
 
 @held
-def worker_runs_of(vocabulary: str, limit: int) -> TextRuns:
-    return byte_bpe_runs(vocabulary, np.ndarray.tobytes, limit)
+def worker_runs_of(vocabulary: str, limit: int) -> RunPool:
+    bpe = ByteBpe(vocabulary)
+
+    def encode(opening: list[str], other: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids, lengths = bpe.joined(opening, other)
+        return ids, lengths, lengths
+
+    return RunPool(encode, limit, bpe.width)
 
 
 @cache
@@ -112,10 +118,11 @@ def write_records(
             for at, upto in pieces(batch.column(1)):
                 owners = batch.column(0).slice(at, upto - at).to_pylist()
                 part = [t or "" for t in batch.column(1).slice(at, upto - at).to_pylist()]
-                ids, first = ids_of.values(part)
+                ids, first, _, _ = ids_of.of(part)
+                packed, places = ids.astype(id_type(vocabulary), copy=False).tobytes(), (first * len(end)).tolist()
                 out = [
-                    frame(struct.pack(OWNER, owner is None, owner or 0) + b"".join(ids[a:b]) + end)[:-1]
-                    for owner, a, b in zip(owners, first[:-1], first[1:])
+                    frame(struct.pack(OWNER, owner is None, owner or 0) + packed[a:b] + end)[:-1]
+                    for owner, a, b in zip(owners, places, places[1:])
                 ]
                 yield pa.record_batch({"record": pa.array(out, pa.binary())})
 

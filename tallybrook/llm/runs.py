@@ -13,11 +13,14 @@ import os
 import re
 from collections.abc import Callable, Iterable
 from functools import cache, wraps
+from itertools import compress, repeat
 
 import numpy as np
+import pyarrow as pa
 
 _CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
 # White space other than space and line feed.
+_RARE_ASCII = "\t\r\v\f\x1c\x1d\x1e\x1f"
 _RARE = re.compile(r"[\t\r\v\f\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000▁]")
 
 
@@ -34,6 +37,8 @@ def held(make: Callable) -> Callable:
         key = (make.__module__, make.__qualname__, *args)
         if key not in _held:
             _held.clear()
+            # Memory of earlier batches would stay with the worker beside the new table.
+            pa.default_memory_pool().release_unused()
             _held[key] = make(*args)
         return _held[key]
 
@@ -43,11 +48,25 @@ def held(make: Callable) -> Callable:
 def runs(text: str) -> list[str]:
     """The text cut as above; every run but the first has lost its leading space."""
     risky = (
-        "  " in text or " \n" in text or "\n " in text or text[:1].isspace() or text[-1:].isspace() or _RARE.search(text)
+        "  " in text or " \n" in text or "\n " in text or text[:1].isspace() or text[-1:].isspace()
+        or (any(x in text for x in _RARE_ASCII) if text.isascii() else _RARE.search(text))
     )
     return _CUT.split(text) if risky else text.split(" ")
 
 
+def text_runs(texts: list[str]) -> tuple[list[str], np.ndarray]:
+    """The runs of all texts on end, those that open a text with a space put before them, which
+    no other run begins with; and the first of each text (one more than texts)."""
+    flat: list[str] = []
+    first = np.zeros(len(texts) + 1, np.int64)
+    for i, text in enumerate(texts):
+        cut = runs(text)
+        cut[0] = " " + cut[0]
+        flat += cut
+        first[i + 1] = len(flat)
+    return flat, first
+
+
 class RunTable:
     """What ``encode_many`` gives for runs, for at most ``limit`` of them besides those in
     ``fixed``. A table that is full starts anew, so its memory is bounded."""
@@ -106,20 +125,33 @@ class ByteBpe:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [np.array(x.ids, self.width) for x in found]
 
-    def followers(self, found: list[str]) -> list[np.ndarray]:
-        """Ids of runs with their leading space back.
+    def _as_one(self, found: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of runs encoded as one text, which costs half as much, and the first of each.
+        Only the first token of a run begins with a space, as runs hold none between other
+        characters; None where that does not hold."""
+        text = " " + " ".join(found)
+        if "  " in text or text.endswith(" ") or text.count(" ") != len(found):
+            return None
+        ids = self.openers([text])[0]
+        cuts = np.flatnonzero(self.spaced[ids])
+        return (ids, cuts) if len(cuts) == len(found) and cuts[0] == 0 else None
 
-        They are encoded as one text, which costs half as much. Only the first token of
-        a run begins with a space, as runs hold none between other characters.
-        """
+    def followers(self, found: list[str]) -> list[np.ndarray]:
+        """Ids of runs with their leading space back."""
         if not found:
             return []
-        if all(x and " " not in x for x in found):
-            ids = np.array(self.openers([" " + " ".join(found)])[0])
-            cuts = np.flatnonzero(self.spaced[ids])
-            if len(cuts) == len(found) and cuts[0] == 0:
-                return np.split(ids, cuts[1:])
-        return self.openers([" " + x for x in found])
+        whole = self._as_one(found)
+        return self.openers([" " + x for x in found]) if whole is None else np.split(whole[0], whole[1][1:])
+
+    def joined(self, opening: list[str], other: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all these runs on end, the first ones as they are, and how many each has."""
+        whole = self._as_one(other) if other else None
+        found = self.openers(opening if whole else opening + [" " + x for x in other])
+        ids, lengths = [*found], [np.array([len(x) for x in found], np.int64)]
+        if whole:
+            ids.append(whole[0])
+            lengths.append(np.diff(whole[1], append=len(whole[0])))
+        return np.concatenate([np.zeros(0, self.width), *ids]), np.concatenate(lengths)
 
 
 class TextRuns:
@@ -144,16 +176,79 @@ class TextRuns:
     def values(self, texts: list[str]) -> tuple[list, np.ndarray]:
         """Values of all runs of the texts on end, and the first of each text (one more
         than texts)."""
-        flat: list[str] = []
-        first = np.zeros(len(texts) + 1, np.int64)
-        for i, text in enumerate(texts):
-            cut = runs(text)
-            cut[0] = " " + cut[0]
-            flat += cut
-            first[i + 1] = len(flat)
+        flat, first = text_runs(texts)
         return self.table.values(flat), first
 
 
+class RunPool:
+    """Runs as places in pools: their ids on end, and a number each. A text's ids are gathered,
+    not put together from objects. A pool with ``limit`` runs or more keeps those that were in
+    the most calls, three quarters of that, so it holds ``limit`` runs and those of one call at most.
+
+    ``encode`` gets the runs that open a text and the others, and gives the ids of all of them
+    on end, how many each has, and the numbers.
+    """
+
+    def __init__(self, encode: Callable[[list[str], list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]], limit: int, width=np.uint16):
+        self.encode, self.limit = encode, limit
+        # Runs in the order of their places; arrays may have room for more.
+        self.known: dict[str, int] = {}
+        self.ids, self.n_ids, self.n = np.zeros(1 << 16, width), 0, 0
+        self.starts, self.numbers, self.uses = (np.zeros(1 << 14, kind) for kind in (np.int64, np.int32, np.int32))
+
+    @staticmethod
+    def _room(pool: np.ndarray, size: int) -> np.ndarray:
+        return pool if size <= len(pool) else np.concatenate((pool, np.zeros(size - len(pool) + len(pool) // 4, pool.dtype)))
+
+    def _add(self, opening: list[str], other: list[str]) -> None:
+        ids, lengths, numbers = self.encode([x[1:] for x in opening], other)
+        n, upto, n_ids = self.n, self.n + len(lengths), self.n_ids + len(ids)
+        self.ids, self.starts = self._room(self.ids, n_ids), self._room(self.starts, upto + 1)
+        self.numbers, self.uses = self._room(self.numbers, upto), self._room(self.uses, upto)
+        self.ids[self.n_ids : n_ids] = ids
+        self.starts[n + 1 : upto + 1] = self.n_ids + np.cumsum(lengths)
+        self.numbers[n:upto], self.uses[n:upto] = numbers, 0
+        self.known.update(zip(opening + other, range(n, upto)))
+        self.n, self.n_ids = upto, n_ids
+
+    def _trim(self) -> None:
+        n, kept = self.n, 3 * self.limit // 4
+        stays = np.zeros(n, bool)
+        stays[np.argpartition(self.uses[:n], n - kept)[n - kept :]] = True
+        lengths = np.diff(self.starts[: n + 1])
+        self.known = dict(zip(compress(self.known, stays.tolist()), range(kept)))
+        ids = self.ids[: self.n_ids][np.repeat(stays, lengths)]
+        self.n, self.n_ids = kept, len(ids)
+        self.ids[: len(ids)] = ids
+        self.starts[1 : kept + 1] = np.cumsum(lengths[stays])
+        self.numbers[:kept] = self.numbers[:n][stays]
+        # What was used long ago counts less.
+        self.uses[:kept] = self.uses[:n][stays] // 2
+
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts on end, where each text's begin (one more than texts); the
+        numbers of all runs on end, and where each text's begin."""
+        if self.n >= self.limit:
+            self._trim()
+        flat, first = text_runs(texts)
+        places = np.fromiter(map(self.known.get, flat, repeat(-1)), np.int64, len(flat))
+        at = np.flatnonzero(places < 0).tolist()
+        if at:
+            unknown = [flat[i] for i in at]
+            other = dict.fromkeys(unknown)
+            opening = [x for x in dict.fromkeys(flat[i] for i in first[:-1].tolist()) if x in other]
+            for x in opening:
+                del other[x]
+            self._add(opening, [*other])
+            places[at] = np.fromiter(map(self.known.__getitem__, unknown), np.int64, len(unknown))
+        self.uses[places] += 1
+        begins = self.starts[places]
+        lengths = self.starts[places + 1] - begins
+        upto = np.concatenate(([0], np.cumsum(lengths)))
+        inside = np.arange(upto[-1]) + np.repeat(begins - upto[:-1], lengths)
+        return self.ids[inside], upto[first], self.numbers[places].astype(np.int64), first
+
+
 def byte_bpe_runs(path: str, value: Callable[[np.ndarray], object], limit: int = 1_000_000) -> TextRuns:
     """Runs encoded by a byte-level vocabulary of the tokenizers library."""
     bpe = ByteBpe(path)

@@ -33,6 +33,21 @@ def test_round_trip_through_files_and_index(llm_spark, documents, odd):
     assert index.count() == len(wanted) and index.select("file").distinct().count() >= len(wanted) / 40
 
 
+def test_a_worker_keeps_the_runs_that_are_used_most():
+    pool = R.worker_runs_of(R.VOCABULARY, 40)
+    tokenizer = load_tokenizer(R.VOCABULARY)
+    asked, encode = [], pool.encode
+    pool.encode = lambda opening, other: asked.extend(other) or encode(opening, other)
+    for i in range(50):
+        texts = ["", f"the cat and the dog {i} sat,\non run{i}", " two  spaces ", f"the cat {i * 7} \u2603 the"]
+        ids, first, _, _ = pool.of(texts)
+        wanted = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == wanted
+        assert list(pool.known.values()) == list(range(pool.n)) and pool.n <= 40 + 16
+    # A table that starts anew when it is full meets them again each time.
+    assert asked.count("cat") == asked.count("the") == asked.count("dog") == 1
+
+
 def test_frames():
     payloads = [b"", b"a", b"\n" * 50, bytes(range(256))]
     content = b"".join(map(R.frame, payloads))
