@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.runs import ByteBpe, TextRuns, held, load_pieces
-from tallybrook.llm.words import Texts, Words, carrying, hash_spans, mix, pieces, restored, text_bytes, windows, words
+from tallybrook.llm.runs import ByteBpe, RunPool, held, load_pieces
+from tallybrook.llm.words import PIECE, Texts, Words, carrying, hash_spans, mix, pieces, restored, text_bytes, windows, words
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -194,55 +194,18 @@ def _repeat_words(found: Words, n_words: np.ndarray) -> np.ndarray:
     return np.bincount(owners[covered], minlength=len(n_words))
 
 
-class RunIds:
-    """Runs as places in two pools: their piece ids on end, and their token counts under
-    the byte vocabulary. A text's ids are then gathered, not put together from objects."""
-
-    def __init__(self, byte_vocabulary: str, piece_vocabulary: str, limit: int):
-        self.bpe, self.model = ByteBpe(byte_vocabulary), load_pieces(piece_vocabulary)
-        self.runs = TextRuns(self._encode, limit)
-        self._empty()
-
-    def _empty(self) -> None:
-        self.ids, self.n_ids = np.zeros(1 << 16, np.uint16), 0
-        self.starts, self.n_byte, self.n_runs = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
-
-    @staticmethod
-    def _room(pool: np.ndarray, size: int) -> np.ndarray:
-        return pool if size <= len(pool) else np.concatenate((pool, np.zeros(max(size - len(pool), len(pool)), pool.dtype)))
-
-    def _encode(self, opening: list[str], other: list[str]) -> list[int]:
-        lengths = [len(x) for x in self.bpe.openers(opening) + self.bpe.followers(other)]
-        found = self.model.encode(opening + other, num_threads=1)
-        ends = self.n_ids + np.cumsum([len(x) for x in found])
-        upto = self.n_runs + len(found)
-        self.ids = self._room(self.ids, int(ends[-1]))
-        self.starts, self.n_byte = self._room(self.starts, upto + 1), self._room(self.n_byte, upto)
-        self.ids[self.n_ids : ends[-1]] = np.fromiter(chain.from_iterable(found), np.uint16)
-        self.starts[self.n_runs + 1 : upto + 1] = ends
-        self.n_byte[self.n_runs : upto] = lengths
-        places = list(range(self.n_runs, upto))
-        self.n_ids, self.n_runs = int(ends[-1]), upto
-        return places
-
-    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per text the tokens under the byte vocabulary; the piece ids of all texts on
-        end, and where each text's begin (one more than texts)."""
-        if self.n_runs >= 2 * self.runs.table.limit:
-            self.runs.table.known.clear()
-            self._empty()
-        values, first = self.runs.values(texts)
-        runs = np.array(values)
-        starts, lengths = self.starts[runs], self.starts[runs + 1] - self.starts[runs]
-        ends = np.cumsum(lengths)
-        places = np.arange(ends[-1]) + np.repeat(starts - ends + lengths, lengths)
-        return np.add.reduceat(self.n_byte[runs], first[:-1]), self.ids[places], np.concatenate(([0], ends))[first]
+@held
+def worker_runs_of(byte_vocabulary: str, piece_vocabulary: str, limit: int) -> RunPool:
+    """The worker's own pool of piece ids, and of token counts under the byte vocabulary; it
+    stays for all tasks the worker runs."""
+    bpe, model = ByteBpe(byte_vocabulary), load_pieces(piece_vocabulary)
 
+    def encode(opening: list[str], other: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found = model.encode(opening + other, num_threads=1)
+        lengths = np.array([len(x) for x in found], np.int64)
+        return np.fromiter(chain.from_iterable(found), np.uint16), lengths, bpe.joined(opening, other)[1]
 
-@held
-def worker_runs_of(byte_vocabulary: str, piece_vocabulary: str, limit: int) -> RunIds:
-    """The worker's own table; it stays for all tasks the worker runs."""
-    return RunIds(byte_vocabulary, piece_vocabulary, limit)
+    return RunPool(encode, limit)
 
 
 @cache
@@ -255,9 +218,10 @@ def byte_pieces(piece_vocabulary: str) -> np.ndarray:
     return marks
 
 
-def fertility(texts: list[str], runs_of: RunIds, fallback: np.ndarray) -> np.ndarray:
+def fertility(texts: list[str], runs_of: RunPool, fallback: np.ndarray) -> np.ndarray:
     """The four measures of each text; a text without tokens has zeros."""
-    n_byte, all_ids, first = runs_of.of(texts)
+    all_ids, first, counted, runs = runs_of.of(texts)
+    n_byte = np.add.reduceat(counted, runs[:-1])
     n_fallback = _per_text(fallback[all_ids], first)
     out = np.zeros((len(texts), 4))
     for i, text in enumerate(texts):
@@ -343,7 +307,8 @@ def _judged(
         runs_of = worker_runs_of(byte_vocabulary, piece_vocabulary, worker_runs)
         fallback = byte_pieces(piece_vocabulary)
         for batch in batches:
-            for at, upto in pieces(batch.column(1)):
+            # Executors hold a worker per core, so little text is taken at once.
+            for at, upto in pieces(batch.column(1), PIECE):
                 part = batch.slice(at, upto - at)
                 texts = text_bytes(part.column(1))
                 counts = base_counts(texts)
