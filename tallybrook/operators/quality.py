@@ -49,17 +49,21 @@ def _broken(rows: DataFrame, spec: TableSpec, rules: list[tuple[str, str, C]]) -
 
 def check_domain(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """Values outside the set a column allows."""
-    rules = [(c.name, "domain", ~F.col(c.name).isin(*c.domain)) for c in spec.columns if c.domain]
-    return _broken(rows, spec, rules)
+    return _broken(rows, spec, _domain_rules(spec))
+
+
+def _domain_rules(spec: TableSpec) -> list[tuple[str, str, C]]:
+    return [(c.name, "domain", ~F.col(c.name).isin(*c.domain)) for c in spec.columns if c.domain]
 
 
 def check_range(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """Numbers below their bound and texts over their length."""
+    return _broken(rows, spec, _range_rules(spec))
+
+
+def _range_rules(spec: TableSpec) -> list[tuple[str, str, C]]:
     rules = [(c.name, "range", ~F.expr(c.check)) for c in spec.columns if c.check]
-    rules += [
-        (c.name, "length", F.char_length(c.name) > c.max_length) for c in spec.columns if c.max_length
-    ]
-    return _broken(rows, spec, rules)
+    return rules + [(c.name, "length", F.char_length(c.name) > c.max_length) for c in spec.columns if c.max_length]
 
 
 def check_not_null(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -91,19 +95,30 @@ def check_references(tables: Mapping[str, DataFrame]) -> dict[tuple[str, str], D
 
 def check_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Every value set, bound, length and uniqueness rule of all given tables that is
-    broken: (table_name, key, column_name, rule, value); of a repeated value, ``key`` is NULL."""
+    broken: (table_name, key, column_name, rule, value); of a repeated value, ``key`` is NULL.
+
+    Every table is read once: what is to be unique and what is broken leave it together, and
+    all of it is counted in one shuffle of numbered rules and values."""
+    named: list[tuple[str, str, str]] = []
     found = []
     for name, rows in tables.items():
         spec = TABLES[name]
-        for broken in (check_domain(rows, spec), check_range(rows, spec)):
-            found.append(broken.select(F.lit(name).alias("table_name"), F.col(spec.key).cast("bigint").alias("key"), "column_name", "rule", "value"))
-        repeated = check_unique_columns(rows, spec)
-        found.append(
-            repeated.select(
-                F.lit(name).alias("table_name"), F.lit(None).cast("bigint").alias("key"), "column_name", F.lit("unique").alias("rule"), "value"
-            )
-        )
-    return reduce(DataFrame.unionByName, found)
+
+        def entry(column: str, rule: str, key: C, when: C, name: str = name) -> C:
+            named.append((name, column, rule))
+            number = F.lit(len(named)).alias("number")
+            return F.when(when, F.struct(number, key.cast("bigint").alias("key"), F.col(column).cast("string").alias("value")))
+
+        entries = [entry(c, rule, F.col(spec.key), broken) for c, rule, broken in (*_domain_rules(spec), *_range_rules(spec))]
+        entries += [entry(c, "unique", F.lit(None), F.col(c).isNotNull()) for c in (spec.key, *spec.unique)]
+        found.append(rows.select(F.inline(F.array_compact(F.array(*entries)))))
+    counted = reduce(DataFrame.unionByName, found).groupBy("number", "key", "value").agg(F.count("*").cast("int").alias("copies"))
+    names = F.array(*[F.struct(*[F.lit(x).alias(n) for n, x in zip(("table_name", "column_name", "rule"), entry)]) for entry in named])
+    told = counted.withColumn("of", F.element_at(names, F.col("number")))
+    # A rule is broken by every row that breaks it, and a value is repeated once.
+    times = F.when(F.col("of.rule") != "unique", F.col("copies")).when(F.col("copies") > 1, 1).otherwise(0)
+    each = told.withColumn("time", F.explode(F.array_repeat(F.lit(0), times)))
+    return each.select("of.table_name", "key", "of.column_name", "of.rule", "value")
 
 
 def check_nulls(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -53,14 +53,19 @@ class NewestVersion(StatefulProcessor):
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:
         values = self._values(initialState)
-        if not self.newest.exists() or self._mark(values) > self._mark(tuple(self.newest.get())):
+        known = self.newest.get()
+        if known is None or self._mark(values) > self._mark(tuple(known)):
             self.newest.update(values)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        before = tuple(self.newest.get()) if self.newest.exists() else None
-        now = before
+        # One question to the state store: a key without a state gives None.
+        known = self.newest.get()
+        before = None if known is None else tuple(known)
+        now, places = before, None
         for row in rows:
-            values = self._values(row)
+            if places is None:
+                places = [row.__fields__.index(c) for c in self.columns]
+            values = tuple([row[i] for i in places])
             if now is None or self._mark(values) > self._mark(now):
                 now = values
         if now is before:
