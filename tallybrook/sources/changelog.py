@@ -2,6 +2,7 @@
 
     <root>/<table>/run=R/batch=N/       changes of one batch; they stay, as the history
     <root>/_quarantine/run=R/batch=N/   what of a batch could not be applied
+    <root>/_decoded/run=R/batch=N/      its decoded changes, until they are in their tables
     <root>/_waiting/R.N.json            this batch is whole, for every table
     <root>/_folded/R.N.json             the same, once compaction has taken it over
     <root>/_base/<table>-<id>/          one row per key, in buckets by key
@@ -117,7 +118,12 @@ class ChangelogStore:
             # One value for the whole batch, whichever task or retry evaluates it.
             now = self.spark.sql("SELECT unix_micros(current_timestamp())").first()[0]
             ingest_time = F.timestamp_micros(F.lit(now))
-        decoded = decode.decode_changes(messages).persist()
+        # Decoded once and read for every table: in files they are a fraction of what they are
+        # in memory, where a task would read as much of them as a split of messages makes.
+        place = self._batch_path("_decoded", run, batch)
+        changes = decode.decode_changes(messages)
+        self._write(changes, place)
+        decoded = self.spark.read.schema(changes.schema).parquet(place)
         try:
             # At most one row per table and kind, and a few for dropped changes.
             counts = decode.change_counts(decoded).collect()
@@ -145,7 +151,7 @@ class ChangelogStore:
             if broken:
                 self._write(decode.quarantine(decoded, rejecting), self._batch_path("_quarantine", run, batch))
         finally:
-            decoded.unpersist()
+            self.control.delete(place.removeprefix(f"{self.root}/"))
         self._commit(
             run,
             batch,

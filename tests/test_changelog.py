@@ -287,3 +287,14 @@ def test_a_snapshot_is_dealt_out_once_and_a_late_change_counts(spark, tmp_path,
     found = {(r.category_id, r._is_deleted) for r in store.newest("categories").collect()}
     assert found == {(1, 0), (2, 1), (3, 0), (None, 0)}
     assert store.newest("categories").count() == 4
+
+
+def test_decoded_changes_are_read_from_files_until_the_commit(spark, tmp_path, monkeypatch):
+    from tallybrook.operators import decode
+
+    store, counts, read = ChangelogStore(spark, str(tmp_path)), decode.change_counts, []
+    monkeypatch.setattr(decode, "change_counts", lambda decoded: read.extend(decoded.inputFiles()) or counts(decoded))
+    store.append_messages(m.frame(spark, "not json", m.insert(1), m.insert(2)), "run", 0)
+    assert read and all("/_decoded/run=run/batch=0/" in f for f in read)
+    assert not (tmp_path / "_decoded/run=run/batch=0").exists()
+    assert store.live("orders").count() == 2 and store.quarantine().count() == 1
