@@ -14,13 +14,18 @@ column families (RocksDB).
 
 Defined cases: of two rows of a key with one version the first stays; a late row changes
 nothing; a deletion keeps its place, as an older row may still come, and only its old row is
-emitted; a NULL key is a key like others; an empty stream emits nothing.
+emitted; a NULL key is a key like others, and so are a NULL table or bucket of rows that wait;
+among these NULLs come first; an empty stream emits nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column as C
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -133,8 +138,18 @@ def summed(signed: DataFrame) -> DataFrame:
 WAITING = "table string, bucket int, version bigint, seq int, payload string, closing boolean"
 
 
+# What waits of a row, and rows that are let out at once.
+ROW = pa.schema([("version", pa.int64()), ("seq", pa.int32()), ("payload", pa.string())])
+IN_ORDER = [(name, "ascending") for name in ROW.names]
+LET_OUT = 10_000
+
+
 class Flush(StatefulProcessor):
-    """State: the rows that wait, by their payload, and how often the group was flushed."""
+    """State: the rows that wait, by their payload, and how often the group was flushed.
+
+    A batch's rows of a group are held in Arrow arrays: their versions, places and payloads
+    without an object for each.
+    """
 
     def __init__(self, rows: int, seconds: float):
         self.rows, self.milliseconds = rows, int(seconds * 1000)
@@ -144,58 +159,87 @@ class Flush(StatefulProcessor):
         self.waiting = handle.getListState("waiting", "version bigint, seq int, payload string")
         self.size = handle.getValueState("size", "n bigint, flushes bigint, due bigint")
 
-    def _out(self, key, rows: list[tuple], number: int, why: str) -> Iterator[Row]:
-        for version, seq, payload in rows:
-            yield Row(table=key[0], bucket=key[1], version=version, seq=seq, payload=payload, flush=number, why=why)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+    @staticmethod
+    def _taken(chunk: pd.DataFrame) -> pa.Table:
+        """The rows of a chunk; pandas has no NULLs among whole numbers, they come as marks."""
+        columns = [
+            pa.array(chunk["version"].to_numpy(np.int64), mask=chunk["no_version"].to_numpy(bool)),
+            pa.array(chunk["seq"].to_numpy(np.int32), mask=chunk["no_seq"].to_numpy(bool)),
+            pa.array(chunk["payload"], pa.string(), from_pandas=True),
+        ]
+        return pa.Table.from_arrays(columns, schema=ROW)
+
+    def _held(self) -> pa.Table:
+        """The rows that wait; they do not wait any more."""
+        found = [tuple(r) for r in self.waiting.get()]
+        self.waiting.clear()
+        return pa.Table.from_pylist([dict(zip(ROW.names, r)) for r in found], ROW)
+
+    def _out(self, key, rows: pa.Table, first: int, size: int, why: str) -> Iterator[pd.DataFrame]:
+        """Rows in order, ``size`` with each flush from the ``first`` on."""
+        table, bucket = key
+        for at in range(0, len(rows), LET_OUT):
+            some = rows.slice(at, LET_OUT)
+            frame = some.to_pandas(types_mapper={pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype()}.get)
+            frame.insert(0, "table", pd.Series([table] * len(some), dtype=object))
+            frame.insert(1, "bucket", pd.Series([None if bucket is None else int(bucket)] * len(some), dtype="Int32"))
+            frame["flush"] = first + np.arange(at, at + len(some)) // size
+            frame["why"] = why
+            yield frame
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         n, flushes, due = self.size.get() if self.size.exists() else (0, 0, 0)
-        closing, fresh = False, []
-        for row in rows:
-            if row["closing"]:
-                closing = True
-            else:
-                fresh.append((row["version"], row["seq"], row["payload"]))
-        # A batch is bounded by the stream's reader; its rows leave in feed order.
-        fresh.sort()
-        held: list[tuple] = []
-        if n and (n + len(fresh) >= self.rows or closing):
-            held = sorted(tuple(r) for r in self.waiting.get())
-            self.waiting.clear()
+        closing, chunks = False, []
+        for chunk in rows:
+            ends = chunk["closing"].to_numpy(bool)
+            closing = closing or bool(ends.any())
+            chunks.append(self._taken(chunk[~ends]))
+        fresh = pa.concat_tables([ROW.empty_table(), *chunks])
         if n + len(fresh) >= self.rows or closing:
-            every = held + fresh
+            # A batch is bounded by the stream's reader; its rows leave in feed order, after
+            # those that waited.
+            parts = [_in_order(self._held())] if n else []
+            every = pa.concat_tables([*parts, _in_order(fresh)])
             if due:
                 self.handle.deleteTimer(due)
                 due = 0
-            while len(every) >= self.rows:
-                yield from self._out(key, every[: self.rows], flushes, "rows")
-                every, flushes = every[self.rows :], flushes + 1
-            if closing and every:
-                yield from self._out(key, every, flushes, "close")
-                every, flushes = [], flushes + 1
-            n, fresh = 0, every
-        if fresh:
-            self.waiting.appendList(fresh)
+            full = len(every) // self.rows
+            yield from self._out(key, every.slice(0, full * self.rows), flushes, self.rows, "rows")
+            fresh, flushes, n = every.slice(full * self.rows), flushes + full, 0
+            if closing and len(fresh):
+                yield from self._out(key, fresh, flushes, self.rows, "close")
+                fresh, flushes = fresh.slice(0, 0), flushes + 1
+        if len(fresh):
+            self.waiting.appendList([tuple(r.values()) for r in fresh.to_pylist()])
             n += len(fresh)
             if not due:
                 due = timerValues.getCurrentProcessingTimeInMs() + self.milliseconds
                 self.handle.registerTimer(due)
         self.size.update((n, flushes, due))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         n, flushes, _ = self.size.get() if self.size.exists() else (0, 0, 0)
         if not n:
             return
-        held = sorted(tuple(r) for r in self.waiting.get())
-        self.waiting.clear()
+        held = _in_order(self._held())
         self.size.update((0, flushes + 1, 0))
-        yield from self._out(key, held, flushes, "time")
+        yield from self._out(key, held, flushes, self.rows, "time")
+
+
+def _in_order(rows: pa.Table) -> pa.Table:
+    return rows.take(pc.sort_indices(rows, sort_keys=IN_ORDER, null_placement="at_start"))
 
 
 def flushed(rows: DataFrame, n: int = FLUSH_ROWS, seconds: float = FLUSH_SECONDS) -> DataFrame:
     """Rows (table, bucket, version, seq, payload, closing) of a stream, each let out once,
     with the number of its group's ``flush`` and ``why``: rows, time or close."""
-    return rows.groupBy("table", "bucket").transformWithState(
+    zero = F.lit(0)
+    marked = rows.select(
+        "table", F.col("bucket").cast("string").alias("bucket"), "payload", F.coalesce("closing", F.lit(False)).alias("closing"),
+        F.coalesce("version", zero).alias("version"), F.col("version").isNull().alias("no_version"),
+        F.coalesce("seq", zero).alias("seq"), F.col("seq").isNull().alias("no_seq"),
+    )
+    return marked.groupBy("table", "bucket").transformWithStateInPandas(
         statefulProcessor=Flush(n, seconds),
         outputStructType="table string, bucket int, version bigint, seq int, payload string, flush bigint, why string",
         outputMode="append",

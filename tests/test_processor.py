@@ -3,6 +3,8 @@
 import time
 from pathlib import Path
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +101,30 @@ def test_rows_leave_by_time(spark, folder):
     assert left(spark, folder) == [(i, 0, "time") for i in range(3)]
 
 
+def test_rows_of_a_batch_are_taken_in_arrays_and_leave_in_feed_order(spark, folder):
+    """More rows than are let out at once, in no order, with equal places, NULLs and a version
+    beyond the whole numbers that doubles have."""
+    far = 2**53 + 1
+    rows = [("t", 0, far + i // 2, 1, f"é{i % 2}", False) for i in range(25_000)]
+    some = [("t", 0, far, None, "no place", False), ("t", 0, None, None, None, False), ("u", None, 1, 0, "x", None), (None, 7, 2, 0, "y", False)]
+    ends = [("t", 0, None, None, None, True), ("u", None, None, None, None, True), (None, 7, None, None, None, True)]
+    land(spark, [*reversed(rows), *some, *ends], f"{folder}/in", P.WAITING)
+    flush(spark, folder, 100)
+    found = spark.read.parquet(f"{folder}/out").collect()
+    group = sorted((r for r in found if r.table == "t"), key=lambda r: (r.flush, r.version or 0, r.seq or 0, r.payload or ""))
+    wanted = [some[1][2:5], some[0][2:5], *(r[2:5] for r in rows)]
+    assert [(r.version, r.seq, r.payload) for r in group] == wanted
+    assert [(r.flush, r.why) for r in group] == [(i // 100, "rows" if i < 25_000 else "close") for i in range(25_002)]
+    assert [tuple(r) for r in found if r.table == "u"] == [("u", None, 1, 0, "x", 0, "close")]
+    assert [tuple(r) for r in found if r.table is None] == [(None, 7, 2, 0, "y", 0, "close")]
+
+
+def test_rows_of_a_group_are_not_python_objects():
+    chunk = pd.DataFrame({"version": [2, 1], "no_version": [False] * 2, "seq": [0, 0], "no_seq": [False] * 2, "payload": ["b", "a"]})
+    taken = P.Flush._taken(chunk)
+    assert isinstance(taken, pa.Table) and taken.schema == P.ROW and taken.nbytes < 100
+
+
 def test_buckets_and_closing_rows(spark):
     rows = P.closing_rows(spark, ["a", "b"], 3)
     assert rows.count() == 6 and rows.where("closing AND payload IS NULL").count() == 6
