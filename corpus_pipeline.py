@@ -75,11 +75,17 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text under merge-dropout, and whether they decode to it. The
-    copies of a document are numbered, so that each is segmented its own way."""
+    copies of a document are numbered, so that each is segmented its own way.
+
+    The ids are written before they are decoded: a task that did both would hold two Python
+    workers, with a vocabulary each, and an executor keeps those for the stages after it.
+    """
     ready(spark)
     texts = docs.groupBy("doc_id", "lang", "source", "text").agg(F.count("*").cast("int").alias("_copies"))
     texts = texts.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).drop("_copies")
-    decoded = sentencepieces.decode_ids(sentencepieces.encode_texts(texts, rate=0.1, seed=17, copy_column="_copy"))
+    folder = work_folder(spark, "pieces")
+    sentencepieces.encode_texts(texts, rate=0.1, seed=17, copy_column="_copy").write.parquet(folder)
+    decoded = sentencepieces.decode_ids(spark.read.parquet(folder))
     return decoded.select(
         "doc_id",
         "lang",

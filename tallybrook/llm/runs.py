@@ -9,6 +9,7 @@ encodes a run once, and keeps a bounded number of them.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from collections.abc import Callable, Iterable
@@ -45,6 +46,19 @@ def held(make: Callable) -> Callable:
     return get
 
 
+def let_go() -> None:
+    """Give back what the worker holds for tasks before this one: tables, vocabularies, and
+    memory that is free but not returned. For tasks that need none of it."""
+    _held.clear()
+    load_tokenizer.cache_clear()
+    load_pieces.cache_clear()
+    pa.default_memory_pool().release_unused()
+    # glibc keeps what is freed below its top; other C libraries have no such call.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def runs(text: str) -> list[str]:
     """The text cut as above; every run but the first has lost its leading space."""
     risky = (

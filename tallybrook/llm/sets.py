@@ -15,6 +15,8 @@ and finds the connected components of all similar pairs among sets that share on
 
 So shingles are only moved for sets that come close to another one. A very large group
 makes many slices, its sets never meet in one task, and no pair of them is ever a row.
+Tasks first give back what their worker holds for other operators, which need not stay
+beside the slices.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybrook.llm.components import components
+from tallybrook.llm.runs import let_go
 from tallybrook.llm.words import pieces, shingle_sets, text_bytes, words
 
 U64 = np.uint64
@@ -130,6 +133,7 @@ def described_sets(texts: DataFrame, width: int, describe: Describe) -> DataFram
     either."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         seen: set[int] = set()
         for batch in batches:
             for at, upto in pieces(batch.column(1)):
@@ -204,6 +208,7 @@ def sharing(listed: DataFrame, folder: str) -> DataFrame:
 
 def _tokens(width: int):
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             found = list(token_sets(batch.column(0), width))
             yield pa.record_batch(
@@ -290,6 +295,7 @@ def _link_slices(percent: int):
     """Rows (group, slice, set_id, tokens), slice by slice."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for _, rows in runs_of_rows(batches, 2):
             sets = [np.frombuffer(tokens, U64) for _, tokens in rows]
             yield _edges([(rows[i][0], rows[j][0]) for i, j in spanning(similar(sets, sets, percent))])
@@ -301,6 +307,7 @@ def _near_in_slices(percent: int):
     """Rows (group, slice, set_id, n, bits), slice by slice: sets near to another one."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for (group, part), held in runs_of_rows(batches, 2):
             ids, sizes, bits = zip(*held)
             rows = Rows(list(ids), list(sizes), list(bits))
@@ -317,6 +324,7 @@ def _near_to_slices(percent: int):
     are near to a member of another component, and these members."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for (group, part, _), held in runs_of_rows(batches, 3):
             asking, members = [r[1:] for r in held if r[0]], [r[1:] for r in held if not r[0]]
             if not asking or not members:
@@ -342,6 +350,7 @@ def _open_slices(percent: int):
     the members. One link per asking set and component."""
 
     def open_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for _, rows in runs_of_rows(batches, 3):
             asking, members = [r[1:] for r in rows if r[0]], [r[1:] for r in rows if not r[0]]
             if not asking or not members:

@@ -136,3 +136,13 @@ def test_components(llm_spark):
     found = {r.node: r.component for r in components(frame, work_folder(llm_spark, "t")).collect()}
     assert found == {**{i: 0 for i in range(51)}, **{i: 100 for i in range(100, 140)}, 200: 200, 201: 200}
     assert components(frame.where("a < 0"), work_folder(llm_spark, "t")).collect() == []
+
+
+def test_tasks_give_back_what_the_worker_holds_for_other_operators():
+    from tallybrook.llm import runs, sets
+
+    made = runs.held(lambda: bytearray(1 << 20))
+    for task in (sets._tokens(3), sets._near_in_slices(80), sets._link_slices(80), sets._near_to_slices(80), sets._open_slices(80)):
+        made()
+        assert runs._held
+        assert list(task(iter([]))) == [] and not runs._held

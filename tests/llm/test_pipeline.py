@@ -129,3 +129,10 @@ def test_a_text_in_a_third_of_the_rows(llm_spark):
 def test_stages_of_empty_tables(llm_spark, none, stage):
     out = stage(llm_spark, none, "")
     assert out.collect() == []
+
+
+def test_ids_are_written_before_they_are_decoded(llm_spark, documents):
+    """Two maps in Python in one task are two workers at once, which an executor then keeps."""
+    found = P.pieces_stage(llm_spark, documents.limit(40), "")
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert found.where("lossless").count() == 40
