@@ -10,8 +10,8 @@ and finds the connected components of all similar pairs among sets that share on
    Sets of a slice that may be similar to another one of it are opened: their shingles are
    read again from their texts and compared exactly, by a product of matrix rows.
 3. Keys that then still lie in several components are left. Of two components the smaller
-   one's sets ask the slices in which the other's sets with that key are: the union of the
-   slice first, then its members. What the bounds leave is opened and compared exactly.
+   one's sets ask the slices in which the other's sets with that key are, if their sizes
+   allow a link: the union of the slice first, then its members. What the bounds leave is opened and compared exactly.
 
 So shingles are only moved for sets that come close to another one. A very large group
 makes many slices, its sets never meet in one task, and no pair of them is ever a row.
@@ -435,18 +435,22 @@ def linked_components(
         "set_id", *SLICED, F.coalesce("component", "set_id").alias("component")
     )
     weight = named.groupBy(F.col("component").alias("c")).agg(F.count("*").alias("sets"))
-    named = written(named.join(weight, F.col("component") == F.col("c")).drop("c"), "named")
+    named = named.join(weight, F.col("component") == F.col("c")).drop("c")
+    named = written(named.join(marks.select("set_id", "n"), "set_id"), "named")
 
     # Keys that lie in more than one component: of two, the smaller one asks the slices of
-    # the other. Ends are written, so that a hot key is split in the join.
+    # the other, where a set with the key has a size that a similar set may have. Ends are
+    # written, so that a hot key is split in the join.
     placed = hits.select("key", "set_id").join(named, "set_id")
     ends = placed.groupBy(F.col("key").alias("of")).agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     ends = written(ends.where("lo <> hi").select("of"), "crossing-keys")
     crossing = written(placed.join(ends, F.col("key") == F.col("of"), "left_semi"), "crossing")
     rank = F.struct("sets", "component")
-    askable = written(crossing.groupBy("key", *SLICED).agg(F.max(rank).alias("greatest")), "askable")
-    asks = crossing.select("key", "set_id", rank.alias("own"))
-    cells = written(asks.join(askable, "key").where("own < greatest").select("set_id", *SLICED).distinct(), "cells")
+    reach = F.max(rank).alias("greatest"), F.min("n").alias("least"), F.max("n").alias("most")
+    askable = written(crossing.groupBy("key", *SLICED).agg(*reach), "askable")
+    asks = crossing.select("key", "set_id", "n", rank.alias("own"))
+    fits = (F.col("n") * percent <= F.col("most") * 100) & (F.col("least") * percent <= F.col("n") * 100)
+    cells = written(asks.join(askable, "key").where("own < greatest").where(fits).select("set_id", *SLICED).distinct(), "cells")
 
     # Bits bound what a set can share with a slice, and with its members.
     inside = grouped.join(cells.select(*SLICED).distinct(), [*SLICED], "left_semi")

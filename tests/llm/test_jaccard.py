@@ -146,3 +146,47 @@ def test_tasks_give_back_what_the_worker_holds_for_other_operators():
         made()
         assert runs._held
         assert list(task(iter([]))) == [] and not runs._held
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_similar_sets_list_a_token_in_common_whatever_is_common(percent):
+    random_ = np.random.default_rng(percent + 1)
+    for _ in range(400):
+        n = int(random_.integers(1, 300))
+        tokens = mix(random_.integers(0, 1 << 62, n + 200).astype(np.uint64))
+        some = random_.permutation(tokens)[: int(random_.integers(0, n + 200))]
+        common = J.Common.of(some, random_.integers(3, 9, len(some)))
+        a = np.sort(tokens[:n])
+        b = np.sort(np.concatenate((tokens[int(random_.integers(0, n // 4 + 1)) : n], tokens[n : n + int(random_.integers(0, n // 3 + 1))])))
+        listed = [J.part_hashes(x, percent, common) for x in (a, b)]
+        assert [len(set(x.tolist())) for x in listed] == [len(x) - -(-percent * len(x) // 100) + 1 for x in (a, b)]
+        if linked(a, b, percent):
+            assert np.intersect1d(*listed).size
+
+
+def test_texts_that_quote_a_passage_list_what_is_their_own(llm_spark, monkeypatch):
+    """Three quarters of every text are the same; one text is an altered copy."""
+    passage = " ".join(f"p{i}" for i in range(150))
+    rows = [(i, passage + "".join(f" own{i}x{j}" for j in range(50))) for i in range(60)]
+    rows.append((60, rows[7][1].replace("own7x20", "other")))
+    met = []
+    linked_of = J.linked_components
+    monkeypatch.setattr(J, "linked_components", lambda hits, *more: met.append(hits.select("set_id").distinct().count()) or linked_of(hits, *more))
+    frame = llm_spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert ours(frame, 5, 80, sampled_texts=1) == brute(rows, 5, 80)
+    assert met == [2]
+    # No more tokens are held to be common than asked for; the result is the same.
+    assert ours(frame, 5, 80, sampled_texts=1, common_most=1) == brute(rows, 5, 80)
+
+
+def test_sets_ask_no_slice_whose_sizes_cannot_link(llm_spark, monkeypatch):
+    texts = llm_spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(n))) for i, n in enumerate((10, 100, 110))], "id long, text string")
+    folder = work_folder(llm_spark, "t")
+    described, listed = S.described_and_listed(texts, 1, lambda found: [np.array([1], np.uint64)] * len(found), folder)
+    hits = listed.select("key", "set_id", S.F.col("set_id").alias("lo"))
+    asked = []
+    chunked = S._chunked
+    monkeypatch.setattr(S, "_chunked", lambda asking, *more: asked.append(asking.count()) or chunked(asking, *more))
+    found = S.linked_components(hits, described, texts, folder, 1, 80)
+    ids = {r.id: r.component_id for r in described.join(found, described.set_id == found.of).collect()}
+    assert ids == {0: 0, 1: 1, 2: 1} and asked[0] == 1
