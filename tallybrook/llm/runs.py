@@ -12,9 +12,10 @@ from __future__ import annotations
 import ctypes
 import os
 import re
+from collections import defaultdict
 from collections.abc import Callable, Iterable
 from functools import cache, wraps
-from itertools import compress, repeat
+from itertools import compress, count
 
 import numpy as np
 import pyarrow as pa
@@ -196,8 +197,9 @@ class TextRuns:
 
 class RunPool:
     """Runs as places in pools: their ids on end, and a number each. A text's ids are gathered,
-    not put together from objects. A pool with ``limit`` runs or more keeps those that were in
-    the most calls, three quarters of that, so it holds ``limit`` runs and those of one call at most.
+    not put together from objects. A run that is looked up and not known gets the next place.
+    A pool with ``limit`` runs or more keeps those that were in the most calls, half of that,
+    so it holds ``limit`` runs and those of one call at most.
 
     ``encode`` gets the runs that open a text and the others, and gives the ids of all of them
     on end, how many each has, and the numbers.
@@ -206,31 +208,42 @@ class RunPool:
     def __init__(self, encode: Callable[[list[str], list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]], limit: int, width=np.uint16):
         self.encode, self.limit = encode, limit
         # Runs in the order of their places; arrays may have room for more.
-        self.known: dict[str, int] = {}
+        self.known = self._places({}, 0)
         self.ids, self.n_ids, self.n = np.zeros(1 << 16, width), 0, 0
         self.starts, self.numbers, self.uses = (np.zeros(1 << 14, kind) for kind in (np.int64, np.int32, np.int32))
 
+    @staticmethod
+    def _places(known: Iterable, n: int) -> defaultdict[str, int]:
+        return defaultdict(count(n).__next__, known)
+
     @staticmethod
     def _room(pool: np.ndarray, size: int) -> np.ndarray:
         return pool if size <= len(pool) else np.concatenate((pool, np.zeros(size - len(pool) + len(pool) // 4, pool.dtype)))
 
-    def _add(self, opening: list[str], other: list[str]) -> None:
-        ids, lengths, numbers = self.encode([x[1:] for x in opening], other)
+    def _add(self, fresh: list[str]) -> None:
+        """``fresh`` are the runs that have got the next places, in their order."""
+        opens = np.array([x.startswith(" ") for x in fresh])
+        ids, lengths, numbers = self.encode([x[1:] for x in fresh if x.startswith(" ")], [x for x in fresh if not x.startswith(" ")])
+        # Out of the order in which they were encoded.
+        order = np.empty(len(fresh), np.int64)
+        order[np.concatenate((np.flatnonzero(opens), np.flatnonzero(~opens)))] = np.arange(len(fresh))
+        begins = (np.cumsum(lengths) - lengths)[order]
+        lengths, numbers = lengths[order], numbers[order]
         n, upto, n_ids = self.n, self.n + len(lengths), self.n_ids + len(ids)
         self.ids, self.starts = self._room(self.ids, n_ids), self._room(self.starts, upto + 1)
         self.numbers, self.uses = self._room(self.numbers, upto), self._room(self.uses, upto)
-        self.ids[self.n_ids : n_ids] = ids
-        self.starts[n + 1 : upto + 1] = self.n_ids + np.cumsum(lengths)
+        ends = np.cumsum(lengths)
+        self.ids[self.n_ids : n_ids] = ids[np.arange(len(ids)) + np.repeat(begins - (ends - lengths), lengths)]
+        self.starts[n + 1 : upto + 1] = self.n_ids + ends
         self.numbers[n:upto], self.uses[n:upto] = numbers, 0
-        self.known.update(zip(opening + other, range(n, upto)))
         self.n, self.n_ids = upto, n_ids
 
     def _trim(self) -> None:
-        n, kept = self.n, 3 * self.limit // 4
+        n, kept = self.n, self.limit // 2
         stays = np.zeros(n, bool)
         stays[np.argpartition(self.uses[:n], n - kept)[n - kept :]] = True
         lengths = np.diff(self.starts[: n + 1])
-        self.known = dict(zip(compress(self.known, stays.tolist()), range(kept)))
+        self.known = self._places(zip(compress(self.known, stays.tolist()), range(kept)), kept)
         ids = self.ids[: self.n_ids][np.repeat(stays, lengths)]
         self.n, self.n_ids = kept, len(ids)
         self.ids[: len(ids)] = ids
@@ -245,16 +258,10 @@ class RunPool:
         if self.n >= self.limit:
             self._trim()
         flat, first = text_runs(texts)
-        places = np.fromiter(map(self.known.get, flat, repeat(-1)), np.int64, len(flat))
-        at = np.flatnonzero(places < 0).tolist()
-        if at:
-            unknown = [flat[i] for i in at]
-            other = dict.fromkeys(unknown)
-            opening = [x for x in dict.fromkeys(flat[i] for i in first[:-1].tolist()) if x in other]
-            for x in opening:
-                del other[x]
-            self._add(opening, [*other])
-            places[at] = np.fromiter(map(self.known.__getitem__, unknown), np.int64, len(unknown))
+        places = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        at = np.flatnonzero(places >= self.n)
+        if len(at):
+            self._add([flat[i] for i in at[np.unique(places[at], return_index=True)[1]].tolist()])
         self.uses[places] += 1
         begins = self.starts[places]
         lengths = self.starts[places + 1] - begins

@@ -3,6 +3,7 @@ import zlib
 
 import pytest
 from tallybrook.llm import records as R
+from tallybrook.llm import runs
 from tallybrook.llm.runs import load_tokenizer
 from tallybrook.session import work_folder
 
@@ -92,3 +93,24 @@ def test_files_are_split_by_records(llm_spark):
     found = sorted((r.start, r.doc_id) for r in R.record_digests(llm_spark, out).collect())
     assert found == [(3 * i, i) for i in range(500)]
     assert max(r["count"] for r in R.read_index(llm_spark, out).groupBy("file").count().collect()) <= 9
+
+
+def test_a_full_pool_keeps_the_half_that_is_used_most():
+    bpe = runs.ByteBpe(R.VOCABULARY)
+    sizes = []
+
+    def encode(opening, other):
+        sizes.append(len(opening) + len(other))
+        ids, lengths = bpe.joined(opening, other)
+        return ids, lengths, lengths
+
+    pool = runs.RunPool(encode, 8, bpe.width)
+    texts = ["a b c d", "b a  c", "", "a b e f g h", "x a b", " a", "c d a b"]
+    for some in (texts[:3], texts[3:4], texts[4:], texts, texts[::-1]):
+        ids, first, numbers, starts = pool.of(some)
+        expected = [bpe.tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+        assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == expected
+        assert [int(numbers[a:b].sum()) for a, b in zip(starts, starts[1:])] == [len(x) for x in expected]
+        assert pool.n == len(pool.known) and list(pool.known.values()) == list(range(pool.n))
+    pool._trim()
+    assert pool.n == len(pool.known) == 4
